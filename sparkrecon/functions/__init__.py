@@ -5,6 +5,7 @@ from .values import (
     calendar_date,
     exceeds,
     in_list,
+    money_net,
     money_sum,
     na_to_null,
     not_in_list,
@@ -18,6 +19,7 @@ __all__ = [
     "calendar_date",
     "exceeds",
     "in_list",
+    "money_net",
     "money_sum",
     "na_to_null",
     "not_in_list",

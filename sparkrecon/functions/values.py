@@ -67,6 +67,16 @@ def share_pct(part: Column, whole: Column, digits: int) -> Column:
     return F.when(whole > 0, F.round(F.lit(100.0) * part / whole, digits)).otherwise(F.lit(0.0))
 
 
+def _sum_parts(c: Column) -> tuple[Column, Column]:
+    fits = F.abs(c) < F.lit(EXACT_LIMIT)
+    exact = F.sum(F.when(fits, c.cast(EXACT_TYPE)))
+    wide = F.sum(F.when(~fits, c))
+    only_wide = exact.isNull() & wide.isNotNull()
+    return F.when(only_wide, F.lit(0).cast("decimal(34,8)")).otherwise(exact), F.coalesce(
+        wide, F.lit(0.0)
+    )
+
+
 def money_sum(c: Column) -> Column:
     """Sum of a double money column that does not depend on the order of the rows.
 
@@ -75,7 +85,11 @@ def money_sum(c: Column) -> Column:
     values of 1e15 and more, which a decimal of that width cannot hold, are added as doubles.
     Null if there is no value at all, as in SQL.
     """
-    fits = F.abs(c) < F.lit(EXACT_LIMIT)
-    exact = F.sum(F.when(fits, c.cast(EXACT_TYPE))).cast("double")
-    wide = F.sum(F.when(~fits, c))
-    return F.when(wide.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + wide)
+    exact, wide = _sum_parts(c)
+    return exact.cast("double") + wide
+
+
+def money_net(a: Column, b: Column) -> Column:
+    """``money_sum(a) - money_sum(b)``, subtracted before the result becomes a double."""
+    (exact_a, wide_a), (exact_b, wide_b) = _sum_parts(a), _sum_parts(b)
+    return (exact_a - exact_b).cast("double") + (wide_a - wide_b)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import in_list, money_sum
+from ..functions import in_list, money_net, money_sum
 from ..params import DEFAULT_RULES, Rules
 from .checks import key_counts
 
@@ -67,10 +67,12 @@ def _metrics(df: DataFrame, metrics: dict[str, Column | str]) -> DataFrame:
 
 def financial_summary(df: DataFrame, metrics: DataFrame, dataset: str) -> DataFrame:
     """One row: size, totals and how many of the validation ``metrics`` are above zero."""
+    debit, credit = (F.coalesce(c, F.lit(0.0)) for c in ("debit_amount", "credit_amount"))
     totals = df.agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(money_sum(F.col("debit_amount")), F.lit(0.0)).alias("total_debit"),
-        F.coalesce(money_sum(F.col("credit_amount")), F.lit(0.0)).alias("total_credit"),
+        money_sum(debit).alias("total_debit"),
+        money_sum(credit).alias("total_credit"),
+        money_net(debit, credit).alias("net_balance"),
     )
     flags = metrics.agg(
         F.count(F.lit(1)).alias("checks_run"),
@@ -82,9 +84,10 @@ def financial_summary(df: DataFrame, metrics: DataFrame, dataset: str) -> DataFr
     return row.select(
         F.lit(dataset).alias("dataset"),
         "row_count",
-        F.round("total_debit", 4).alias("total_debit"),
-        F.round("total_credit", 4).alias("total_credit"),
-        F.round(F.col("total_debit") - F.col("total_credit"), 4).alias("net_balance"),
+        *[
+            F.round(F.coalesce(c, F.lit(0.0)), 4).alias(c)
+            for c in ("total_debit", "total_credit", "net_balance")
+        ],
         "checks_run",
         "checks_flagged",
     )
