@@ -25,6 +25,9 @@ DETAIL_COLUMNS = [
     "currency_src", "tgt_debit", "tgt_credit", "gl_account_tgt", "department_tgt",
     "transaction_date_tgt", "currency_tgt", "reconciliation_status", "debit_delta", "credit_delta",
 ]
+DETAIL_NUMBERS = [
+    "src_debit", "src_credit", "tgt_debit", "tgt_credit", "debit_delta", "credit_delta",
+]
 
 
 def for_reconciliation(df: DataFrame) -> DataFrame:

@@ -10,13 +10,13 @@ from pyspark.sql import types as T
 from ..functions import na_to_null, number
 from ..schemas import number_columns
 
-_OVERFLOW = "_overflow"
+_LINE = "_irregular_line"
 
 
 def load_csv(
     spark: SparkSession, path: str, schema: T.StructType, label: str, *, multiline: bool = False
 ) -> DataFrame:
-    """Read CSV files that share one header line.
+    """Read a CSV file, or a folder of them with the same header line.
 
     Every column is read as text under its header name, so neither column order nor extra columns
     matter; missing-value spellings become null and the number columns of ``schema`` are parsed.
@@ -33,12 +33,27 @@ def load_csv(
     if not header:
         raise ValueError(f"{label}: {path} has no header line")
 
-    # The parser fills columns by position: one spare column behind the header's catches long rows.
-    as_text = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _OVERFLOW]])
+    # The parser keeps the line of every row whose number of fields is not the header's. To see
+    # that it has to parse all fields of the row, whichever columns are asked for.
+    as_text = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _LINE]])
+    options |= {"columnNameOfCorruptRecord": _LINE, "columnPruning": False}
+    options |= {"enforceSchema": False}  # a file of the folder with another header is an error
     raw = spark.read.options(**options).schema(as_text).csv(path)
-    too_long = F.raise_error(F.lit(f"{label}: a row has more than {len(header)} fields"))
-    checked = raw.filter(F.when(F.col(_OVERFLOW).isNull(), True).otherwise(too_long.cast("boolean")))
-    return typed(checked.drop(_OVERFLOW), schema)
+    return typed(_without_long_rows(raw, header, label), schema)
+
+
+def _without_long_rows(raw: DataFrame, header: list[str], label: str) -> DataFrame:
+    """Pass all rows on, but fail at one with more fields than the header."""
+    unquoted = F.regexp_replace(_LINE, '"([^"]|"")*"', "")
+    commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(",")))
+    error = F.raise_error(
+        F.concat(
+            F.lit(f"{label}: a row has more than {len(header)} fields; its first field is "),
+            F.coalesce(F.col(f"`{header[0]}`"), F.lit("empty")),
+        )
+    )
+    fine = F.when(F.col(_LINE).isNull() | (commas < len(header)), True)
+    return raw.filter(fine.otherwise(error.cast("boolean"))).drop(_LINE)
 
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
