@@ -91,7 +91,10 @@ def _frequent(df: DataFrame, hot_rows: int) -> DataFrame:
         .groupBy("group")
         .agg(F.expr(f"approx_top_k_accumulate(item, {_TRACKED})").alias("sketch"))
     )
-    merged = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"))
+    # Grouped by a constant: no row at all comes out of an empty input.
+    merged = sketches.groupBy(F.lit(0).alias("all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch")
+    )
     top = merged.select(F.expr(f"inline(approx_top_k_estimate(sketch, {_MAX_HOT}))"))
     item = F.col("item")
     return top.filter(F.col("count") >= hot_rows).select(
