@@ -19,13 +19,30 @@ from ..plans.skew import KEY, TAG, anti, sorted_rows, tag_keys
 from .checks import key_counts
 
 SOURCE, TARGET = "source_transactions", "target_ledger"
+# The table each counting rule reads; known without a running session.
+COUNT_RULES = {
+    "dq1a_null_mandatory_source": SOURCE,
+    "dq1b_null_mandatory_target": TARGET,
+    "dq1c_missing_vendor_invoice": SOURCE,
+    "dq2a_duplicate_transaction_id": SOURCE,
+    "dq2c_duplicate_ledger_id": TARGET,
+    "dq3a_negative": SOURCE,
+    "dq3b_net_amount": SOURCE,
+    "dq3d_zero_value": SOURCE,
+    "dq4a_future_posting": SOURCE,
+    "dq4b_value_date_lag": SOURCE,
+    "dq4c_out_of_period": SOURCE,
+    "dq5a_gl": SOURCE,
+    "dq5b_cost_centre": SOURCE,
+    "dq5c_entity": SOURCE,
+    "dq8a_posted_without_user": SOURCE,
+}
 
 
 @dataclass(frozen=True)
 class CountRule:
-    """Rows failing a predicate, or surplus rows of a key (``unique``), of one table."""
+    """Rows failing a predicate, or surplus rows of a key (``unique``)."""
 
-    table: str
     check_name: str
     failing: Column | None = None
     unique: str | None = None
@@ -46,71 +63,71 @@ def count_rules(rules: Rules = DEFAULT_RULES) -> dict[str, CountRule]:
     def any_null(*names: str) -> Column:
         return reduce(Column.__or__, [col(n).isNull() for n in names])
 
-    # Table and check names, severities.
+    # Check names, severities.
     return {
         "dq1a_null_mandatory_source": CountRule(
-            SOURCE,
             "NULL_MANDATORY_FIELDS",
             any_null("transaction_id", "posting_date", "gl_account", "debit_amount", "credit_amount"),
         ),
         "dq1b_null_mandatory_target": CountRule(
-            TARGET,
             "NULL_MANDATORY_FIELDS",
             any_null("ledger_id", "source_ref", "posting_date", "debit_amount", "credit_amount"),
         ),
         "dq1c_missing_vendor_invoice": CountRule(
-            SOURCE,
             "MISSING_VENDOR_ON_INVOICE",
             (col("transaction_type") == "INVOICE") & blank(col("vendor_id")),
         ),
         "dq2a_duplicate_transaction_id": CountRule(
-            SOURCE, "DUPLICATE_TRANSACTION_ID", unique="transaction_id"
+            "DUPLICATE_TRANSACTION_ID", unique="transaction_id"
         ),
-        "dq2c_duplicate_ledger_id": CountRule(TARGET, "DUPLICATE_LEDGER_ID", unique="ledger_id"),
+        "dq2c_duplicate_ledger_id": CountRule("DUPLICATE_LEDGER_ID", unique="ledger_id"),
         "dq3a_negative": CountRule(
-            SOURCE, "NEGATIVE_DEBIT_OR_CREDIT", (debit < 0) | (credit < 0)
+            "NEGATIVE_DEBIT_OR_CREDIT", (debit < 0) | (credit < 0)
         ),
         "dq3b_net_amount": CountRule(
-            SOURCE, "NET_AMOUNT_INTEGRITY", exceeds(col("net_amount"), debit - credit, rules.tolerance)
+            "NET_AMOUNT_INTEGRITY", exceeds(col("net_amount"), debit - credit, rules.tolerance)
         ),
         "dq3d_zero_value": CountRule(
-            SOURCE, "ZERO_VALUE_TRANSACTIONS", (debit == 0) & (credit == 0), severity="WARNING"
+            "ZERO_VALUE_TRANSACTIONS", (debit == 0) & (credit == 0), severity="WARNING"
         ),
-        "dq4a_future_posting": CountRule(SOURCE, "FUTURE_POSTING_DATE", posted > today),
+        "dq4a_future_posting": CountRule("FUTURE_POSTING_DATE", posted > today),
         "dq4b_value_date_lag": CountRule(
-            SOURCE,
             "VALUE_DATE_LAG_EXCESS_30D",
             F.datediff(posted, col("value_date")) > rules.max_value_lag_days,
             severity="WARNING",
         ),
         "dq4c_out_of_period": CountRule(
-            SOURCE,
             "OUT_OF_PERIOD_TRANSACTIONS",
             (posted < F.lit(rules.fiscal_start)) | (posted > F.lit(rules.fiscal_end)),
             severity="WARNING",
         ),
         "dq5a_gl": CountRule(
-            SOURCE, "INVALID_GL_ACCOUNT", not_in_list(col("gl_account"), rules.gl_accounts_dq)
+            "INVALID_GL_ACCOUNT", not_in_list(col("gl_account"), rules.gl_accounts_dq)
         ),
         "dq5b_cost_centre": CountRule(
-            SOURCE, "INVALID_COST_CENTRE", not_in_list(col("cost_centre"), rules.cost_centres)
+            "INVALID_COST_CENTRE", not_in_list(col("cost_centre"), rules.cost_centres)
         ),
         "dq5c_entity": CountRule(
-            SOURCE, "INVALID_ENTITY_CODE", not_in_list(col("entity"), rules.entities)
+            "INVALID_ENTITY_CODE", not_in_list(col("entity"), rules.entities)
         ),
         "dq8a_posted_without_user": CountRule(
-            SOURCE,
             "POSTED_WITHOUT_USER",
             (col("status") == "POSTED") & blank(col("created_by")),
         ),
     }
 
 
-def count_rule(df: DataFrame, rule: CountRule) -> DataFrame:
+def count_rule(df: DataFrame, key: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """One rule on its own: the predicate is a filter, so it reaches the scan."""
+    rule = count_rules(rules)[key]
     if rule.unique is not None:
-        return _labelled(_surplus(df, rule.unique), rule)
-    return _labelled(df.filter(rule.failing).agg(F.count(F.lit(1)).alias("failing_rows")), rule)
+        # Rows less distinct non-null keys: each null row counts as surplus.
+        counted = key_counts(df, rule.unique).agg(
+            (F.coalesce(F.sum("n"), F.lit(0)) - F.count("key")).alias("n")
+        )
+    else:
+        counted = df.filter(rule.failing).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(F.inline(F.array(_line(key, rule, F.col("n")))))
 
 
 def count_report(source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -119,37 +136,21 @@ def count_report(source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RU
     catalogue = count_rules(rules)
     parts = []
     for name, df in tables.items():
-        by_row = {
-            k: r for k, r in catalogue.items() if r.table == name and r.failing is not None
+        fused = {
+            k: r for k, r in catalogue.items() if COUNT_RULES[k] == name and r.unique is None
         }
-        counted = df.agg(*[F.count_if(r.failing).alias(k) for k, r in by_row.items()])
-        lines = [
-            F.struct(
-                F.lit(r.table).alias("table_name"),
-                F.lit(r.check_name).alias("check_name"),
-                F.col(k).alias("failing_rows"),
-                status_of(F.col(k), r.severity).alias("result"),
-            )
-            for k, r in by_row.items()
-        ]
+        counted = df.agg(*[F.count_if(r.failing).alias(k) for k, r in fused.items()])
+        lines = [_line(k, r, F.col(k)) for k, r in fused.items()]
         parts.append(counted.select(F.inline(F.array(*lines))))
-    parts += [count_rule(tables[r.table], r) for r in catalogue.values() if r.unique]
+    parts += [count_rule(tables[COUNT_RULES[k]], k, rules) for k, r in catalogue.items() if r.unique]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _surplus(df: DataFrame, key: str) -> DataFrame:
-    """Rows less distinct non-null keys: each null row counts as surplus."""
-    return key_counts(df, key).agg(
-        (F.coalesce(F.sum("n"), F.lit(0)) - F.count("key")).alias("failing_rows")
-    )
-
-
-def _labelled(counted: DataFrame, rule: CountRule) -> DataFrame:
-    failing = F.col("failing_rows")
-    return counted.select(
-        F.lit(rule.table).alias("table_name"),
+def _line(key: str, rule: CountRule, failing: Column) -> Column:
+    return F.struct(
+        F.lit(COUNT_RULES[key]).alias("table_name"),
         F.lit(rule.check_name).alias("check_name"),
-        failing,
+        failing.alias("failing_rows"),
         status_of(failing, rule.severity).alias("result"),
     )
 

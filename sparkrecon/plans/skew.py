@@ -60,16 +60,19 @@ def plain_key() -> Column:
     return F.when(F.col(TAG) == 0, F.col(KEY))
 
 
-def hot_keys(left: DataFrame, right: DataFrame, hot_rows: int) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows on either tagged side, with exact counts of both.
-
-    Candidates come from frequent-item sketches, one per map task: two scans of the key column
-    and no shuffle of rows. At most 2 x 10,000 keys come out. If there are none, AQE drops the
-    second scan.
+def hot_keys(left: DataFrame, right: DataFrame, hot_rows: int) -> DataFrame | None:
+    """Keys with at least ``hot_rows`` rows on either tagged side, with exact counts of both, or
+    None if there are none.
+
+    Candidates come from frequent-item sketches: one scan of the key columns without a shuffle of
+    rows. Only if there are candidates a second scan counts them. The list is made while the query
+    is built, so a query without hot keys keeps its plain plan; it holds at most 2 x 10,000 keys,
+    which is what the driver collects and what is broadcast.
     """
-    candidates = (
-        _frequent(left, hot_rows).union(_frequent(right, hot_rows)).select(KEY, TAG).distinct()
-    )
+    found = _frequent(left, hot_rows).union(_frequent(right, hot_rows)).select(KEY, TAG).distinct()
+    candidates = _local(found)
+    if candidates is None:
+        return None
 
     def exact(df: DataFrame, name: str) -> DataFrame:
         mine = df.select(KEY, TAG).join(F.broadcast(candidates), [KEY, TAG], "left_semi")
@@ -78,9 +81,14 @@ def hot_keys(left: DataFrame, right: DataFrame, hot_rows: int) -> DataFrame:
     counted = exact(left, _LEFT_ROWS).unionByName(
         exact(right, _RIGHT_ROWS), allowMissingColumns=True
     )
-    return counted.groupBy(KEY, TAG).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (_LEFT_ROWS, _RIGHT_ROWS)]
-    )
+    both = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (_LEFT_ROWS, _RIGHT_ROWS)]
+    return _local(counted.groupBy(KEY, TAG).agg(*both))
+
+
+def _local(df: DataFrame) -> DataFrame | None:
+    """The rows of a frame of bounded size, taken out of its plan; None if there are none."""
+    rows = df.collect()
+    return df.sparkSession.createDataFrame(rows, df.schema) if rows else None
 
 
 def _frequent(df: DataFrame, hot_rows: int) -> DataFrame:
@@ -110,9 +118,9 @@ def full_outer(left: DataFrame, right: DataFrame, hot_rows: int | None) -> DataF
     The other column names of the two sides must not overlap. ``hot_rows=None`` skips the search
     for hot keys, for inputs whose keys are known to be near unique.
     """
-    if hot_rows is None:
+    hot = hot_keys(left, right, hot_rows) if hot_rows else None
+    if hot is None:
         return left.join(right, [KEY, TAG], "full")
-    hot = hot_keys(left, right, hot_rows)
     shared = F.coalesce((F.col(_LEFT_ROWS) > 0) & (F.col(_RIGHT_ROWS) > 0), F.lit(False))
     on_left, on_right = "_on_left", "_on_right"
     left = _deal(
@@ -141,11 +149,12 @@ def anti(left: DataFrame, right: DataFrame, hot_rows: int | None) -> DataFrame:
     on the left have to be split.
     """
     keys = right.select(KEY, TAG).distinct()
-    if hot_rows is None:
+    hot = _local(_frequent(left, hot_rows)) if hot_rows else None
+    if hot is None:
         return left.join(keys, [KEY, TAG], "left_anti")
-    hot = _frequent(left, hot_rows)
-    left_cells = _deal(left, hot, {I: "_rows"}, hot_rows)
-    return left_cells.join(_copy(keys, hot, {I: "_rows"}, hot_rows), [KEY, TAG, I], "left_anti").drop(I)
+    cells = {I: "_rows"}
+    dealt, copied = _deal(left, hot, cells, hot_rows), _copy(keys, hot, cells, hot_rows)
+    return dealt.join(copied, [KEY, TAG, I], "left_anti").drop(I)
 
 
 def _deal(df: DataFrame, hot: DataFrame, cells: dict[str, str], hot_rows: int) -> DataFrame:

@@ -119,11 +119,8 @@ def _check_queries() -> dict[str, Query]:
 
 def _dq_queries() -> dict[str, Query]:
     found = {
-        key: _on(
-            ["dq_source" if rule.table == dq.SOURCE else "dq_target"],
-            partial(_one_rule, key),
-        )
-        for key, rule in dq.count_rules(RULES).items()
+        key: _on(["dq_source" if table == dq.SOURCE else "dq_target"], partial(_one_rule, key))
+        for key, table in dq.COUNT_RULES.items()
     }
     found |= {
         "dq_report": _dq_pair(lambda s, t: dq.count_report(s, t, RULES)),
@@ -146,7 +143,7 @@ def _dq_queries() -> dict[str, Query]:
 
 
 def _one_rule(key: str, df: DataFrame) -> DataFrame:
-    return dq.count_rule(df, dq.count_rules(RULES)[key])
+    return dq.count_rule(df, key, RULES)
 
 
 def _recon_sql_queries() -> dict[str, Query]:

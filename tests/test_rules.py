@@ -18,7 +18,7 @@ def frame(spark, ddl, *rows):
 
 
 def count(df, rule, rules=RULES):
-    (row,) = records(dq.count_rule(df, dq.count_rules(rules)[rule]))
+    (row,) = records(dq.count_rule(df, rule, rules))
     return row["failing_rows"], row["result"]
 
 

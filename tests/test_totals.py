@@ -97,8 +97,10 @@ def test_reconcile_totals(spark, null_keys, source, target, tolerance):
     count, sums = brute(source, target, tolerance, null_keys == "match")
     assert statuses(row) == count
     for name, want in zip(("net_debit_delta_gbp", "net_credit_delta_gbp"), sums):
-        # Half-way differences may round the other way; there are at most 625 pairs.
-        assert row[name] == pytest.approx(want, rel=1e-12, abs=0.07)
+        # Half-way differences may round the other way, and next to 1e16 the doubles of the brute
+        # force are 2 apart; there are at most 625 pairs.
+        huge = any(1e16 in r for r in source + target)
+        assert row[name] == pytest.approx(want, rel=1e-12, abs=1300 if huge else 0.07)
 
 
 @slow
@@ -155,9 +157,9 @@ def test_unique_keys_partition_and_swap(spark, source, target):
 
 
 def test_fine_amounts_carry(spark):
-    """Fractions of 0.0001 on both sides of a repeated key with several amounts."""
-    source = [("A", 1 + i * 0.00003, 0.0) for i in range(9)]
-    target = [("A", 2 + i * 0.00007, i * 0.00002) for i in range(7)]
+    """Fractions of 0.0001 on both sides of a repeated key with several amounts (none half way)."""
+    source = [("A", 1 + i * 0.000031, 0.0) for i in range(9)]
+    target = [("A", 2 + i * 0.000072, i * 0.00002) for i in range(7)]
     s, t = spark.createDataFrame(source, SOURCE), spark.createDataFrame(target, TARGET)
     (row,) = records(totals.reconcile_totals(s, t))
     want = sum(rounded(a[1] - b[1]) for a in source for b in target)
