@@ -1,4 +1,4 @@
-"""Command line: python -m sparkrecon {ingest,check,reconcile,report,all} --source .. --target .. --out .."""
+"""Command line: python -m sparkrecon {ingest,check,reconcile,report,all,queries} --source .. --target .. --out .."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from .plans import stages
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="sparkrecon", description=__doc__)
-    parser.add_argument("stage", choices=["ingest", "check", "reconcile", "report", "all"])
+    parser.add_argument("stage", choices=["ingest", "check", "reconcile", "report", "all", "queries"])
     parser.add_argument("--source", required=True, help="transactions: file or folder")
     parser.add_argument("--target", required=True, help="ledger: file or folder")
     parser.add_argument("--out", required=True, help="folder for the results")
@@ -33,6 +33,8 @@ def main(argv: list[str] | None = None) -> None:
         stages.run_reconciliation(job, args.null_keys).show(truncate=False)
     elif args.stage == "report":
         stages.run_report(job)["report_statement"].show(truncate=False)
+    elif args.stage == "queries":
+        print("\n".join(stages.run_queries(job)))
     else:
         stages.run_all(job)["report_statement"].show(truncate=False)
 

@@ -13,12 +13,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import blank, exceeds, money_net, money_sum, not_in_list, share_pct, status_of
+from ..functions import blank, calendar_date, exceeds, money_net, money_sum, not_in_list, share_pct, status_of
 from ..params import DEFAULT_RULES, Rules
 from ..plans.skew import KEY, TAG, anti, sorted_rows, tag_keys
 from .checks import key_counts
 
 SOURCE, TARGET = "source_transactions", "target_ledger"
+# Columns of the catalogue that the two input schemas do not have.
+SOURCE_COLUMNS = ("net_amount", "value_date", "entity", "batch_id")
+TARGET_COLUMNS = ("ledger_id", "source_ref", "net_amount")
 # The table each counting rule reads; known without a running session.
 COUNT_RULES = {
     "dq1a_null_mandatory_source": SOURCE,
@@ -54,6 +57,13 @@ def catalogue_columns(df: DataFrame, **aliases: str) -> DataFrame:
     return df.withColumns({new: F.col(old) for new, old in aliases.items()})
 
 
+def with_dates(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Parse the date columns that arrived as text, as the catalogue compares real dates."""
+    names = ("transaction_date", "posting_date", "value_date")
+    present = [c for c in names if c in df.columns]
+    return df.withColumns({c: calendar_date(df, c, rules.date_format) for c in present})
+
+
 def count_rules(rules: Rules = DEFAULT_RULES) -> dict[str, CountRule]:
     """The 15 counting rules by key of the catalogue."""
     col = F.col
@@ -283,3 +293,19 @@ def batch_integrity(source: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
 def singleton_batches(source: DataFrame) -> DataFrame:
     single = key_counts(source, "batch_id").filter("n = 1").toDF("batch_id", "record_count")
     return single.withColumn("flag", F.lit("SINGLETON_BATCH")).orderBy("batch_id")
+
+
+def all_rules(source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RULES) -> dict[str, DataFrame]:
+    """The whole catalogue by name, the counting rules as one table."""
+    return {
+        "dq_report": count_report(source, target, rules),
+        "dq2b_duplicate_audit": duplicate_audit(source),
+        "dq3c_outliers": outliers(source, rules),
+        "dq6a_missing_from_target": missing_from_target(source, target, rules),
+        "dq6b_orphan_target": orphan_target(source, target, rules),
+        "dq6c_value_discrepancy": value_discrepancies(source, target, rules),
+        "dq6d_recon_summary": recon_summary(source, target),
+        "dq7a_entity_balance": entity_balance(source, rules),
+        "dq7b_batch_integrity": batch_integrity(source, rules),
+        "dq8b_singleton_batch": singleton_batches(source),
+    }

@@ -176,3 +176,18 @@ def freshness(source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RULES
         )
 
     return line(source, SYSTEMS[0]).unionByName(line(target, SYSTEMS[1]))
+
+
+def all_queries(
+    source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RULES
+) -> dict[str, DataFrame]:
+    return {
+        "rq1_row_counts": row_counts(source, target),
+        "rq2_missing_in_target": missing_in_target(source, target, rules),
+        "rq3_missing_in_source": missing_in_source(source, target, rules),
+        "rq4_amount_discrepancy": amount_discrepancies(source, target, rules),
+        "rq5_detail": detail(source, target, rules),
+        "rq6_kpis": kpis(source, target, rules),
+        "rq7_balance": balance(source, target, rules),
+        "rq8_freshness": freshness(source, target, rules),
+    }

@@ -196,7 +196,9 @@ def _pairs_within(s: DataFrame, t: DataFrame, rules: Rules, with_deltas: bool) -
 
     def cell(c: str) -> Column:
         bound = F.lit(9e18)
-        return F.floor(F.greatest(F.least(F.col(c) / width, bound), -bound))
+        # Multiplied, since a quotient counts as nullable and would keep the two uses of the
+        # weighted rows from sharing one shuffle.
+        return F.floor(F.greatest(F.least(F.col(c) * (1 / width), bound), -bound))
 
     near = F.array(F.lit(-1), F.lit(0), F.lit(1))
     left = s.select(

@@ -1,4 +1,4 @@
-"""The four stages end to end: ingest, check, reconcile, report.
+"""The stages end to end: ingest, check, reconcile, report; and the query catalogues.
 
 Tables handed from one stage to the next are written once, in a columnar format, so a later stage
 neither recomputes them nor depends on the executors that made them. Small results are CSV.
@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..operators import checks, ingest, reconcile, report
+from ..operators import checks, dq, ingest, recon_sql, reconcile, report
 from ..params import DEFAULT_RULES, Rules
 from ..schemas import SOURCE_SCHEMA, TARGET_SCHEMA
 from ..sources import load_table, schema_diff, write_table
@@ -134,6 +134,19 @@ def run_report(job: Job) -> dict[str, DataFrame]:
     return tables | {"report_discrepancy_register": shown}
 
 
+def run_queries(job: Job) -> list[str]:
+    """Write the result of each reconciliation query, and of the rule catalogue if the inputs have
+    its columns. Returns the names of the results."""
+    source = dq.with_dates(job.source(), job.rules)
+    target = dq.with_dates(job.target(), job.rules)
+    found = recon_sql.all_queries(source, target, job.rules)
+    if set(dq.SOURCE_COLUMNS) <= set(source.columns) and set(dq.TARGET_COLUMNS) <= set(target.columns):
+        found |= dq.all_rules(source, target, job.rules)
+    for name, df in found.items():
+        write_table(df, job.path(f"queries/{name}"), job.detail_fmt)
+    return list(found)
+
+
 def run_all(job: Job) -> dict[str, DataFrame]:
     landed = run_ingestion(job)
     found = run_checks(landed)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkrecon import __main__ as cli
 from sparkrecon.fixtures import FIXTURE_RULES, view
-from sparkrecon.operators import reconcile
+from sparkrecon.operators import recon_sql, reconcile
 from sparkrecon.plans import stages
 from sparkrecon.sources import shared_folder, written
 
@@ -87,6 +87,27 @@ def test_command_line(spark, tmp_path, inputs, capsys):
         cli.main(["ingest", "--source", "/nowhere.csv", *where[2:]])
 
 
+def test_query_catalogues_on_csv(spark, tmp_path, inputs):
+    """Inputs from CSV have text dates; the queries give the results of the typed views."""
+    job = stages.Job(spark, *inputs, str(tmp_path / "out"), rules=FIXTURE_RULES)
+    names = stages.run_queries(job)
+    assert [n[:3] for n in names] == [f"rq{i}" for i in range(1, 9)]
+    pair = [view(spark, SMALL, n) for n in ("source_transactions", "target_ledger")]
+    for name, want in recon_sql.all_queries(*pair, FIXTURE_RULES).items():
+        got = spark.read.parquet(f"{job.out}/queries/{name}")
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())), name
+
+
+def test_rule_catalogue_runs_if_its_columns_are_there(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("s", "t")]
+    for name, path in zip(("dq_source", "dq_target"), paths):
+        view(spark, SMALL, name).write.parquet(path)
+    job = stages.Job(spark, *paths, str(tmp_path / "out"), "parquet", rules=FIXTURE_RULES)
+    names = stages.run_queries(job)
+    assert len(names) == 18
+    assert spark.read.parquet(f"{job.out}/queries/dq_report").count() == 15
+
+
 def test_written_tables_go_to_the_shared_folder(spark):
     df = written(spark.range(5).withColumn("x", F.lit("a")), "test")
     assert sorted(r["id"] for r in df.collect()) == [0, 1, 2, 3, 4]
