@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import blank, calendar_date, exceeds, money_net, money_sum, not_in_list, share_pct, status_of
 from ..params import DEFAULT_RULES, Rules
-from ..plans.skew import KEY, TAG, anti, sorted_rows, tag_keys
+from ..plans.skew import anti, sorted_rows, tag_keys
 from .checks import key_counts
 
 SOURCE, TARGET = "source_transactions", "target_ledger"
@@ -206,8 +206,8 @@ def unmatched(
     rules: Rules,
 ) -> DataFrame:
     """``columns`` of the left rows whose key is null or does not occur on the right."""
-    rows = left.select(F.col(left_key).alias(KEY + "0"), *columns)
-    mine, theirs = tag_keys(rows, right.select(right_key), KEY + "0", right_key, "never")
+    rows = left.select(F.col(left_key).alias("key"), *columns)
+    mine, theirs = tag_keys(rows, right.select(right_key), "key", right_key, "never")
     return anti(mine, theirs, rules.hot_rows).select(*columns)
 
 

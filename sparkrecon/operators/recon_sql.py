@@ -116,7 +116,7 @@ def detail(
     left, right = tag_keys(
         side(source, SOURCE_KEY, "src"), side(target, TARGET_KEY, "tgt"), "key", "key", "never"
     )
-    joined = full_outer(left.drop("key"), right.drop("key"), rules.hot_rows)
+    joined = full_outer(left, right, rules.hot_rows)
     # in_src and in_tgt tell whether the side has a key, so they are not true for a null key.
     has_source = F.coalesce("in_src", F.lit(False))
     has_target = F.coalesce("in_tgt", F.lit(False))

@@ -14,7 +14,7 @@ from ..params import (
     MISSING_IN_TARGET,
     Rules,
 )
-from ..plans.skew import KEY, TAG, full_outer, plain_key, tag_keys
+from ..plans.skew import full_outer, plain_key, tag_keys
 from .checks import filled
 
 SOURCE_KEY, TARGET_KEY = "transaction_id", "ledger_transaction_id"
@@ -40,7 +40,6 @@ def reconcile(
     target: DataFrame,
     rules: Rules = DEFAULT_RULES,
     null_keys: str = "match",
-    split_hot_keys: bool = True,
 ) -> DataFrame:
     """Every pair of a transaction and a ledger entry with the same id, and all that have none.
 
@@ -51,10 +50,7 @@ def reconcile(
     left, right = tag_keys(
         _side(source, SOURCE_KEY, "src"), _side(target, TARGET_KEY, "tgt"), "key", "key", null_keys
     )
-    joined = full_outer(
-        left.drop("key"), right.drop("key"), rules.hot_rows if split_hot_keys else None
-    )
-    return joined.withColumns(
+    return full_outer(left, right, rules.hot_rows).withColumns(
         {
             "key": plain_key(),
             "reconciliation_status": _status(rules.tolerance),

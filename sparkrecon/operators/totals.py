@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 from ..functions import exceeds, share_pct
 from ..functions.values import EXACT_LIMIT
 from ..params import DEFAULT_RULES, Rules
+from ..plans.skew import ID as _ID
 from ..plans.skew import KEY, TAG, tag_keys
 from ..sources.tables import written
 from .reconcile import SOURCE_KEY, TARGET_KEY, for_reconciliation, summary_row
 
-_ID = [KEY, TAG]
 _COUNTS = ["matched", "amount_discrepancies", "missing_in_target", "missing_in_source"]
 _DELTAS = ["debit_delta", "credit_delta"]
 # Differences of amounts too large for a decimal are added up as doubles beside the exact sums.
@@ -78,10 +78,9 @@ def _sides(source: DataFrame, target: DataFrame, null_keys: str):
             F.col("credit_amount").cast("double").alias("c"),
         )
 
-    sides = tag_keys(
+    return tag_keys(
         narrow(source, SOURCE_KEY), narrow(target, TARGET_KEY), "key", "key", null_keys
     )
-    return tuple(df.drop("key") for df in sides)
 
 
 def _totals(left, right, rules: Rules, with_deltas: bool, null_source_missing: bool) -> DataFrame:

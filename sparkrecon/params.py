@@ -81,8 +81,9 @@ class Rules:
     # Wall clock: None means the day / moment of the run.
     as_of: dt.date | None = None
     run_ts: dt.datetime | None = None
-    # A key with at least this many rows on one side is split over several tasks.
-    hot_rows: int = 1_000_000
+    # Keys with this many rows or more are kept out of shuffles that cannot split them;
+    # None does not look for them.
+    hot_rows: int | None = 1_000_000
 
     def today(self) -> dt.date:
         return self.as_of or dt.date.today()

@@ -1,13 +1,13 @@
-"""Spreading hot keys, so that no task of a join or sort receives a large share of the rows.
+"""Joins and sorts that keep their balance when one key or one sort value holds much of a table.
 
-AQE splits skewed partitions of inner, left outer and anti joins, but not of a full outer join,
-and not where a deduplicated side sits between the shuffle and the join. Here hot keys are found
-up front and their rows are dealt over cells:
+A full outer join is put together from an inner join and the unmatched rows of either side:
 
-    left row  -> one random i, copied to every j        right row -> one random j, copied to every i
+* In the inner join AQE splits a skewed partition of either side. It does not do so in a full outer
+  join, where Spark moreover holds all pairs of a key in memory at once.
+* For unmatched rows only the distinct keys of the other side are needed, and those are never skewed.
+  Rows of a hot key on the side that is kept are looked up in a short list and not shuffled at all.
 
-Two rows of a key meet in exactly one cell (i, j). Keys that are not hot have the single cell
-(0, 0). Which cell a row gets has no influence on the result.
+Both parts shuffle the same rows by the same key, so Spark runs that shuffle once and reuses it.
 """
 
 from __future__ import annotations
@@ -15,26 +15,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEY, TAG, I, J = "_key", "_tag", "_i", "_j"
-CELL = [KEY, TAG, I, J]
-_BOTH = "_on_both_sides"
-_LEFT_ROWS, _RIGHT_ROWS = "_left_rows", "_right_rows"
+KEY, TAG = "_key", "_tag"
+ID = [KEY, TAG]
 
 # Counters kept per sketch: a key above 3.5 / 32768 of the rows (0.011 %) cannot be missed.
 _TRACKED = 32_768
-# Upper bound for the list of hot keys of one side; it is what makes broadcasting it safe.
-# A key beyond it is still joined, only not split.
+# Upper bound for the list of hot keys of a table; it is what makes collecting and broadcasting it
+# safe. A key beyond it is treated like any other.
 _MAX_HOT = 10_000
 # Sketches are merged in two steps, so that no task merges one per map task.
 _MERGE_TASKS = 200
 
 
-def row_hash(df: DataFrame) -> Column:
-    """A hash to deal rows with. The partition number separates exact copies of a row; unlike
-    rand() it gives the same value when a lost task is run again on the same rows."""
-    return F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
-
-
 def tag_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str, null_keys: str):
     """Replace the key columns by (_key, _tag), equal exactly where the keys are to match.
 
@@ -45,12 +37,11 @@ def tag_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str, n
 
     def tagged(df, name, null_tag):
         key = F.col(name).cast("string")
-        return df.withColumns(
-            {
-                KEY: F.coalesce(key, F.lit("")),
-                TAG: F.when(key.isNull(), F.lit(null_tag)).otherwise(F.lit(0)),
-            }
-        )
+        ids = {
+            KEY: F.coalesce(key, F.lit("")),
+            TAG: F.when(key.isNull(), F.lit(null_tag)).otherwise(F.lit(0)),
+        }
+        return df.withColumns(ids).drop(name)
 
     return tagged(left, left_key, 1), tagged(right, right_key, 1 if null_keys == "match" else 2)
 
@@ -60,39 +51,43 @@ def plain_key() -> Column:
     return F.when(F.col(TAG) == 0, F.col(KEY))
 
 
-def hot_keys(left: DataFrame, right: DataFrame, hot_rows: int) -> DataFrame | None:
-    """Keys with at least ``hot_rows`` rows on either tagged side, with exact counts of both, or
-    None if there are none.
+def full_outer(left: DataFrame, right: DataFrame, hot_rows: int | None) -> DataFrame:
+    """Full outer join of two tagged frames. Their other columns must have different names."""
+    pairs = left.join(right, ID)
+    left_only, right_only = anti(left, right, hot_rows), anti(right, left, hot_rows)
+    return pairs.unionByName(left_only, allowMissingColumns=True).unionByName(
+        right_only, allowMissingColumns=True
+    )
 
-    Candidates come from frequent-item sketches: one scan of the key columns without a shuffle of
-    rows. Only if there are candidates a second scan counts them. The list is made while the query
-    is built, so a query without hot keys keeps its plain plan; it holds at most 2 x 10,000 keys,
-    which is what the driver collects and what is broadcast.
-    """
-    found = _frequent(left, hot_rows).union(_frequent(right, hot_rows)).select(KEY, TAG).distinct()
-    candidates = _local(found)
-    if candidates is None:
-        return None
 
-    def exact(df: DataFrame, name: str) -> DataFrame:
-        mine = df.select(KEY, TAG).join(F.broadcast(candidates), [KEY, TAG], "left_semi")
-        return mine.groupBy(KEY, TAG).agg(F.count(F.lit(1)).alias(name))
+def anti(left: DataFrame, right: DataFrame, hot_rows: int | None) -> DataFrame:
+    """Rows of tagged ``left`` whose key does not occur in tagged ``right``.
+
+    Keys with ``hot_rows`` rows or more on the left are found first; ``None`` skips that, for keys
+    known to be near unique.
+    """
+    keys = right.select(*ID).distinct()
+    hot = frequent_keys(left, hot_rows) if hot_rows else []
+    if not hot:
+        return left.join(keys, ID, "left_anti")
+    hot_list = _listed(left, hot)
+    found = {tuple(r) for r in right.select(*ID).join(hot_list, ID, "left_semi").distinct().collect()}
+    rest = left.join(hot_list, ID, "left_anti").join(keys, ID, "left_anti")
+    lone = [k for k in hot if k not in found]
+    return rest.unionByName(left.join(_listed(left, lone), ID, "left_semi")) if lone else rest
 
-    counted = exact(left, _LEFT_ROWS).unionByName(
-        exact(right, _RIGHT_ROWS), allowMissingColumns=True
-    )
-    both = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (_LEFT_ROWS, _RIGHT_ROWS)]
-    return _local(counted.groupBy(KEY, TAG).agg(*both))
 
+def _listed(df: DataFrame, keys: list[tuple[str, int]]) -> DataFrame:
+    """A list of at most ``_MAX_HOT`` keys, to be broadcast."""
+    return F.broadcast(df.sparkSession.createDataFrame(keys, f"{KEY} STRING, {TAG} INT"))
 
-def _local(df: DataFrame) -> DataFrame | None:
-    """The rows of a frame of bounded size, taken out of its plan; None if there are none."""
-    rows = df.collect()
-    return df.sparkSession.createDataFrame(rows, df.schema) if rows else None
 
+def frequent_keys(df: DataFrame, hot_rows: int) -> list[tuple[str, int]]:
+    """The keys of a tagged frame with about ``hot_rows`` rows or more, ``_MAX_HOT`` at most.
 
-def _frequent(df: DataFrame, hot_rows: int) -> DataFrame:
-    """(_key, _tag, _rows) of the keys whose estimated count reaches ``hot_rows``."""
+    A frequent-item sketch per map task: one scan of the key column and no shuffle of rows. The
+    result steers how rows travel, never which rows are returned.
+    """
     packed = F.concat(F.col(TAG).cast("string"), F.lit(":"), F.col(KEY))
     sketches = (
         df.select(packed.alias("item"), (F.spark_partition_id() % _MERGE_TASKS).alias("group"))
@@ -104,90 +99,13 @@ def _frequent(df: DataFrame, hot_rows: int) -> DataFrame:
         F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch")
     )
     top = merged.select(F.expr(f"inline(approx_top_k_estimate(sketch, {_MAX_HOT}))"))
-    item = F.col("item")
-    return top.filter(F.col("count") >= hot_rows).select(
-        item.substr(F.instr(item, ":") + 1, F.length(item)).alias(KEY),
-        F.substring_index(item, ":", 1).cast("int").alias(TAG),
-        F.col("count").alias("_rows"),
-    )
-
-
-def full_outer(left: DataFrame, right: DataFrame, hot_rows: int | None) -> DataFrame:
-    """Full outer join of two tagged frames on (_key, _tag), whatever the key distribution.
-
-    The other column names of the two sides must not overlap. ``hot_rows=None`` skips the search
-    for hot keys, for inputs whose keys are known to be near unique.
-    """
-    hot = hot_keys(left, right, hot_rows) if hot_rows else None
-    if hot is None:
-        return left.join(right, [KEY, TAG], "full")
-    shared = F.coalesce((F.col(_LEFT_ROWS) > 0) & (F.col(_RIGHT_ROWS) > 0), F.lit(False))
-    on_left, on_right = "_on_left", "_on_right"
-    left = _deal(
-        left,
-        hot.select(KEY, TAG, shared.alias(on_left), _LEFT_ROWS, _RIGHT_ROWS),
-        {I: _LEFT_ROWS, J: _RIGHT_ROWS},
-        hot_rows,
-    ).withColumn(on_left, F.coalesce(on_left, F.lit(False)))
-    right = _deal(
-        right,
-        hot.select(KEY, TAG, shared.alias(on_right), _LEFT_ROWS, _RIGHT_ROWS),
-        {J: _RIGHT_ROWS, I: _LEFT_ROWS},
-        hot_rows,
-    ).withColumn(on_right, F.coalesce(on_right, F.lit(False)))
-    joined = left.join(right, CELL, "full")
-    # A copy that finds its cell empty is not an unmatched row: a hot key that exists on both
-    # sides has no unmatched rows at all.
-    stray = F.coalesce(on_left, on_right) & (F.col(on_left).isNull() | F.col(on_right).isNull())
-    return joined.filter(~stray).drop(on_left, on_right, I, J)
-
-
-def anti(left: DataFrame, right: DataFrame, hot_rows: int | None) -> DataFrame:
-    """Rows of tagged ``left`` whose key does not occur in tagged ``right``.
-
-    ``right`` is reduced to its distinct keys on the map side first, so only keys that are hot
-    on the left have to be split.
-    """
-    keys = right.select(KEY, TAG).distinct()
-    hot = _local(_frequent(left, hot_rows)) if hot_rows else None
-    if hot is None:
-        return left.join(keys, [KEY, TAG], "left_anti")
-    cells = {I: "_rows"}
-    dealt, copied = _deal(left, hot, cells, hot_rows), _copy(keys, hot, cells, hot_rows)
-    return dealt.join(copied, [KEY, TAG, I], "left_anti").drop(I)
-
-
-def _deal(df: DataFrame, hot: DataFrame, cells: dict[str, str], hot_rows: int) -> DataFrame:
-    """Join the (bounded) hot keys to ``df`` and number its cells. ``cells`` maps a cell column to
-    the column of ``hot`` with the row count behind it. The first is this side's own number and is
-    dealt by hash; for each of the others the row is copied to every value."""
-    own, *others = cells
-    hashed = df.withColumn("_h", row_hash(df))
-    marked = hashed.join(F.broadcast(hot), [KEY, TAG], "left")
-    parts = _parts(cells[own], hot_rows)
-    dealt = marked.withColumn(own, F.pmod(F.col("_h"), parts.cast("long")).cast("int")).drop("_h")
-    return _exploded(dealt, {c: cells[c] for c in others}, hot_rows).drop(*cells.values())
-
-
-def _copy(df: DataFrame, hot: DataFrame, cells: dict[str, str], hot_rows: int) -> DataFrame:
-    """Like ``_deal``, but copy the row to every value of all cell columns."""
-    marked = df.join(F.broadcast(hot), [KEY, TAG], "left")
-    return _exploded(marked, cells, hot_rows).drop(*cells.values())
-
-
-def _parts(rows: str, hot_rows: int) -> Column:
-    """Number of cells for a row count; one for keys that are not hot."""
-    return F.greatest(F.coalesce(F.ceil(F.col(rows) / hot_rows), F.lit(1)), F.lit(1)).cast("int")
-
-
-def _exploded(df: DataFrame, cells: dict[str, str], hot_rows: int) -> DataFrame:
-    for cell, rows in cells.items():
-        df = df.withColumn(cell, F.explode(F.sequence(F.lit(0), _parts(rows, hot_rows) - 1)))
-    return df
+    rows = top.filter(F.col("count") >= hot_rows).select("item").collect()
+    return [(key, int(tag)) for tag, _, key in (r["item"].partition(":") for r in rows)]
 
 
 def sorted_rows(df: DataFrame, *orders: Column) -> DataFrame:
     """Global sort that a popular sort value cannot skew: ties are broken by a hash of the row, so
-    the range partitioner can cut within the rows of one date or one key."""
-    tie = "_tie"
-    return df.withColumn(tie, row_hash(df)).orderBy(*orders, F.col(tie)).drop(tie)
+    the range partitioner can cut within the rows of one date or one key. The partition number
+    separates exact copies; unlike rand() it is the same when a lost task is run again."""
+    tie = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+    return df.withColumn("_tie", tie).orderBy(*orders, F.col("_tie")).drop("_tie")

@@ -1,16 +1,15 @@
-"""Hot keys: found, dealt over cells, and joined to the same result."""
+"""Hot keys: found, kept out of the shuffles, and joined to the same result."""
 
 from collections import Counter
 
+import pytest
 from conftest import records
 from pyspark.sql import functions as F
 
-from sparkrecon.operators import dq, reconcile
+from sparkrecon.operators import dq
 from sparkrecon.params import Rules
 from sparkrecon.plans import skew
 
-RULES = Rules(hot_rows=100)
-
 
 def sides(spark):
     """A third of the left rows has key HOT, a third of the right rows has none."""
@@ -28,11 +27,18 @@ def sides(spark):
     return left, right
 
 
-def test_hot_keys_with_exact_counts(spark):
+def test_frequent_keys(spark):
     left, right = skew.tag_keys(*sides(spark), "k", "k", "match")
-    found = {(r[skew.KEY], r[skew.TAG]): (r["_left_rows"], r["_right_rows"])
-             for r in records(skew.hot_keys(left, right, 100))}
-    assert found == {("HOT", 0): (1000, 1), ("", 1): (0, 200)}
+    assert skew.frequent_keys(left, 100) == [("HOT", 0)]
+    assert skew.frequent_keys(right, 100) == [("", 1)]
+    assert skew.frequent_keys(left, 1_000_000) == []
+    assert skew.frequent_keys(left.limit(0), 1) == []
+
+
+def test_frequent_keys_with_separator_or_empty(spark):
+    rows = [("a:b",)] * 5 + [("",)] * 5 + [(None,)] * 5 + [("x",)]
+    df, _ = skew.tag_keys(*[spark.createDataFrame(rows, "k STRING")] * 2, "k", "k", "match")
+    assert set(skew.frequent_keys(df, 5)) == {("a:b", 0), ("", 0), ("", 1)}
 
 
 def test_null_is_not_the_empty_key(spark):
@@ -40,51 +46,32 @@ def test_null_is_not_the_empty_key(spark):
     right = spark.createDataFrame([("", 3)], "k STRING, r INT")
     for mode in ("match", "never"):
         for hot_rows in (1, None):
-            a, b = skew.tag_keys(left, right, "k", "k", mode)
-            joined = skew.full_outer(a.drop("k"), b.drop("k"), hot_rows)
-            rows = {(r["key"], r["l"], r["r"]) for r in records(joined.withColumn("key", skew.plain_key()))}
-            assert rows == {("", 1, 3), (None, 2, None)}
+            joined = skew.full_outer(*skew.tag_keys(left, right, "k", "k", mode), hot_rows)
+            found = joined.select(skew.plain_key().alias("key"), "l", "r")
+            assert {tuple(r) for r in found.collect()} == {("", 1, 3), (None, 2, None)}
 
 
-def test_rows_of_a_hot_key_are_dealt_evenly(spark):
-    left, right = skew.tag_keys(*sides(spark), "k", "k", "match")
-    hot = skew.hot_keys(left, right, 100)
-    cells = {skew.I: "_left_rows", skew.J: "_right_rows"}
-    dealt = skew._deal(left.select(skew.KEY, skew.TAG, "l"), hot, cells, 100)
-    sizes = {r[skew.I]: r["count"] for r in records(
-        dealt.filter(F.col(skew.KEY) == "HOT").groupBy(skew.I).count())}
-    assert set(sizes) == set(range(10)) and sum(sizes.values()) == 1000
-    assert max(sizes.values()) < 180
-    assert dealt.filter(F.col(skew.KEY) != "HOT").filter(f"{skew.I} + {skew.J} > 0").count() == 0
-
-
-def test_copies_of_one_row_are_dealt_too(spark):
-    """Equal rows differ by their partition only; they must not all land in one cell."""
-    same = spark.range(0, 6400, 1, 64).select(F.lit("HOT").alias("k"), F.lit(1).alias("l"))
-    left, right = skew.tag_keys(same, same.withColumnRenamed("l", "r").limit(1), "k", "k", "match")
-    cells = {skew.I: "_left_rows", skew.J: "_right_rows"}
-    dealt = skew._deal(left, skew.hot_keys(left, right, 1600), cells, 1600)
-    sizes = [r["count"] for r in records(dealt.groupBy(skew.I).count())]
-    assert len(sizes) == 4 and max(sizes) < 3000
+@pytest.mark.parametrize("mode", ["match", "never"])
+@pytest.mark.parametrize("hot_rows", [1, 100, None])
+def test_full_outer_equals_sparks(spark, mode, hot_rows):
+    left, right = sides(spark)
+    right = right.union(spark.createDataFrame([("", 1000), ("HOT", 1001)], "k STRING, r BIGINT"))
+    left = left.union(spark.createDataFrame([(None, 9000), (None, 9001)], "k STRING, l BIGINT"))
+    a, b = skew.tag_keys(left, right, "k", "k", mode)
+    want = a.join(b, skew.ID, "full").select(*skew.ID, "l", "r")
+    got = skew.full_outer(a, b, hot_rows).select(*skew.ID, "l", "r")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
 
 
 def test_anti_join_with_hot_keys(spark):
     left, right = sides(spark)
-    left = left.withColumnRenamed("k", "id_l")
-    rows = {
-        hot_rows: sorted(
-            r["l"]
-            for r in records(
-                dq.unmatched(left, "id_l", right, "k", ["l"], Rules(hot_rows=hot_rows))
-            )
-        )
-        for hot_rows in (1, 100, 1_000_000)
-    }
     known = {r["k"] for r in records(right)}
-    want = sorted(r["l"] for r in records(left) if r["id_l"] not in known)
-    assert rows[1] == rows[100] == rows[1_000_000] == want
-    nulls = right.select(F.col("k").alias("id_r"), "r")
-    assert dq.unmatched(nulls, "id_r", left, "id_l", ["r"], RULES).count() == 200
+    want = sorted(r["l"] for r in records(left) if r["k"] not in known)
+    for hot_rows in (1, 100, 1_000_000, None):
+        found = dq.unmatched(left, "k", right, "k", ["l"], Rules(hot_rows=hot_rows))
+        assert sorted(r["l"] for r in records(found)) == want
+    for hot_rows in (100, None):
+        assert dq.unmatched(right, "k", left, "k", ["r"], Rules(hot_rows=hot_rows)).count() == 200
 
 
 def test_anti_join_returns_null_keys_even_if_both_sides_have_them(spark):
@@ -95,6 +82,52 @@ def test_anti_join_returns_null_keys_even_if_both_sides_have_them(spark):
         assert found == [{"l": 1}]
 
 
+def test_rows_of_a_hot_key_are_not_shuffled(spark):
+    """All rows have one of two hot keys, so the anti join shuffles no row of the left side."""
+    left = spark.range(0, 2000, 1, 4).select(
+        F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("k"), F.col("id").alias("l")
+    )
+    right = spark.createDataFrame([("A",), ("C",)], "k STRING")
+    a, b = skew.tag_keys(left, right, "k", "k", "never")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = skew.anti(a, b, 100)
+        assert found.count() == 1000
+        found.collect()
+        text = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The part for other keys turned out empty, and AQE dropped it with its sort-merge join.
+    assert "SortMergeJoin" not in text
+    assert "BroadcastHashJoin" in text and "LeftSemi" in text
+
+
+def test_inner_part_is_split_by_aqe(spark):
+    """The pairs come from a join whose skewed partitions AQE cuts, on either side."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(0, 60000, 1, 16).select(
+            F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("L"), "id")).alias("k"),
+            F.col("id").alias("l"),
+        )
+        right = left.filter("k != 'HOT' OR l < 10").withColumnRenamed("l", "r")
+        joined = skew.full_outer(*skew.tag_keys(left, right, "k", "k", "match"), 1000)
+        assert len(joined.collect()) == 20000 * 4 + 40000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_sort_cuts_within_one_sort_value(spark):
     same_day = spark.range(0, 20000, 1, 8).select(F.lit("2024-01-01").alias("day"), "id")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -115,13 +148,5 @@ def test_order_is_the_one_asked_for(spark):
 
 def test_null_keys_argument_is_checked(spark):
     df = spark.createDataFrame([("A", 1)], "k STRING, v INT")
-    try:
+    with pytest.raises(ValueError, match="sometimes"):
         skew.tag_keys(df, df, "k", "k", "sometimes")
-    except ValueError as e:
-        assert "sometimes" in str(e)
-    else:
-        raise AssertionError("no error")
-
-
-def test_reconcile_module_uses_its_rules(spark):
-    assert reconcile.reconcile.__defaults__[0].hot_rows == 1_000_000
