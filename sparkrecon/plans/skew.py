@@ -2,8 +2,8 @@
 
 A full outer join is put together from an inner join and the unmatched rows of either side:
 
-* In the inner join AQE splits a skewed partition of either side. It does not do so in a full outer
-  join, where Spark moreover holds all pairs of a key in memory at once.
+* In the inner join AQE splits a skewed partition of either side, which it does not in a full outer
+  join.
 * For unmatched rows only the distinct keys of the other side are needed, and those are never skewed.
   Rows of a hot key on the side that is kept are looked up in a short list and not shuffled at all.
 
