@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 KEY, TAG = "_key", "_tag"
 ID = [KEY, TAG]
 
-# Counters kept per sketch: a key above 3.5 / 32768 of the rows (0.011 %) cannot be missed.
+# Counters kept per sketch. Keys well above 3.5 / 32768 of the rows (0.011 %) are found; one that is
+# missed costs balance, never rows.
 _TRACKED = 32_768
 # Upper bound for the list of hot keys of a table; it is what makes collecting and broadcasting it
 # safe. A key beyond it is treated like any other.

@@ -1,5 +1,6 @@
 """Hot keys: found, kept out of the shuffles, and joined to the same result."""
 
+import re
 from collections import Counter
 
 import pytest
@@ -102,7 +103,8 @@ def test_rows_of_a_hot_key_are_not_shuffled(spark):
     assert "BroadcastHashJoin" in text and "LeftSemi" in text
 
 
-def test_inner_part_is_split_by_aqe(spark):
+@pytest.mark.parametrize("hot_side", ["left", "right"])
+def test_inner_part_is_split_by_aqe(spark, hot_side):
     """The pairs come from a join whose skewed partitions AQE cuts, on either side."""
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -119,9 +121,11 @@ def test_inner_part_is_split_by_aqe(spark):
             F.col("id").alias("l"),
         )
         right = left.filter("k != 'HOT' OR l < 10").withColumnRenamed("l", "r")
-        joined = skew.full_outer(*skew.tag_keys(left, right, "k", "k", "match"), 1000)
+        pair = (left, right) if hot_side == "left" else (right, left)
+        joined = skew.full_outer(*skew.tag_keys(*pair, "k", "k", "match"), 1000)
         assert len(joined.collect()) == 20000 * 4 + 40000
-        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"SortMergeJoin\(skew=true\).*Inner", text)
     finally:
         for k in conf:
             spark.conf.unset(k)
