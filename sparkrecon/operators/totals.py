@@ -1,8 +1,8 @@
 """Reconciliation figures without the rows behind them.
 
 A key with n transactions and m ledger entries stands for n * m reconciled rows. Where only the
-figures are asked for, those pairs are never formed, so a key that holds a third of both tables
-costs no more than any other data of that size:
+figures are asked for, those pairs are not formed, so a key that holds a third of both tables does
+not cost the square of its rows:
 
 1. Each side shrinks to one row per key (count and amount range). The two meet in a full outer
    join that reuses the shuffle of that aggregation and has no fan-out. Unless a repeated key has
@@ -11,6 +11,8 @@ costs no more than any other data of that size:
    are laid on a grid of twice the tolerance, and a pair within tolerance lies in neighbouring
    grid cells. All other pairs are discrepancies. The sum of their differences is the sum over all
    pairs, which follows from per-key sums, less the sum over the pairs within tolerance.
+   What the band join looks at are distinct amounts of one key in neighbouring cells: a handful for
+   money in cents, many for a key with very many amounts closer together than the tolerance.
    (Differences are rounded to 4 places each. One that lies exactly half way between two such
    values, which takes amounts of 5 or more places, is rounded up here and away from 0 in the
    detail rows.)
