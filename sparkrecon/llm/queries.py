@@ -6,20 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, mixing, reputation
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op5_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages are labelled through ``labels``: the page of an id shows the document of that id."""
+    outcomes = reputation.label_outcomes(table(spark, sf_dir, "labels"))
+    judged = reputation.judge(table(spark, sf_dir, "pages"), outcomes)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op4_pivotal_mix": op4_pivotal_mix,
+    "op5_host_reputation": op5_host_reputation,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_host_reputation": reputation.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
