@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, reputation
+from . import exact_dedup, mixing, reputation, token_counts, token_files
 from .common import table
+from .tokens import vocabulary_size
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +26,19 @@ def op5_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    folder = token_files.token_folder(spark)
+    documents = table(spark, sf_dir, "documents")
+    files = token_files.write_token_files(documents, path, folder, vocabulary_size(path))
+    return token_files.read_token_files(spark, files)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -31,6 +46,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op4_pivotal_mix": op4_pivotal_mix,
     "op5_host_reputation": op5_host_reputation,
+    "op6_token_counts": op6_token_counts,
+    "op8_token_files": op8_token_files,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
