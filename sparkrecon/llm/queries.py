@@ -7,13 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, reputation, token_counts, token_files
+from . import exact_dedup, mixing, packing, reputation, token_counts, token_files
 from .common import table
 from .tokens import vocabulary_size
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.cut_documents(table(spark, sf_dir, "documents"), path)
+    return packing.pack(pieces)
+
+
 def op4_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -44,6 +50,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_pattern_packing": op2_pattern_packing,
     "op4_pivotal_mix": op4_pivotal_mix,
     "op5_host_reputation": op5_host_reputation,
     "op6_token_counts": op6_token_counts,
