@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, reputation, token_counts, token_files
+from . import exact_dedup, language, mixing, packing, reputation, token_counts, token_files
 from .common import table
 from .tokens import vocabulary_size
 
@@ -20,6 +20,10 @@ def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -51,6 +55,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_pattern_packing": op2_pattern_packing,
+    "op3_language_mixture": op3_language_mixture,
     "op4_pivotal_mix": op4_pivotal_mix,
     "op5_host_reputation": op5_host_reputation,
     "op6_token_counts": op6_token_counts,
