@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language, mixing, packing, reputation, token_counts, token_files
+from . import embeddings, exact_dedup, language, mixing, packing, reputation, token_counts, token_files
 from .common import table
 from .tokens import vocabulary_size
 
@@ -49,6 +49,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, files)
 
 
+def op9_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -60,10 +64,12 @@ QUERIES: dict[str, Query] = {
     "op5_host_reputation": op5_host_reputation,
     "op6_token_counts": op6_token_counts,
     "op8_token_files": op8_token_files,
+    "op9_metric_join": op9_metric_join,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_host_reputation": reputation.ORACLE,
+    "op9_metric_join": embeddings.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
