@@ -75,18 +75,21 @@ def _merged(a: tuple[bytes, bytes], b: tuple[bytes, bytes]) -> tuple[bytes, byte
     return (a1 | b1).tobytes(), (a2 | b2 | (a1 & b1)).tobytes()
 
 
-def repeat_filter(hashes: DataFrame, rows: int, max_cells: int = MAX_CELLS) -> tuple[bytes, int]:
-    """The cells that ``hashes`` (one bigint column) meet twice or more, and the number of cells."""
+def repeat_filter(
+    hashes: DataFrame, rows: int, max_cells: int = MAX_CELLS, least: int = 2
+) -> tuple[bytes, int]:
+    """The cells that ``hashes`` (one bigint column) meet ``least`` (1 or 2) times or more, and the
+    number of cells."""
     cells = 1 << 10
     while cells < min(max_cells, CELLS_A_ROW * rows):
         cells *= 2
     found = hashes.rdd.mapPartitions(_counted(cells)).treeAggregate((b"", b""), _merged, _merged)
-    return found[1], cells
+    return found[least - 1], cells
 
 
-def may_repeat(twice: bytes, cells: int, spark) -> object:
-    """A column function: false only where the hash was surely met once."""
-    shared = spark.sparkContext.broadcast(twice)
+def may_repeat(met: bytes, cells: int, spark) -> object:
+    """A column function: false only where the hash surely was not met often enough."""
+    shared = spark.sparkContext.broadcast(met)
 
     @F.pandas_udf("boolean")
     def probe(hashes: pd.Series) -> pd.Series:

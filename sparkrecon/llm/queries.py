@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embeddings, exact_dedup, language, mixing, packing, reputation, token_counts, token_files
+from . import embeddings, exact_dedup, language, mixing, near_dedup, packing, reputation, token_counts, token_files
 from .common import table
 from .tokens import vocabulary_size
 
@@ -41,6 +41,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     folder = token_files.token_folder(spark)
@@ -63,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op4_pivotal_mix": op4_pivotal_mix,
     "op5_host_reputation": op5_host_reputation,
     "op6_token_counts": op6_token_counts,
+    "op7_dart_minhash": op7_dart_minhash,
     "op8_token_files": op8_token_files,
     "op9_metric_join": op9_metric_join,
     "op10_exact_dedup": op10_exact_dedup,
