@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -77,24 +78,42 @@ class PieceEncoder:
 
     def _clear(self) -> None:
         self._known: dict[str, int] = {}
-        self._flat, self._ends = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+        self._flat, self._ends, self._hits = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self._size = 0
+
+    def _forget(self) -> None:
+        """Keep what was met most often, half of the room at most; rare pieces hardly come again."""
+        least = 2
+        while np.count_nonzero(self._hits >= least) > REMEMBERED // 2:
+            least += 1
+        keep = np.flatnonzero(self._hits >= least)
+        words = list(self._known)
+        sizes = np.diff(self._ends)[keep]
+        self._flat = self._flat[_ranges(self._ends[keep], sizes)]
+        self._ends = np.concatenate([[0], np.cumsum(sizes)])
+        self._hits = np.ones(len(keep), np.int32)
+        self._known = {words[i]: at for at, i in enumerate(keep.tolist())}
+        self._size = sum(map(len, self._known))
 
     def _remember(self, words: list[str]) -> np.ndarray:
-        """The number of each word among the remembered ones."""
+        """The number of each word among the remembered ones, after adding the new ones."""
+        if self._size > REMEMBERED * 32:  # pieces that are long without a space
+            self._clear()
+        elif len(self._known) > REMEMBERED:
+            self._forget()
         known = self._known
         new = list(dict.fromkeys(w for w in words if w not in known))
-        if len(known) + len(new) > REMEMBERED:
-            self._clear()
-            known, new = self._known, list(dict.fromkeys(words))
         if new:
             ids = self._encode(new)
-            ends = np.cumsum([len(i) for i in ids]) + self._ends[-1][-1]
-            self._flat.append(np.array([x for i in ids for x in i], np.uint32))
-            self._ends.append(ends.astype(np.int64))
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            self._flat = np.concatenate([self._flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))])
+            self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(sizes)])
+            self._hits = np.concatenate([self._hits, np.zeros(len(new), np.int32)])
+            self._size += sum(map(len, new))
             known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-        if len(self._flat) > 1:
-            self._flat, self._ends = [np.concatenate(self._flat)], [np.concatenate(self._ends)]
-        return np.fromiter((known[w] for w in words), np.int64, len(words))
+        numbers = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        self._hits[numbers] += 1
+        return numbers
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in turn, number of ids of each text). A null text has none."""
@@ -105,11 +124,9 @@ class PieceEncoder:
         coded, starts = pieces(texts)
         words = pc.ascii_trim_whitespace(coded.dictionary) if self._trim else coded.dictionary
         numbers = self._remember(words.to_pylist())[coded.indices.to_numpy()]
-        flat, ends = self._flat[0], self._ends[0]
-        sizes = (ends[1:] - ends[:-1])[numbers]
+        sizes = np.diff(self._ends)[numbers]
         upto = np.concatenate([[0], np.cumsum(sizes)])
-        ids = flat[np.repeat(ends[numbers] - upto[:-1], sizes) + np.arange(upto[-1])]
-        return ids, np.diff(upto[starts])
+        return self._flat[_ranges(self._ends[numbers], sizes)], np.diff(upto[starts])
 
     def _mixed(self, texts: pa.Array, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         parts, sizes = [], []
@@ -126,6 +143,12 @@ class PieceEncoder:
         return np.concatenate(parts), np.concatenate(sizes)
 
 
+def _ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1, .. of each of several runs, one run after the other."""
+    upto = np.concatenate([[0], np.cumsum(sizes)])
+    return np.repeat(first - upto[:-1], sizes) + np.arange(upto[-1])
+
+
 _loaded: dict = {}
 
 
