@@ -6,14 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import embeddings, exact_dedup, language, mixing, near_dedup, packing, reputation, token_counts, token_files
-from .common import table
+from . import embeddings, exact_dedup, language, mixing, near_dedup, packing, pitman_yor, reputation, token_counts, token_files
+from .common import remainder, table
 from .tokens import vocabulary_size
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    return pitman_yor.score_documents(table(spark, sf_dir, "documents"), held_out)
+
+
 def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     pieces = packing.cut_documents(table(spark, sf_dir, "documents"), path)
@@ -62,6 +68,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pitman_yor": op1_pitman_yor,
     "op2_pattern_packing": op2_pattern_packing,
     "op3_language_mixture": op3_language_mixture,
     "op4_pivotal_mix": op4_pivotal_mix,
