@@ -1,0 +1,120 @@
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_rows import MESSY, messy, nothing, records  # noqa: F401
+from pyspark.sql import functions as F
+
+from sparkrecon.llm.common import remainder
+from sparkrecon.llm.pitman_yor import END, Part, Sums, _predict, frequent_contexts, gibbs, perplexity, score_documents, seat
+
+COLUMNS = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+
+def _words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) + [None]
+
+
+def _check_counts(found, rows, held):
+    counts = Counter(w for i, t in rows if not held(i) for w in _words(t))
+    n, v = sum(counts.values()), len(counts)
+    want = []
+    for i, t in rows:
+        words = _words(t)
+        base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words)
+        want.append((str(i), held(i), len(words), sum(counts[w] > 0 for w in words), n, round(base, 6)))
+    got = [(str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in found]
+    assert sorted(got) == sorted(want)
+    assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in found)
+
+
+@pytest.mark.parametrize("size", [1 << 24, 60_000])
+def test_messy_rows(messy, size):
+    found = score_documents(messy, F.col("doc_id") % 2 == 1, partition_bytes=size)
+    assert found.columns == COLUMNS
+    _check_counts(records(found), [m[:2] for m in MESSY], lambda i: i is not None and math.fmod(i, 2) == 1)
+
+
+def test_nothing_to_score_or_to_learn_from(messy, nothing):
+    assert score_documents(nothing, F.lit(False)).count() == 0
+    found = records(score_documents(messy, F.lit(True)))
+    assert len(found) == len(MESSY) and all(r["n_known"] == 0 and r["train_tokens"] == 0 for r in found)
+    # One unknown word is all there is.
+    assert all(r["score"] == pytest.approx(0) and r["base_score"] == pytest.approx(0) for r in found)
+
+
+def test_beats_word_frequencies_and_does_not_depend_on_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    held = remainder(F.col("doc_id"), 7) == 2
+    few = score_documents(docs, held, partition_bytes=1 << 24).cache()
+    many = score_documents(docs, held, partition_bytes=50_000).cache()
+    texts = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    for found in (few, many):
+        _check_counts(records(found), texts, lambda i: zlib.crc32(str(i).encode()) % 7 == 2)
+        out = {r["held_out"]: r for r in records(perplexity(found))}
+        assert out[True]["perplexity"] < 0.6 * out[True]["base_perplexity"]
+    a, b = (f.filter("held_out").agg(F.sum("score")).first()[0] for f in (few, many))
+    assert a == pytest.approx(b, rel=0.01)
+    again = score_documents(docs.repartition(1), held, partition_bytes=1 << 24)
+    assert again.agg(F.sum("score")).first()[0] == pytest.approx(few.agg(F.sum("score")).first()[0], rel=1e-3)
+
+
+def test_frequent_contexts_are_found(spark):
+    docs = spark.range(2000).select(F.concat(F.lit("the cat the dog the "), F.col("id").cast("string"), F.lit(" x")).alias("text"))
+    assert len(frequent_contexts(docs, 8)) >= 1
+
+
+def test_probabilities_add_up_to_one():
+    """Over the known words and the unknown one, in every context, seen or not."""
+    rng = np.random.default_rng(0)
+    table = rng.integers(0, 6, (4, 7))
+    table[3] = 0
+    table[:, 6] = 0  # the unknown word
+    u, w = (x.ravel() for x in np.indices(table.shape))
+    customers = table.ravel()
+    tables = np.minimum(customers, rng.integers(1, 3, len(customers)))
+    names = np.arange(7, dtype=np.uint64)
+    part = Part(np.arange(4, dtype=np.uint64), names, u, w, customers)
+    per_word = part.per_word(tables).astype(int)
+    parents = np.minimum(per_word, 1)
+    sums = Sums(int(customers.sum()), int((per_word > 0).sum()), 3, 4, int(per_word.sum()), 2, 3, int(parents.sum()))
+    found = _predict(part, (tables, per_word, parents, sums)).reshape(4, 7)
+    assert found.sum(axis=1) == pytest.approx(1) and (found > 0).all()
+
+
+def _exact_tables(c, a, d):
+    """Expected number of tables of c customers of one dish: all partitions of c, weighted."""
+    weights = {(): 1.0}
+    for _ in range(c):
+        new = Counter()
+        for sizes, p in weights.items():
+            new[tuple(sorted((*sizes, 1)))] += p * a
+            for k in range(len(sizes)):
+                bigger = (*sizes[:k], sizes[k] + 1, *sizes[k + 1 :])
+                new[tuple(sorted(bigger))] += p * (sizes[k] - d)
+        weights = new
+    total = sum(weights.values())
+    return sum(len(s) * p for s, p in weights.items()) / total
+
+
+@pytest.mark.parametrize("c, a, d", [(2, 0.5, 0.3), (5, 1.5, 0.5), (9, 0.2, 0.8), (12, 3.0, 0.1)])
+def test_gibbs_reaches_the_exact_distribution(c, a, d):
+    rng = np.random.default_rng(4)
+    n = 4000
+    customers, fresh = np.full(n, c), np.full(n, a)
+    group, size = gibbs(*seat(customers, fresh, d, rng), fresh, d, 80, rng)
+    assert (np.bincount(group, size, n) == c).all() and (size > 0).all()
+    assert len(group) / n == pytest.approx(_exact_tables(c, a, d), rel=0.03)
+
+
+def test_seating_keeps_all_customers():
+    rng = np.random.default_rng(1)
+    customers = np.array([0, 1, 2, 3, 17, 1000, 250_000, 0])
+    group, size = seat(customers, np.full(8, 0.7), 0.6, rng)
+    assert (np.bincount(group, size, 8) == customers).all() and (np.diff(group) >= 0).all()
+    group, size = gibbs(group, size, np.full(8, 0.7), 0.6, 5, rng)
+    assert (np.bincount(group, size, 8) == customers).all()
+    assert END != 0
