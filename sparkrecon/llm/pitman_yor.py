@@ -40,8 +40,8 @@ from .tokens import slices
 from .words import mixed, word_hashes
 
 BEGIN, END = np.uint64(0x1D8AF066C5E3A10B), np.uint64(0x5F3C9B72E4D18A67)
-# Bytes of text per block and per partition.
-BLOCK, PARTITION = 12 << 20, 24 << 20
+# Characters of text per block, bytes of text per partition.
+BLOCK, PARTITION = 8 << 20, 24 << 20
 # One document in so many looks for frequent contexts; one is frequent from this part of a partition.
 SAMPLED, FREQUENT = 50, 0.25
 CONCENTRATION = 1.0
@@ -91,32 +91,37 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _route(parts: int, heavy: np.ndarray):
     """Blocks of documents to messages per partition: packed pairs, and once the documents."""
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def route(rows: Iterable[tuple]) -> Iterator[tuple[int, bytes]]:
         block = TaskContext.get().partitionId() << 24
-        for batch in batches:
-            for part in slices(batch, "text", BLOCK):
-                held = part.column("held").to_numpy(zero_copy_only=False)
-                context, word, doc = _tokens(part.column("text"))
-                to = mixed(context) % np.uint64(parts)
-                if len(heavy):
-                    often = np.isin(context, heavy)
-                    to[often] = mixed(context[often] ^ mixed(word[often])) % np.uint64(parts)
-                order = np.argsort(to.astype(np.uint32), kind="stable")
-                bounds = np.searchsorted(to[order], np.arange(parts + 1, dtype=np.uint64))
-                pids, blobs = [], []
-                for pid in np.flatnonzero(np.diff(bounds)):
-                    at = order[bounds[pid] : bounds[pid + 1]]
-                    pids.append(int(pid))
-                    blobs.append(_pairs(block, context[at], word[at], doc[at], held))
-                pids.append(block % parts)
-                counts = np.bincount(doc, minlength=part.num_rows)
-                blobs.append(_pack(("docs", block, part.column("doc_id").to_pylist(), held, counts)))
-                block += 1
-                yield pa.record_batch([pa.array(pids, pa.int32()), pa.array(blobs, pa.binary())], names=["pid", "blob"])
+        held, size = [], 0
+        for row in rows:
+            held.append(row)
+            size += len(row[2])
+            if size >= BLOCK:
+                yield from _messages(block, held, parts, heavy)
+                block, held, size = block + 1, [], 0
+        if held:
+            yield from _messages(block, held, parts, heavy)
 
     return route
 
 
+def _messages(block: int, rows: list[tuple], parts: int, heavy: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    ids, held = [r[0] for r in rows], np.array([r[1] for r in rows], bool)
+    context, word, doc = _tokens(pa.array([r[2] for r in rows], pa.string()))
+    to = mixed(context) % np.uint64(parts)
+    if len(heavy):
+        often = np.isin(context, heavy)
+        to[often] = mixed(context[often] ^ mixed(word[often])) % np.uint64(parts)
+    yield block % parts, _pack(("docs", block, ids, held, np.bincount(doc, minlength=len(ids))))
+    to = to.astype(np.uint32)
+    order = np.argsort(to, kind="stable").astype(np.int32)
+    bounds = np.searchsorted(to[order], np.arange(parts + 1, dtype=np.uint32))
+    for pid in np.flatnonzero(np.diff(bounds)):
+        at = order[bounds[pid] : bounds[pid + 1]]
+        yield int(pid), _pairs(block, context[at], word[at], doc[at], held)
+
+
 def _pairs(block: int, context: np.ndarray, word: np.ndarray, doc: np.ndarray, held: np.ndarray) -> bytes:
     contexts, u = np.unique(context, return_inverse=True)
     words, w = np.unique(word, return_inverse=True)
@@ -559,8 +564,7 @@ def score_documents(
     size = read.agg(F.sum(F.octet_length("text")).cast("long")).first()[0] or 0
     parts = parts_for(size, partition_bytes)
     heavy = frequent_contexts(read.select("text"), parts) if parts > 1 else np.zeros(0, np.uint64)
-    routed = read.mapInArrow(_route(parts, heavy), "pid int, blob binary")
-    blocks = _dealt(routed.rdd.map(lambda r: (r[0], bytes(r[1]))), parts)
+    blocks = _dealt(read.rdd.mapPartitions(_route(parts, heavy)), parts)
     asked = _dealt(blocks.mapPartitions(_ask(parts, heavy)), parts)
     # The first numbers only need what was asked; each further round needs its own messages.
     view, state = asked.map(lambda messages: (messages, messages)), None
