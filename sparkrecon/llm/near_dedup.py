@@ -10,9 +10,10 @@ similarity.
 
 Bands of coordinates are joined on their values. In a bucket every text is compared with one centre
 only; components of what was linked are formed, and only buckets that still hold several components
-are looked at again, with other centres, and in the end pair by pair across components. So a group of
-thousands of near copies costs about one comparison per member and round, and no link between two
-components is left out. Every candidate is verified on the whole texts.
+are looked at again, with other centres. So a group of thousands of near copies costs about one
+comparison per member and round. What is left are mostly texts that share a passage and are otherwise
+different: their buckets are split by a second band, which similar texts share as well, before the
+pairs across components are compared. Every candidate is verified on the whole texts.
 
 Equal texts are one class from the start: they are linked whatever their number.
 """
@@ -34,10 +35,10 @@ from .tokens import slices
 from .words import mixed, occurrences, shingles, word_hashes
 
 WIDTH, LEAST = 5, 0.8
-# A pair at 0.8 shares no band with probability (1 - 0.8 ** 4) ** 24 = 3e-6.
-ROWS, BANDS = 4, 24
-# Rounds with one centre per bucket before the exhaustive one.
-STAR_ROUNDS = 2
+# A pair at 0.8 shares fewer than two bands with probability 1e-6, none with 5e-8.
+ROWS, BANDS = 4, 32
+# Rounds with one centre per bucket of one band, and of two bands, before the exhaustive one.
+STAR_ROUNDS, FINER_ROUNDS = 2, 1
 # Bytes of text whose darts are thrown together.
 TOGETHER = 2 << 20
 
@@ -209,6 +210,24 @@ def _across(buckets: DataFrame) -> DataFrame:
     return met.select(*_ordered(F.col("cls"), F.col("cls_b"))).distinct()
 
 
+def _finer(buckets: DataFrame) -> DataFrame:
+    """Buckets of pairs of bands, from the buckets (key, cls, comp) of single ones: texts meet again
+    where they share two. No text has more than the pairs of its bands."""
+    keys = F.sort_array(F.collect_set("key"))
+    pairs = F.flatten(
+        F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y)))
+    )
+    members = buckets.groupBy("cls", "comp").agg(keys.alias("keys")).select("cls", "comp", F.explode(pairs).alias("key"))
+    members = written(members, "near-members")
+    return _open(members)
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """The rows (key, cls, comp) of buckets that hold several components, written."""
+    several = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
+    return written(members.join(written(several.select("key"), "near-several"), "key"), "near-buckets")
+
+
 def classes_and_roots(docs: DataFrame, id_col: str, text_col: str, least: float, width: int) -> tuple[DataFrame, DataFrame]:
     """(one row per document: doc_id, sha, row_no; one row per distinct text: sha, root)."""
     signed = _signed(docs, id_col, text_col, width)
@@ -222,27 +241,20 @@ def classes_and_roots(docs: DataFrame, id_col: str, text_col: str, least: float,
         classes.select("cls", "sha").join(buckets.select("cls").distinct(), "cls"), "near-wanted"
     )
     texts = _texts(docs, wanted, text_col)
-    tested = linked = roots = None
-    for turn in range(STAR_ROUNDS + 1):
-        pairs = _star(buckets, turn) if turn < STAR_ROUNDS else _across(buckets)
+    tested = roots = None
+    last = STAR_ROUNDS + FINER_ROUNDS
+    for turn in range(last + 1):
+        if turn == STAR_ROUNDS:
+            buckets = _finer(buckets)
+        pairs = _star(buckets, turn) if turn < last else _across(buckets)
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         found = _verified(written(pairs, "near-pairs"), texts, least, width)
         tested = found if tested is None else tested.unionByName(found)
-        linked = tested.filter("linked").select("a", "b")
-        roots = written(components(linked), "near-roots")
-        if turn == STAR_ROUNDS:
-            break
-        labelled = (
-            buckets.drop("comp").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-            .select("key", "cls", F.coalesce("root", "cls").alias("comp"))
-        )
-        labelled = written(labelled, "near-buckets")
-        several = written(
-            labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key"),
-            "near-several",
-        )
-        buckets = written(labelled.join(several, "key"), "near-buckets")
+        roots = written(components(tested.filter("linked").select("a", "b")), "near-roots")
+        if turn < last:
+            labelled = buckets.drop("comp").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+            buckets = _open(written(labelled.select("key", "cls", F.coalesce("root", "cls").alias("comp")), "near-labelled"))
     known = classes.select("sha", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     return signed.select("doc_id", "sha", "row_no"), written(
         known.select("sha", F.coalesce("root", "cls").alias("root")), "near-known"
