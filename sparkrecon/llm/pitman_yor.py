@@ -36,12 +36,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import parts_for, text_or_empty
-from .tokens import slices
 from .words import mixed, word_hashes
 
 BEGIN, END = np.uint64(0x1D8AF066C5E3A10B), np.uint64(0x5F3C9B72E4D18A67)
 # Characters of text per block, bytes of text per partition.
-BLOCK, PARTITION = 8 << 20, 24 << 20
+BLOCK, PARTITION = 6 << 20, 12 << 20
 # One document in so many looks for frequent contexts; one is frequent from this part of a partition.
 SAMPLED, FREQUENT = 50, 0.25
 CONCENTRATION = 1.0
@@ -521,21 +520,31 @@ def frequent_contexts(docs: DataFrame, parts: int) -> np.ndarray:
     """Words that are a good part of a partition, from one document in ``SAMPLED`` (all columns: text).
     It decides where pairs go, never what is counted; a word it misses makes a partition fuller."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                words, n = np.unique(word_hashes(part.column("text"), lower=True)[0], return_counts=True)
-                most = n >= n.sum() * FREQUENT / parts / 2
-                total = [(np.uint64(0), int(n.sum())), *zip(words[most], n[most].tolist(), strict=True)]
-                yield pa.record_batch(
-                    [pa.array(np.array([w for w, _ in total], np.uint64).view(np.int64)), pa.array([c for _, c in total])],
-                    names=["word", "n"],
-                )
+    def count(rows: Iterable[tuple]) -> Iterator[tuple[int, int]]:
+        found: dict[int, int] = {}
+        for texts in _chunks((r[0] for r in rows), BLOCK):
+            words, n = np.unique(word_hashes(pa.array(texts, pa.string()), lower=True)[0], return_counts=True)
+            most = n >= n.sum() * FREQUENT / parts / 2
+            for w, c in [(-1, int(n.sum())), *zip(words[most].tolist(), n[most].tolist(), strict=True)]:
+                found[w] = found.get(w, 0) + c
+        yield from found.items()
 
     sample = docs.filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)
-    rows = dict(sample.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n")).collect())
-    total = rows.pop(0, 0)
-    return np.sort(np.array([w for w, n in rows.items() if n >= total * FREQUENT / parts], np.int64).view(np.uint64))
+    rows = dict(sample.rdd.mapPartitions(count).reduceByKey(lambda a, b: a + b).collect())
+    total = rows.pop(-1, 0)
+    return np.sort(np.array([w for w, n in rows.items() if n >= total * FREQUENT / parts], np.uint64))
+
+
+def _chunks(texts: Iterable[str], most: int) -> Iterator[list[str]]:
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def score_documents(
