@@ -32,25 +32,21 @@ def row_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     return counted(source, SYSTEMS[0]).unionByName(counted(target, SYSTEMS[1]))
 
 
-def missing_in_target(
-    source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RULES
-) -> DataFrame:
+def missing_in_target(source: DataFrame, target: DataFrame) -> DataFrame:
     columns = [
         "transaction_id", "transaction_date", "posting_date", "gl_account", "department",
         "debit_amount", "credit_amount", "currency", "transaction_type", "description",
     ]
-    rows = unmatched(source, SOURCE_KEY, target, TARGET_KEY, columns, rules)
+    rows = unmatched(source, SOURCE_KEY, target, TARGET_KEY, columns)
     return _labelled_latest_first(rows, MISSING_IN_TARGET)
 
 
-def missing_in_source(
-    source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RULES
-) -> DataFrame:
+def missing_in_source(source: DataFrame, target: DataFrame) -> DataFrame:
     columns = [
         "ledger_transaction_id", "transaction_date", "posting_date", "gl_account", "department",
         "debit_amount", "credit_amount", "ledger_status",
     ]
-    rows = unmatched(target, TARGET_KEY, source, SOURCE_KEY, columns, rules)
+    rows = unmatched(target, TARGET_KEY, source, SOURCE_KEY, columns)
     return _labelled_latest_first(rows, MISSING_IN_SOURCE)
 
 
@@ -116,7 +112,7 @@ def detail(
     left, right = tag_keys(
         side(source, SOURCE_KEY, "src"), side(target, TARGET_KEY, "tgt"), "key", "key", "never"
     )
-    joined = full_outer(left, right, rules.hot_rows)
+    joined = full_outer(left, right)
     # in_src and in_tgt tell whether the side has a key, so they are not true for a null key.
     has_source = F.coalesce("in_src", F.lit(False))
     has_target = F.coalesce("in_tgt", F.lit(False))
@@ -183,8 +179,8 @@ def all_queries(
 ) -> dict[str, DataFrame]:
     return {
         "rq1_row_counts": row_counts(source, target),
-        "rq2_missing_in_target": missing_in_target(source, target, rules),
-        "rq3_missing_in_source": missing_in_source(source, target, rules),
+        "rq2_missing_in_target": missing_in_target(source, target),
+        "rq3_missing_in_source": missing_in_source(source, target),
         "rq4_amount_discrepancy": amount_discrepancies(source, target, rules),
         "rq5_detail": detail(source, target, rules),
         "rq6_kpis": kpis(source, target, rules),

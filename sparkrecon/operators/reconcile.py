@@ -50,7 +50,7 @@ def reconcile(
     left, right = tag_keys(
         _side(source, SOURCE_KEY, "src"), _side(target, TARGET_KEY, "tgt"), "key", "key", null_keys
     )
-    return full_outer(left, right, rules.hot_rows).withColumns(
+    return full_outer(left, right).withColumns(
         {
             "key": plain_key(),
             "reconciliation_status": _status(rules.tolerance),

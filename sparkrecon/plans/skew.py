@@ -4,8 +4,9 @@ A full outer join is put together from an inner join and the unmatched rows of e
 
 * In the inner join AQE splits a skewed partition of either side, which it does not in a full outer
   join.
-* For unmatched rows only the distinct keys of the other side are needed, and those are never skewed.
-  Rows of a hot key on the side that is kept are looked up in a short list and not shuffled at all.
+* For unmatched rows only the keys of the other side are needed. They are made nearly distinct first,
+  which no repeated key survives, and then meet the rows in an anti join of which AQE splits a skewed
+  partition of the rows.
 
 Both parts shuffle the same rows by the same key, so Spark runs that shuffle once and reuses it.
 """
@@ -14,30 +15,42 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KEY, TAG = "_key", "_tag"
 ID = [KEY, TAG]
 
-# Counters kept per sketch. Keys well above 3.5 / 32768 of the rows (0.011 %) are found; one that is
-# missed costs balance, never rows.
-_TRACKED = 32_768
-# Upper bound for the list of hot keys of a table; it is what makes collecting and broadcasting it
-# safe. A key beyond it is treated like any other.
-_MAX_HOT = 10_000
-# Sketches are merged in two steps, so that no task merges one per map task.
-_MERGE_TASKS = 200
+# A key is kept once per this many groups of map tasks. The rest of a distinct would put an aggregate
+# between shuffle and join, and AQE only splits a join that reads its shuffles directly.
+_COPIES = 8
+
+
+def _common_type(left: T.DataType, right: T.DataType) -> str:
+    """The type in which two key columns are compared. Text and numbers have none in common."""
+    if left == right:
+        return left.simpleString()
+    kinds = {left.simpleString(), right.simpleString()}
+    if kinds <= {"tinyint", "smallint", "int", "bigint"}:
+        return "bigint"
+    if all(isinstance(t, T.NumericType) for t in (left, right)):
+        return "double"
+    if kinds <= {"date", "timestamp", "timestamp_ntz"}:
+        return "timestamp"
+    raise ValueError(f"keys of types {left.simpleString()} and {right.simpleString()} cannot be compared")
 
 
 def tag_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str, null_keys: str):
     """Replace the key columns by (_key, _tag), equal exactly where the keys are to match.
 
-    ``null_keys="match"`` lets null equal null; ``"never"`` gives null another tag on each side.
+    ``null_keys="match"`` lets null equal null; ``"never"`` gives null another tag on each side. Keys
+    of different types are brought to their common type first.
     """
     if null_keys not in ("match", "never"):
         raise ValueError(f"null_keys must be 'match' or 'never', not {null_keys!r}")
+    kind = _common_type(left.schema[left_key].dataType, right.schema[right_key].dataType)
 
     def tagged(df, name, null_tag):
-        key = F.col(name).cast("string")
+        key = F.col(name).cast(kind).cast("string")
         ids = {
             KEY: F.coalesce(key, F.lit("")),
             TAG: F.when(key.isNull(), F.lit(null_tag)).otherwise(F.lit(0)),
@@ -52,56 +65,20 @@ def plain_key() -> Column:
     return F.when(F.col(TAG) == 0, F.col(KEY))
 
 
-def full_outer(left: DataFrame, right: DataFrame, hot_rows: int | None) -> DataFrame:
+def full_outer(left: DataFrame, right: DataFrame) -> DataFrame:
     """Full outer join of two tagged frames. Their other columns must have different names."""
     pairs = left.join(right, ID)
-    left_only, right_only = anti(left, right, hot_rows), anti(right, left, hot_rows)
+    left_only, right_only = anti(left, right), anti(right, left)
     return pairs.unionByName(left_only, allowMissingColumns=True).unionByName(
         right_only, allowMissingColumns=True
     )
 
 
-def anti(left: DataFrame, right: DataFrame, hot_rows: int | None) -> DataFrame:
-    """Rows of tagged ``left`` whose key does not occur in tagged ``right``.
-
-    Keys with ``hot_rows`` rows or more on the left are found first; ``None`` skips that, for keys
-    known to be near unique.
-    """
-    keys = right.select(*ID).distinct()
-    hot = frequent_keys(left, hot_rows) if hot_rows else []
-    if not hot:
-        return left.join(keys, ID, "left_anti")
-    hot_list = _listed(left, hot)
-    found = {tuple(r) for r in right.select(*ID).join(hot_list, ID, "left_semi").distinct().collect()}
-    rest = left.join(hot_list, ID, "left_anti").join(keys, ID, "left_anti")
-    lone = [k for k in hot if k not in found]
-    return rest.unionByName(left.join(_listed(left, lone), ID, "left_semi")) if lone else rest
-
-
-def _listed(df: DataFrame, keys: list[tuple[str, int]]) -> DataFrame:
-    """A list of at most ``_MAX_HOT`` keys, to be broadcast."""
-    return F.broadcast(df.sparkSession.createDataFrame(keys, f"{KEY} STRING, {TAG} INT"))
-
-
-def frequent_keys(df: DataFrame, hot_rows: int) -> list[tuple[str, int]]:
-    """The keys of a tagged frame with about ``hot_rows`` rows or more, ``_MAX_HOT`` at most.
-
-    A frequent-item sketch per map task: one scan of the key column and no shuffle of rows. The
-    result steers how rows travel, never which rows are returned.
-    """
-    packed = F.concat(F.col(TAG).cast("string"), F.lit(":"), F.col(KEY))
-    sketches = (
-        df.select(packed.alias("item"), (F.spark_partition_id() % _MERGE_TASKS).alias("group"))
-        .groupBy("group")
-        .agg(F.expr(f"approx_top_k_accumulate(item, {_TRACKED})").alias("sketch"))
-    )
-    # Grouped by a constant: no row at all comes out of an empty input.
-    merged = sketches.groupBy(F.lit(0).alias("all")).agg(
-        F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch")
-    )
-    top = merged.select(F.expr(f"inline(approx_top_k_estimate(sketch, {_MAX_HOT}))"))
-    rows = top.filter(F.col("count") >= hot_rows).select("item").collect()
-    return [(key, int(tag)) for tag, _, key in (r["item"].partition(":") for r in rows)]
+def anti(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of tagged ``left`` whose key does not occur in tagged ``right``."""
+    copy = (F.spark_partition_id() % _COPIES).alias("_copy")
+    keys = right.select(*ID, copy).distinct().select(*ID)
+    return left.join(keys, ID, "left_anti")
 
 
 def sorted_rows(df: DataFrame, *orders: Column) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Hot keys: found, kept out of the shuffles, and joined to the same result."""
+"""Hot keys: joins that AQE splits, with the same result."""
 
 import re
 from collections import Counter
@@ -8,7 +8,6 @@ from conftest import records
 from pyspark.sql import functions as F
 
 from sparkrecon.operators import dq
-from sparkrecon.params import Rules
 from sparkrecon.plans import skew
 
 
@@ -28,39 +27,23 @@ def sides(spark):
     return left, right
 
 
-def test_frequent_keys(spark):
-    left, right = skew.tag_keys(*sides(spark), "k", "k", "match")
-    assert skew.frequent_keys(left, 100) == [("HOT", 0)]
-    assert skew.frequent_keys(right, 100) == [("", 1)]
-    assert skew.frequent_keys(left, 1_000_000) == []
-    assert skew.frequent_keys(left.limit(0), 1) == []
-
-
-def test_frequent_keys_with_separator_or_empty(spark):
-    rows = [("a:b",)] * 5 + [("",)] * 5 + [(None,)] * 5 + [("x",)]
-    df, _ = skew.tag_keys(*[spark.createDataFrame(rows, "k STRING")] * 2, "k", "k", "match")
-    assert set(skew.frequent_keys(df, 5)) == {("a:b", 0), ("", 0), ("", 1)}
-
-
 def test_null_is_not_the_empty_key(spark):
     left = spark.createDataFrame([("", 1), (None, 2)], "k STRING, l INT")
     right = spark.createDataFrame([("", 3)], "k STRING, r INT")
     for mode in ("match", "never"):
-        for hot_rows in (1, None):
-            joined = skew.full_outer(*skew.tag_keys(left, right, "k", "k", mode), hot_rows)
-            found = joined.select(skew.plain_key().alias("key"), "l", "r")
-            assert {tuple(r) for r in found.collect()} == {("", 1, 3), (None, 2, None)}
+        joined = skew.full_outer(*skew.tag_keys(left, right, "k", "k", mode))
+        found = joined.select(skew.plain_key().alias("key"), "l", "r")
+        assert {tuple(r) for r in found.collect()} == {("", 1, 3), (None, 2, None)}
 
 
 @pytest.mark.parametrize("mode", ["match", "never"])
-@pytest.mark.parametrize("hot_rows", [1, 100, None])
-def test_full_outer_equals_sparks(spark, mode, hot_rows):
+def test_full_outer_equals_sparks(spark, mode):
     left, right = sides(spark)
     right = right.union(spark.createDataFrame([("", 1000), ("HOT", 1001)], "k STRING, r BIGINT"))
     left = left.union(spark.createDataFrame([(None, 9000), (None, 9001)], "k STRING, l BIGINT"))
     a, b = skew.tag_keys(left, right, "k", "k", mode)
     want = a.join(b, skew.ID, "full").select(*skew.ID, "l", "r")
-    got = skew.full_outer(a, b, hot_rows).select(*skew.ID, "l", "r")
+    got = skew.full_outer(a, b).select(*skew.ID, "l", "r")
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
 
 
@@ -68,68 +51,74 @@ def test_anti_join_with_hot_keys(spark):
     left, right = sides(spark)
     known = {r["k"] for r in records(right)}
     want = sorted(r["l"] for r in records(left) if r["k"] not in known)
-    for hot_rows in (1, 100, 1_000_000, None):
-        found = dq.unmatched(left, "k", right, "k", ["l"], Rules(hot_rows=hot_rows))
-        assert sorted(r["l"] for r in records(found)) == want
-    for hot_rows in (100, None):
-        assert dq.unmatched(right, "k", left, "k", ["r"], Rules(hot_rows=hot_rows)).count() == 200
+    assert sorted(r["l"] for r in records(dq.unmatched(left, "k", right, "k", ["l"]))) == want
+    assert dq.unmatched(right, "k", left, "k", ["r"]).count() == 200
 
 
 def test_anti_join_returns_null_keys_even_if_both_sides_have_them(spark):
     left = spark.createDataFrame([(None, 1), ("A", 2)], "k STRING, l INT")
     right = spark.createDataFrame([(None,), ("A",)], "q STRING")
-    for hot_rows in (1, 1000):
-        found = records(dq.unmatched(left, "k", right, "q", ["l"], Rules(hot_rows=hot_rows)))
-        assert found == [{"l": 1}]
+    assert records(dq.unmatched(left, "k", right, "q", ["l"])) == [{"l": 1}]
 
 
-def test_rows_of_a_hot_key_are_not_shuffled(spark):
-    """All rows have one of two hot keys, so the anti join shuffles no row of the left side."""
-    left = spark.range(0, 2000, 1, 4).select(
-        F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("k"), F.col("id").alias("l")
-    )
-    right = spark.createDataFrame([("A",), ("C",)], "k STRING")
-    a, b = skew.tag_keys(left, right, "k", "k", "never")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        found = skew.anti(a, b, 100)
-        assert found.count() == 1000
-        found.collect()
-        text = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # The part for other keys turned out empty, and AQE dropped it with its sort-merge join.
-    assert "SortMergeJoin" not in text
-    assert "BroadcastHashJoin" in text and "LeftSemi" in text
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "64",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+}
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Settings under which a few thousand rows of one key count as a skewed partition."""
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield
+    for k in SKEW:
+        spark.conf.unset(k)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def _hot(spark, name, share):
+    key = F.when(F.col("id") % share == 0, "HOT").otherwise(F.concat(F.lit("L"), "id"))
+    return spark.range(0, 60000, 1, 16).select(key.alias("k"), F.col("id").alias(name))
 
 
 @pytest.mark.parametrize("hot_side", ["left", "right"])
-def test_inner_part_is_split_by_aqe(spark, hot_side):
+def test_inner_part_is_split_by_aqe(spark, small_partitions, hot_side):
     """The pairs come from a join whose skewed partitions AQE cuts, on either side."""
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.shuffle.partitions": "64",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
-    }
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        left = spark.range(0, 60000, 1, 16).select(
-            F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("L"), "id")).alias("k"),
-            F.col("id").alias("l"),
-        )
-        right = left.filter("k != 'HOT' OR l < 10").withColumnRenamed("l", "r")
-        pair = (left, right) if hot_side == "left" else (right, left)
-        joined = skew.full_outer(*skew.tag_keys(*pair, "k", "k", "match"), 1000)
-        assert len(joined.collect()) == 20000 * 4 + 40000
-        text = joined._jdf.queryExecution().executedPlan().toString()
-        assert re.search(r"SortMergeJoin\(skew=true\).*Inner", text)
-    finally:
-        for k in conf:
-            spark.conf.unset(k)
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    left = _hot(spark, "l", 3)
+    right = left.filter("k != 'HOT' OR l < 10").withColumnRenamed("l", "r")
+    pair = (left, right) if hot_side == "left" else (right, left)
+    joined = skew.full_outer(*skew.tag_keys(*pair, "k", "k", "match"))
+    assert len(joined.collect()) == 20000 * 4 + 40000
+    assert re.search(r"SortMergeJoin\(skew=true\).*Inner", _plan(joined))
+
+
+@pytest.mark.parametrize("other_hot", [False, True])
+def test_anti_join_is_split_by_aqe(spark, small_partitions, other_hot):
+    """Also where the key is hot on the other side; there it arrives as a few rows."""
+    left = _hot(spark, "l", 3)
+    other = _hot(spark, "r", 3).filter("k = 'HOT' OR r < 30000") if other_hot else _hot(spark, "r", 3).filter("k <> 'HOT'")
+    a, b = skew.tag_keys(left, other, "k", "k", "never")
+    found = skew.anti(a, b)
+    assert len(found.collect()) == 20000
+    assert re.search(r"SortMergeJoin\(skew=true\).*LeftAnti", _plan(found))
+
+
+def test_keys_of_different_types(spark):
+    ids = spark.createDataFrame([(1,), (2,), (None,)], "k BIGINT")
+    amounts = spark.createDataFrame([(1.0,), (2.5,), (None,)], "k DOUBLE")
+    a, b = skew.tag_keys(ids, amounts, "k", "k", "never")
+    assert a.join(b, skew.ID).count() == 1 and skew.anti(a, b).count() == 2
+    with pytest.raises(ValueError, match="cannot be compared"):
+        skew.tag_keys(ids, spark.createDataFrame([("1",)], "k STRING"), "k", "k", "match")
 
 
 def test_sort_cuts_within_one_sort_value(spark):
