@@ -13,9 +13,8 @@ from ..params import NA_TOKENS
 # Fixed value: the cells that count as a number. A bare try_cast would also take "12d" or "1.5f".
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-# Amounts below this size are added up as decimals, larger ones as doubles (see money_sum).
-EXACT_LIMIT = 1e15
-EXACT_TYPE = "decimal(24,8)"
+# The part of an amount that is added up as a decimal; the rest is added as a double (see money_sum).
+EXACT_TYPE = "decimal(28,8)"
 
 
 def na_to_null(c: Column) -> Column:
@@ -67,29 +66,32 @@ def share_pct(part: Column, whole: Column, digits: int) -> Column:
     return F.when(whole > 0, F.round(F.lit(100.0) * part / whole, digits)).otherwise(F.lit(0.0))
 
 
+def split_amount(c: Column, kind: str = EXACT_TYPE) -> tuple[Column, Column]:
+    """A double as a decimal and the double that is left: ``c`` is their sum. Nothing is left of an
+    amount with the places of the decimal; all is left of one that it cannot hold."""
+    exact = F.coalesce(c.try_cast(kind), F.lit(0).cast(kind))
+    return F.when(c.isNotNull(), exact), c - exact.cast("double")
+
+
 def _sum_parts(c: Column) -> tuple[Column, Column]:
-    fits = F.abs(c) < F.lit(EXACT_LIMIT)
-    exact = F.sum(F.when(fits, c.cast(EXACT_TYPE)))
-    wide = F.sum(F.when(~fits, c))
-    only_wide = exact.isNull() & wide.isNotNull()
-    return F.when(only_wide, F.lit(0).cast("decimal(34,8)")).otherwise(exact), F.coalesce(
-        wide, F.lit(0.0)
-    )
+    exact, rest = split_amount(c)
+    return F.sum(exact), F.coalesce(F.sum(rest), F.lit(0.0))
 
 
 def money_sum(c: Column) -> Column:
     """Sum of a double money column that does not depend on the order of the rows.
 
     Adding doubles gives another last digit for every partitioning, which flips roundings and the
-    "balanced" test on large tables. Amounts are therefore added as decimals with 8 places;
-    values of 1e15 and more, which a decimal of that width cannot hold, are added as doubles.
+    "balanced" test on large tables. Every amount is therefore added as a decimal with 8 places plus
+    what those places leave of it, as a double. That is nothing for money; for finer or huge amounts
+    nothing is lost, and the order of the rows can only touch the last digits of the remainder.
     Null if there is no value at all, as in SQL.
     """
-    exact, wide = _sum_parts(c)
-    return exact.cast("double") + wide
+    exact, rest = _sum_parts(c)
+    return exact.cast("double") + rest
 
 
 def money_net(a: Column, b: Column) -> Column:
     """``money_sum(a) - money_sum(b)``, subtracted before the result becomes a double."""
-    (exact_a, wide_a), (exact_b, wide_b) = _sum_parts(a), _sum_parts(b)
-    return (exact_a - exact_b).cast("double") + (wide_a - wide_b)
+    (exact_a, rest_a), (exact_b, rest_b) = _sum_parts(a), _sum_parts(b)
+    return (exact_a - exact_b).cast("double") + (rest_a - rest_b)

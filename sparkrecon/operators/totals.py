@@ -13,9 +13,9 @@ not cost the square of its rows:
    pairs, which follows from per-key sums, less the sum over the pairs within tolerance.
    What the band join looks at are distinct amounts of one key in neighbouring cells: a handful for
    money in cents, many for a key with very many amounts closer together than the tolerance.
-   (Differences are rounded to 4 places each. One that lies exactly half way between two such
-   values, which takes amounts of 5 or more places, is rounded up here and away from 0 in the
-   detail rows.)
+3. Rounding each difference to 4 places and then adding, as the rows do, equals adding first only if
+   the amounts have 4 places themselves. Mixed keys with finer or huge amounts are joined row by row,
+   in an inner join that AQE can split, and added up on the way; no such row is kept.
 
 Mixed keys are kept in a table in the shared folder between the two steps, so that step 2 reads
 only rows of those keys, by a broadcast if their list is small enough and by a shuffle otherwise.
@@ -23,14 +23,13 @@ only rows of those keys, by a broadcast if their list is small enough and by a s
 
 from __future__ import annotations
 
-from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exceeds, share_pct
-from ..functions.values import EXACT_LIMIT
+from ..functions.values import split_amount
 from ..params import DEFAULT_RULES, Rules
 from ..plans.skew import ID as _ID
 from ..plans.skew import KEY, TAG, tag_keys
@@ -39,9 +38,11 @@ from .reconcile import SOURCE_KEY, TARGET_KEY, for_reconciliation, summary_row
 
 _COUNTS = ["matched", "amount_discrepancies", "missing_in_target", "missing_in_source"]
 _DELTAS = ["debit_delta", "credit_delta"]
-# Differences of amounts too large for a decimal are added up as doubles beside the exact sums.
+# What a decimal cannot hold of a difference is added up as a double beside the exact sums.
 _REST = ["debit_rest", "credit_rest"]
-_SUM_TYPE = "decimal(38,4)"
+_SUM_TYPE, _COUNT_TYPE, _AMOUNT_TYPE = "decimal(38,4)", "decimal(38,0)", "decimal(24,4)"
+# Below this size the difference of two doubles of 4 places, rounded to 4 places, is exact.
+_PLAIN = 1e11
 
 
 def reconcile_totals(
@@ -93,13 +94,15 @@ def _totals(left, right, rules: Rules, with_deltas: bool, null_source_missing: b
     mixed = groups.filter("mixed").select(*_ID)
     s, t = _weighted(left, mixed), _weighted(right, mixed)
     parts = [
-        groups.filter("NOT mixed").select(*_COUNTS, *_DELTAS, *_REST),
+        groups.filter("NOT mixed AND NOT fine").select(*_COUNTS, *_DELTAS, *_REST),
         # Every pair of a mixed key is a discrepancy until the band join says otherwise.
         _row(groups.filter("mixed").agg(F.sum("pairs").alias("n")), amount_discrepancies=F.col("n")),
         _pairs_within(s, t, rules, with_deltas),
     ]
     if with_deltas:
         parts.append(_deltas_of_all_pairs(s, t))
+        fine = groups.filter("fine").select(*_ID)
+        parts.append(_row_by_row(left.join(fine, _ID, "left_semi"), right.join(fine, _ID, "left_semi"), rules))
     return reduce(DataFrame.unionByName, parts).agg(
         *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in _COUNTS],
         *[
@@ -113,24 +116,32 @@ def _row(df: DataFrame, **values: Column) -> DataFrame:
     """The uniform shape of a partial result; what is not given is 0."""
     zero = F.lit(0)
     return df.select(
-        *[values.get(c, zero).cast("long").alias(c) for c in _COUNTS],
+        *[values.get(c, zero).cast(_COUNT_TYPE).alias(c) for c in _COUNTS],
         *[values.get(c, zero).cast(_SUM_TYPE).alias(c) for c in _DELTAS],
         *[values.get(c, zero).cast("double").alias(c) for c in _REST],
     )
 
 
-def _fits(c: Column) -> Column:
-    return F.abs(c) < F.lit(EXACT_LIMIT)
+def _times(n: Column, m: Column) -> Column:
+    """Number of pairs, wider than a bigint."""
+    return n.cast("decimal(20,0)") * m.cast("decimal(18,0)")
 
 
 def _ranges(df: DataFrame, side: str) -> DataFrame:
-    """One row per key: row count, and range and number of the known amounts."""
+    """One row per key: row count, range and number of the known amounts, and whether any of them is
+    finer than 4 places or huge."""
     amounts = [
         f(a).alias(f"{side}_{a}_{name}")
         for a in ("d", "c")
         for name, f in (("lo", F.min), ("hi", F.max), ("n", F.count))
     ]
-    return df.groupBy(*_ID).agg(F.count(F.lit(1)).alias(f"{side}_n"), *amounts)
+
+    def fine(a: str) -> Column:
+        return F.coalesce((F.round(F.col(a), 4) != F.col(a)) | (F.abs(F.col(a)) >= _PLAIN), F.lit(False))
+
+    return df.groupBy(*_ID).agg(
+        F.count(F.lit(1)).alias(f"{side}_n"), F.max(fine("d") | fine("c")).alias(f"{side}_fine"), *amounts
+    )
 
 
 def _by_status(per_key, rules: Rules, with_deltas: bool, null_source_missing: bool) -> DataFrame:
@@ -143,8 +154,10 @@ def _by_status(per_key, rules: Rules, with_deltas: bool, null_source_missing: bo
 
     both = F.col("s_n").isNotNull() & F.col("t_n").isNotNull()
     uniform = same("s", "d") & same("s", "c") & same("t", "d") & same("t", "c")
-    mixed = both & ~uniform
-    pairs = F.col("s_n") * F.col("t_n")
+    fine = both & ~uniform & (F.col("s_fine") | F.col("t_fine")) & F.lit(with_deltas)
+    mixed = both & ~uniform & ~fine
+    pairs = _times(F.col("s_n"), F.col("t_n"))
+    alike = both & uniform
     differs = F.coalesce(
         exceeds(F.col("s_d_lo"), F.col("t_d_lo"), rules.tolerance), F.lit(False)
     ) | F.coalesce(exceeds(F.col("s_c_lo"), F.col("t_c_lo"), rules.tolerance), F.lit(False))
@@ -155,27 +168,30 @@ def _by_status(per_key, rules: Rules, with_deltas: bool, null_source_missing: bo
     rows = F.coalesce("s_n", "t_n")
 
     def delta(a: str) -> Column:
-        return F.when(both & ~mixed & differs, F.round(F.col(f"s_{a}_lo") - F.col(f"t_{a}_lo"), 4))
+        return F.when(alike & differs, F.round(F.col(f"s_{a}_lo") - F.col(f"t_{a}_lo"), 4))
 
     deltas = [delta("d"), delta("c")] if with_deltas else [F.lit(0.0), F.lit(0.0)]
     labelled = per_key.select(
-        mixed.alias("mixed"),
-        F.when(mixed, F.col(KEY)).alias(KEY),
-        F.when(mixed, F.col(TAG)).alias(TAG),
+        F.coalesce(mixed, F.lit(False)).alias("mixed"),
+        F.coalesce(fine, F.lit(False)).alias("fine"),
+        F.when(mixed | fine, F.col(KEY)).alias(KEY),
+        F.when(mixed | fine, F.col(TAG)).alias(TAG),
         F.when(mixed, pairs).alias("pairs"),
-        F.when(both & ~mixed & ~differs, pairs).alias("matched"),
-        F.when(both & ~mixed & differs, pairs).alias("amount_discrepancies"),
+        F.when(alike & ~differs, pairs).alias("matched"),
+        F.when(alike & differs, pairs).alias("amount_discrepancies"),
         F.when(no_target, rows).alias("missing_in_target"),
         F.when(no_source, rows).alias("missing_in_source"),
         *[
-            F.when(_fits(d), pairs.cast("decimal(20,0)") * d.cast("decimal(24,4)"))
-            .cast(_SUM_TYPE).alias(c)
+            (pairs.cast("decimal(20,0)") * split_amount(d, _AMOUNT_TYPE)[0]).cast(_SUM_TYPE).alias(c)
             for c, d in zip(_DELTAS, deltas)
         ],
-        *[F.when(~_fits(d), pairs * d).alias(c) for c, d in zip(_REST, deltas)],
+        *[
+            (pairs.cast("double") * split_amount(d, _AMOUNT_TYPE)[1]).alias(c)
+            for c, d in zip(_REST, deltas)
+        ],
     )
-    return labelled.groupBy("mixed", *_ID).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pairs", *_COUNTS)],
+    return labelled.groupBy("mixed", "fine", *_ID).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).cast(_COUNT_TYPE).alias(c) for c in ("pairs", *_COUNTS)],
         *[F.coalesce(F.sum(c), F.lit(0)).cast(_SUM_TYPE).alias(c) for c in _DELTAS],
         *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in _REST],
     )
@@ -220,13 +236,13 @@ def _pairs_within(s: DataFrame, t: DataFrame, rules: Rules, with_deltas: bool) -
         F.col("s_c"), F.col("t_c"), rules.tolerance
     )
     close = left.join(right, [*_ID, "mask", "cell_d", "cell_c"]).filter(~far)
-    weight = F.col("s_n") * F.col("t_n")
+    weight = _times(F.col("s_n"), F.col("t_n"))
     sums = close.agg(
         F.sum(weight).alias("n"),
         *[
             F.sum(
                 weight.cast("decimal(20,0)")
-                * F.round(F.col(f"s_{a}") - F.col(f"t_{a}"), 4).cast("decimal(10,4)")
+                * F.round(F.col(f"s_{a}") - F.col(f"t_{a}"), 4).cast(_AMOUNT_TYPE)
             ).alias(f"{a}_sum")
             for a in ("d", "c")
         ],
@@ -262,46 +278,41 @@ def _masked(df: DataFrame, mine_first: bool) -> DataFrame:
 
 
 def _deltas_of_all_pairs(s: DataFrame, t: DataFrame) -> DataFrame:
-    """Summed rounded differences over all pairs of mixed keys.
+    """Summed differences over all pairs of mixed keys, whose amounts have 4 places: each amount
+    counts as often as the other side has rows of its key."""
 
-    An amount is u + f, with u whole units of 0.0001 and f a fraction of one. The rounded
-    difference of two amounts is u1 - u2, plus or minus 1 if the fractions differ by half a unit
-    or more. The first part splits into sums; for the second, amounts are grouped by f. With
-    8 places there are at most 10,000 values of f per key, and for money there is one.
-    """
-
-    def by_fraction(df: DataFrame, side: str) -> DataFrame:
-        both = F.array(
-            *[F.struct(F.lit(a).alias("amount"), F.col(a).alias("x")) for a in ("d", "c")]
-        )
-        units = F.when(_fits(F.col("x")), F.col("x").cast("decimal(24,8)") * 10000)
-        whole = F.coalesce(F.floor(units), F.lit(0))
-        rest = F.when(~_fits(F.col("x")), F.col("x") * F.col("n"))
-        return (
-            df.select(*_ID, "n", F.inline(both))
-            .groupBy(*_ID, "amount", F.coalesce(units - whole, F.lit(0)).alias(f"{side}_f"))
-            .agg(
-                F.sum("n").alias(f"{side}_n"),
-                F.sum(whole * F.col("n")).cast("decimal(38,0)").alias(f"{side}_units"),
-                F.sum(F.coalesce(rest, F.lit(0.0))).alias(f"{side}_rest"),
-            )
-        )
-
-    pairs = by_fraction(s, "s").join(by_fraction(t, "t"), [*_ID, "amount"])
-    gap = F.col("s_f") - F.col("t_f")
-    carry = F.when(gap >= 0.5, 1).when(gap < -0.5, -1).otherwise(0)
-    n, m = F.col("s_n"), F.col("t_n")
-    units = m * F.col("s_units") - n * F.col("t_units") + n * m * carry
-    rest = m * F.col("s_rest") - n * F.col("t_rest")
-    sums = pairs.agg(
-        *[
-            F.sum(F.when(F.col("amount") == a, what)).alias(f"{a}_{name}")
+    def per_key(df: DataFrame, side: str) -> DataFrame:
+        sums = [
+            F.sum(F.col("n").cast("decimal(10,0)") * F.col(a).cast(_AMOUNT_TYPE)).cast("decimal(28,4)").alias(f"{side}_{a}")
             for a in ("d", "c")
-            for name, what in (("units", units), ("rest", rest))
         ]
-    )
-    money = {
-        c: F.col(f"{a}_units").cast("decimal(34,0)") * F.lit(Decimal("0.0001"))
+        return df.groupBy(*_ID).agg(F.sum("n").cast("decimal(10,0)").alias(f"{side}_n"), *sums)
+
+    pairs = per_key(s, "s").join(per_key(t, "t"), _ID)
+    deltas = {
+        c: F.sum(F.col("t_n") * F.col(f"s_{a}") - F.col("s_n") * F.col(f"t_{a}")).alias(c)
         for c, a in zip(_DELTAS, ("d", "c"))
     }
-    return _row(sums, **money, debit_rest=F.col("d_rest"), credit_rest=F.col("c_rest"))
+    return _row(pairs.agg(*deltas.values()), **{c: F.coalesce(F.col(c), F.lit(0)) for c in deltas})
+
+
+def _row_by_row(left: DataFrame, right: DataFrame, rules: Rules) -> DataFrame:
+    """The figures of the pairs of these rows, each difference rounded as in the detail."""
+    pairs = left.select(*_ID, F.col("d").alias("s_d"), F.col("c").alias("s_c")).join(
+        right.select(*_ID, F.col("d").alias("t_d"), F.col("c").alias("t_c")), _ID
+    )
+    far = exceeds(F.col("s_d"), F.col("t_d"), rules.tolerance) | exceeds(
+        F.col("s_c"), F.col("t_c"), rules.tolerance
+    )
+    split = {a: split_amount(F.round(F.col(f"s_{a}") - F.col(f"t_{a}"), 4), _AMOUNT_TYPE) for a in ("d", "c")}
+    sums = pairs.agg(
+        F.count(F.when(~far, 1)).alias("matched"),
+        F.count(F.when(far, 1)).alias("off"),
+        *[F.sum(F.when(far, split[a][0])).alias(f"{a}_sum") for a in ("d", "c")],
+        *[F.sum(F.when(far, split[a][1])).alias(f"{a}_rest") for a in ("d", "c")],
+    )
+    return _row(
+        sums, matched=F.col("matched"), amount_discrepancies=F.col("off"),
+        debit_delta=F.coalesce("d_sum", F.lit(0)), credit_delta=F.coalesce("c_sum", F.lit(0)),
+        debit_rest=F.coalesce("d_rest", F.lit(0.0)), credit_rest=F.coalesce("c_rest", F.lit(0.0)),
+    )
