@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import argparse
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from .operators.checks import quality_summary
+from .params import DEFAULT_RULES, Rules
 from .plans import stages
 
 
@@ -19,10 +21,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", default="csv", help="input format: csv, parquet, orc")
     parser.add_argument("--detail-format", default="parquet", help="format of row-level results")
     parser.add_argument("--null-keys", default="match", choices=["match", "never"])
+    parser.add_argument("--rules", help='JSON file of rules to change, such as {"tolerance": 0.05, "as_of": "2024-06-30"}')
     args = parser.parse_args(argv)
+    rules = Rules.from_json(Path(args.rules).read_text()) if args.rules else DEFAULT_RULES
 
     spark = SparkSession.builder.appName("sparkrecon").getOrCreate()
-    job = stages.Job(spark, args.source, args.target, args.out, args.format, args.detail_format)
+    job = stages.Job(spark, args.source, args.target, args.out, args.format, args.detail_format, rules)
     if args.stage == "ingest":
         stages.run_ingestion(job)
     elif args.stage == "check":

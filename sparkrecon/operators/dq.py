@@ -7,6 +7,7 @@ Inputs carry the catalogue's own column names: the transactions also ``net_amoun
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,9 +20,6 @@ from ..plans.skew import anti, sorted_rows, tag_keys
 from .checks import key_counts
 
 SOURCE, TARGET = "source_transactions", "target_ledger"
-# Columns of the catalogue that the two input schemas do not have.
-SOURCE_COLUMNS = ("net_amount", "value_date", "entity", "batch_id")
-TARGET_COLUMNS = ("ledger_id", "source_ref", "net_amount")
 # The table each counting rule reads; known without a running session.
 COUNT_RULES = {
     "dq1a_null_mandatory_source": SOURCE,
@@ -140,18 +138,22 @@ def count_rule(df: DataFrame, key: str, rules: Rules = DEFAULT_RULES) -> DataFra
     return counted.select(F.inline(F.array(_line(key, rule, F.col("n")))))
 
 
-def count_report(source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """All counting rules in one table, with one scan per input plus one per uniqueness rule."""
+def count_report(
+    source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RULES, only: Sequence[str] | None = None
+) -> DataFrame:
+    """All counting rules (or ``only`` some) in one table, with one scan per input plus one per
+    uniqueness rule."""
     tables = {SOURCE: source, TARGET: target}
-    catalogue = count_rules(rules)
+    catalogue = {k: r for k, r in count_rules(rules).items() if only is None or k in only}
     parts = []
     for name, df in tables.items():
         fused = {
             k: r for k, r in catalogue.items() if COUNT_RULES[k] == name and r.unique is None
         }
-        counted = df.agg(*[F.count_if(r.failing).alias(k) for k, r in fused.items()])
-        lines = [_line(k, r, F.col(k)) for k, r in fused.items()]
-        parts.append(counted.select(F.inline(F.array(*lines))))
+        if fused:
+            counted = df.agg(*[F.count_if(r.failing).alias(k) for k, r in fused.items()])
+            lines = [_line(k, r, F.col(k)) for k, r in fused.items()]
+            parts.append(counted.select(F.inline(F.array(*lines))))
     parts += [count_rule(tables[COUNT_RULES[k]], k, rules) for k, r in catalogue.items() if r.unique]
     return reduce(DataFrame.unionByName, parts)
 
@@ -179,20 +181,18 @@ def outliers(source: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     return sorted_rows(found.select(*columns), F.desc("debit_amount"))
 
 
-def missing_from_target(
-    source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RULES
-) -> DataFrame:
+def missing_from_target(source: DataFrame, target: DataFrame) -> DataFrame:
     """Transactions whose id no ledger row refers to; those without an id are among them."""
     columns = ["transaction_id", "posting_date", "gl_account", "net_amount", "transaction_type"]
-    rows = unmatched(source, "transaction_id", target, "source_ref", columns, rules)
+    rows = unmatched(source, "transaction_id", target, "source_ref", columns)
     found = rows.withColumn("discrepancy_type", F.lit("MISSING_FROM_TARGET"))
     return sorted_rows(found, F.asc("posting_date"))
 
 
-def orphan_target(source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def orphan_target(source: DataFrame, target: DataFrame) -> DataFrame:
     """Ledger rows that refer to no transaction."""
     columns = ["ledger_id", "source_ref", "posting_date", "net_amount"]
-    rows = unmatched(target, "source_ref", source, "transaction_id", columns, rules)
+    rows = unmatched(target, "source_ref", source, "transaction_id", columns)
     found = rows.withColumn("discrepancy_type", F.lit("ORPHAN_TARGET_RECORD"))
     return sorted_rows(found, F.asc("posting_date"))
 
@@ -203,12 +203,11 @@ def unmatched(
     right: DataFrame,
     right_key: str,
     columns: list[str],
-    rules: Rules,
 ) -> DataFrame:
     """``columns`` of the left rows whose key is null or does not occur on the right."""
     rows = left.select(F.col(left_key).alias("key"), *columns)
     mine, theirs = tag_keys(rows, right.select(right_key), "key", right_key, "never")
-    return anti(mine, theirs, rules.hot_rows).select(*columns)
+    return anti(mine, theirs).select(*columns)
 
 
 def value_discrepancies(
@@ -295,17 +294,83 @@ def singleton_batches(source: DataFrame) -> DataFrame:
     return single.withColumn("flag", F.lit("SINGLETON_BATCH")).orderBy("batch_id")
 
 
+# Catalogue names of columns that the documented schemas call otherwise.
+SOURCE_ALIASES = {"batch_id": "erp_batch_id"}
+TARGET_ALIASES = {"source_ref": "ledger_transaction_id"}
+# Columns of the rules that return rows or groups, by table.
+_NEEDS = {
+    "dq2b_duplicate_audit": (["transaction_id"], []),
+    "dq3c_outliers": (["transaction_id", "transaction_type", "debit_amount", "credit_amount", "description"], []),
+    "dq6a_missing_from_target": (
+        ["transaction_id", "posting_date", "gl_account", "net_amount", "transaction_type"], ["source_ref"],
+    ),
+    "dq6b_orphan_target": (["transaction_id"], ["ledger_id", "source_ref", "posting_date", "net_amount"]),
+    "dq6c_value_discrepancy": (
+        ["transaction_id", "posting_date", "gl_account", "net_amount"], ["source_ref", "net_amount"],
+    ),
+    "dq6d_recon_summary": (["transaction_id"], ["source_ref"]),
+    "dq7a_entity_balance": (["entity", "debit_amount", "credit_amount"], []),
+    "dq7b_batch_integrity": (["transaction_type", "batch_id", "debit_amount", "credit_amount"], []),
+    "dq8b_singleton_batch": (["batch_id"], []),
+}
+_COUNT_NEEDS = {
+    "dq1a_null_mandatory_source": ["transaction_id", "posting_date", "gl_account", "debit_amount", "credit_amount"],
+    "dq1b_null_mandatory_target": ["ledger_id", "source_ref", "posting_date", "debit_amount", "credit_amount"],
+    "dq1c_missing_vendor_invoice": ["transaction_type", "vendor_id"],
+    "dq2a_duplicate_transaction_id": ["transaction_id"],
+    "dq2c_duplicate_ledger_id": ["ledger_id"],
+    "dq3a_negative": ["debit_amount", "credit_amount"],
+    "dq3b_net_amount": ["net_amount", "debit_amount", "credit_amount"],
+    "dq3d_zero_value": ["debit_amount", "credit_amount"],
+    "dq4a_future_posting": ["posting_date"],
+    "dq4b_value_date_lag": ["posting_date", "value_date"],
+    "dq4c_out_of_period": ["posting_date"],
+    "dq5a_gl": ["gl_account"],
+    "dq5b_cost_centre": ["cost_centre"],
+    "dq5c_entity": ["entity"],
+    "dq8a_posted_without_user": ["status", "created_by"],
+}
+
+
+def with_catalogue_names(source: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both tables with the catalogue's names for columns they have under another one."""
+
+    def named(df: DataFrame, aliases: dict[str, str]) -> DataFrame:
+        new = {k: v for k, v in aliases.items() if k not in df.columns and v in df.columns}
+        return catalogue_columns(df, **new)
+
+    return named(source, SOURCE_ALIASES), named(target, TARGET_ALIASES)
+
+
+def missing_columns(source: DataFrame, target: DataFrame) -> dict[str, list[str]]:
+    """The rules that cannot run on these tables, each with the columns it lacks."""
+    needs = {k: (c, []) if COUNT_RULES[k] == SOURCE else ([], c) for k, c in _COUNT_NEEDS.items()} | _NEEDS
+    lacking = {
+        k: [f"{SOURCE}.{c}" for c in s if c not in source.columns] + [f"{TARGET}.{c}" for c in t if c not in target.columns]
+        for k, (s, t) in needs.items()
+    }
+    return {k: c for k, c in lacking.items() if c}
+
+
 def all_rules(source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RULES) -> dict[str, DataFrame]:
-    """The whole catalogue by name, the counting rules as one table."""
+    """Every rule of the catalogue whose columns exist, by name, the counting rules as one table; and
+    ``dq_not_run``, the rules that could not run with the columns they lack."""
+    lacking = missing_columns(source, target)
+    built = {
+        "dq2b_duplicate_audit": lambda: duplicate_audit(source),
+        "dq3c_outliers": lambda: outliers(source, rules),
+        "dq6a_missing_from_target": lambda: missing_from_target(source, target),
+        "dq6b_orphan_target": lambda: orphan_target(source, target),
+        "dq6c_value_discrepancy": lambda: value_discrepancies(source, target, rules),
+        "dq6d_recon_summary": lambda: recon_summary(source, target),
+        "dq7a_entity_balance": lambda: entity_balance(source, rules),
+        "dq7b_batch_integrity": lambda: batch_integrity(source, rules),
+        "dq8b_singleton_batch": lambda: singleton_batches(source),
+    }
+    counting = [k for k in COUNT_RULES if k not in lacking]
+    not_run = [(k, ", ".join(c)) for k, c in lacking.items()]
     return {
-        "dq_report": count_report(source, target, rules),
-        "dq2b_duplicate_audit": duplicate_audit(source),
-        "dq3c_outliers": outliers(source, rules),
-        "dq6a_missing_from_target": missing_from_target(source, target, rules),
-        "dq6b_orphan_target": orphan_target(source, target, rules),
-        "dq6c_value_discrepancy": value_discrepancies(source, target, rules),
-        "dq6d_recon_summary": recon_summary(source, target),
-        "dq7a_entity_balance": entity_balance(source, rules),
-        "dq7b_batch_integrity": batch_integrity(source, rules),
-        "dq8b_singleton_batch": singleton_batches(source),
+        "dq_report": count_report(source, target, rules, counting),
+        **{k: build() for k, build in built.items() if k not in lacking},
+        "dq_not_run": source.sparkSession.createDataFrame(not_run, "rule STRING, missing_columns STRING"),
     }

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+import json
+from dataclasses import dataclass, field, fields
 
 # --- Fixed values: they decide which rows pass, so they must not be altered. ---
 VALID_CURRENCIES = ("GBP", "USD", "EUR")
@@ -81,9 +82,6 @@ class Rules:
     # Wall clock: None means the day / moment of the run.
     as_of: dt.date | None = None
     run_ts: dt.datetime | None = None
-    # Keys with this many rows or more are kept out of shuffles that cannot split them;
-    # None does not look for them.
-    hot_rows: int | None = 1_000_000
 
     def today(self) -> dt.date:
         return self.as_of or dt.date.today()
@@ -92,4 +90,21 @@ class Rules:
         return (self.run_ts or dt.datetime.now()).strftime(fmt)
 
 
+    @classmethod
+    def from_json(cls, text: str) -> Rules:
+        """Rules from a JSON object of field names; dates in ISO form, lists for the master lists."""
+        given = json.loads(text)
+        known = {f.name for f in fields(cls)}
+        if unknown := sorted(set(given) - known):
+            raise ValueError(f"unknown rules: {', '.join(unknown)}; known are {', '.join(sorted(known))}")
+        read = {"as_of": dt.date.fromisoformat, "fiscal_start": dt.date.fromisoformat,
+                "fiscal_end": dt.date.fromisoformat, "run_ts": dt.datetime.fromisoformat}
+        values = {}
+        for name, value in given.items():
+            if isinstance(value, list):
+                value = tuple(value)
+            values[name] = read[name](value) if name in read and value is not None else value
+        return cls(**values)
+
+
 DEFAULT_RULES = Rules()

@@ -135,13 +135,12 @@ def run_report(job: Job) -> dict[str, DataFrame]:
 
 
 def run_queries(job: Job) -> list[str]:
-    """Write the result of each reconciliation query, and of the rule catalogue if the inputs have
-    its columns. Returns the names of the results."""
+    """Write the result of each reconciliation query and of each rule of the catalogue whose columns
+    exist; ``dq_not_run`` lists the other rules. Returns the names of the results."""
     source = dq.with_dates(job.source(), job.rules)
     target = dq.with_dates(job.target(), job.rules)
     found = recon_sql.all_queries(source, target, job.rules)
-    if set(dq.SOURCE_COLUMNS) <= set(source.columns) and set(dq.TARGET_COLUMNS) <= set(target.columns):
-        found |= dq.all_rules(source, target, job.rules)
+    found |= dq.all_rules(*dq.with_catalogue_names(source, target), job.rules)
     for name, df in found.items():
         write_table(df, job.path(f"queries/{name}"), job.detail_fmt)
     return list(found)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -60,8 +61,7 @@ def _from_csv(name: str, schema: T.StructType, key: str) -> Query:
     """Writes the view as CSV files into the shared folder and scans those."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        app = spark.sparkContext.applicationId
-        path = f"{shared_folder(spark)}/{app}/{name}.csv"
+        path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}.csv"
         write_table(_as_text(view(spark, sf_dir, name)), path)
         return _ingested(key, load_csv(spark, path, schema, name))
 
@@ -126,8 +126,8 @@ def _dq_queries() -> dict[str, Query]:
         "dq_report": _dq_pair(lambda s, t: dq.count_report(s, t, RULES)),
         "dq2b_duplicate_audit": _dq_source(dq.duplicate_audit),
         "dq3c_outliers": _dq_source(lambda s: dq.outliers(s, RULES)),
-        "dq6a_missing_from_target": _dq_pair(lambda s, t: dq.missing_from_target(s, t, RULES)),
-        "dq6b_orphan_target": _dq_pair(lambda s, t: dq.orphan_target(s, t, RULES)),
+        "dq6a_missing_from_target": _dq_pair(dq.missing_from_target),
+        "dq6b_orphan_target": _dq_pair(dq.orphan_target),
         "dq6c_value_discrepancy": _dq_pair(lambda s, t: dq.value_discrepancies(s, t, RULES)),
         "dq6d_recon_summary": _dq_pair(dq.recon_summary),
         "dq7a_entity_balance": _dq_source(lambda s: dq.entity_balance(s, RULES)),
@@ -149,8 +149,8 @@ def _one_rule(key: str, df: DataFrame) -> DataFrame:
 def _recon_sql_queries() -> dict[str, Query]:
     return {
         "rq1_row_counts": _pair(recon_sql.row_counts),
-        "rq2_missing_in_target": _pair(lambda s, t: recon_sql.missing_in_target(s, t, RULES)),
-        "rq3_missing_in_source": _pair(lambda s, t: recon_sql.missing_in_source(s, t, RULES)),
+        "rq2_missing_in_target": _pair(recon_sql.missing_in_target),
+        "rq3_missing_in_source": _pair(recon_sql.missing_in_source),
         "rq4_amount_discrepancy": _pair(lambda s, t: recon_sql.amount_discrepancies(s, t, RULES)),
         "rq5_detail": _pair(lambda s, t: recon_sql.detail(s, t, RULES)),
         "rq6_kpis": _pair(lambda s, t: recon_sql.kpis(s, t, RULES)),

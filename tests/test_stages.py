@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from sparkrecon import __main__ as cli
 from sparkrecon.fixtures import FIXTURE_RULES, view
-from sparkrecon.operators import recon_sql, reconcile
+from sparkrecon.operators import dq, recon_sql, reconcile
+from sparkrecon.params import Rules
 from sparkrecon.plans import stages
+from sparkrecon.schemas import SOURCE_SCHEMA, TARGET_SCHEMA
 from sparkrecon.sources import shared_folder, written
 
 
@@ -91,7 +93,21 @@ def test_query_catalogues_on_csv(spark, tmp_path, inputs):
     """Inputs from CSV have text dates; the queries give the results of the typed views."""
     job = stages.Job(spark, *inputs, str(tmp_path / "out"), rules=FIXTURE_RULES)
     names = stages.run_queries(job)
-    assert [n[:3] for n in names] == [f"rq{i}" for i in range(1, 9)]
+    assert [n[:3] for n in names[:8]] == [f"rq{i}" for i in range(1, 9)]
+    # The documented columns are enough for most of the catalogue; the rest is listed with its reason.
+    lacking = {r["rule"]: r["missing_columns"] for r in spark.read.parquet(f"{job.out}/queries/dq_not_run").collect()}
+    assert lacking["dq6b_orphan_target"] == "target_ledger.net_amount"
+    assert set(names[8:]) == {
+        "dq_report", "dq2b_duplicate_audit", "dq3c_outliers", "dq6d_recon_summary", "dq7b_batch_integrity",
+        "dq8b_singleton_batch", "dq7a_entity_balance", "dq_not_run",
+    }
+    done = {r["check_name"] for r in spark.read.parquet(f"{job.out}/queries/dq_report").collect()}
+    assert {"MISSING_VENDOR_ON_INVOICE", "DUPLICATE_TRANSACTION_ID", "FUTURE_POSTING_DATE"} <= done
+    assert set(lacking) == {
+        "dq3b_net_amount", "dq6a_missing_from_target", "dq6b_orphan_target", "dq6c_value_discrepancy"
+    }
+    # Two counting rules share a name; each of those that ran has its line.
+    assert spark.read.parquet(f"{job.out}/queries/dq_report").count() == 15 - sum(k in dq.COUNT_RULES for k in lacking)
     pair = [view(spark, SMALL, n) for n in ("source_transactions", "target_ledger")]
     for name, want in recon_sql.all_queries(*pair, FIXTURE_RULES).items():
         got = spark.read.parquet(f"{job.out}/queries/{name}")
@@ -104,7 +120,7 @@ def test_rule_catalogue_runs_if_its_columns_are_there(spark, tmp_path):
         view(spark, SMALL, name).write.parquet(path)
     job = stages.Job(spark, *paths, str(tmp_path / "out"), "parquet", rules=FIXTURE_RULES)
     names = stages.run_queries(job)
-    assert len(names) == 18
+    assert len(names) == 19 and spark.read.parquet(f"{job.out}/queries/dq_not_run").count() == 0
     assert spark.read.parquet(f"{job.out}/queries/dq_report").count() == 15
 
 
@@ -117,3 +133,33 @@ def test_written_tables_go_to_the_shared_folder(spark):
 
 def test_the_shared_folder_is_the_sessions(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_rules_that_lack_columns_are_listed(spark):
+    """Tables of the documented schemas only: every rule is either run or listed with its reason."""
+    source = spark.createDataFrame([], SOURCE_SCHEMA)
+    target = spark.createDataFrame([], TARGET_SCHEMA)
+    found = dq.all_rules(*dq.with_catalogue_names(dq.with_dates(source), dq.with_dates(target)))
+    lacking = {r["rule"]: r["missing_columns"] for r in records(found["dq_not_run"])}
+    assert lacking["dq1b_null_mandatory_target"] == "target_ledger.ledger_id"
+    assert lacking["dq4b_value_date_lag"] == "source_transactions.value_date"
+    assert lacking["dq7a_entity_balance"] == lacking["dq5c_entity"] == "source_transactions.entity"
+    run = set(found) - {"dq_report", "dq_not_run"}
+    assert run == {"dq2b_duplicate_audit", "dq3c_outliers", "dq6d_recon_summary", "dq7b_batch_integrity", "dq8b_singleton_batch"}
+    assert run | {k for k in lacking if k not in dq.COUNT_RULES} == set(dq._NEEDS)
+    assert found["dq_report"].count() == len(dq.COUNT_RULES) - sum(k in dq.COUNT_RULES for k in lacking)
+
+
+def test_rules_from_the_command_line(spark, tmp_path, inputs):
+    path = tmp_path / "rules.json"
+    path.write_text('{"tolerance": 1e9, "fiscal_start": "1990-01-01", "fiscal_end": "2100-12-31", "as_of": "2100-01-01"}')
+    where = ["--source", inputs[0], "--target", inputs[1], "--out", str(tmp_path / "out")]
+    cli.main(["reconcile", *where, "--rules", str(path)])
+    (row,) = spark.read.csv(str(tmp_path / "out" / "reconciliation_summary"), header=True).collect()
+    assert row["amount_discrepancies"] == "0" and row["matched"] != "0"
+    cli.main(["queries", *where, "--rules", str(path)])
+    found = spark.read.parquet(str(tmp_path / "out" / "queries" / "dq_report")).collect()
+    counts = {r["check_name"]: r["failing_rows"] for r in found}
+    assert counts["OUT_OF_PERIOD_TRANSACTIONS"] == counts["FUTURE_POSTING_DATE"] == 0
+    with pytest.raises(ValueError, match="unknown rules: tolerence"):
+        Rules.from_json('{"tolerence": 1}')
