@@ -124,7 +124,7 @@ def run_report(job: Job) -> dict[str, DataFrame]:
     tables = {
         "report_kpis": report.kpi_tiles(summary, job.rules),
         "report_statement": report.statement(summary),
-        "report_audit_trail": report.audit_trail(summary, job.rules),
+        "report_audit_trail": report.audit_trail(summary, job.source(), job.target(), _written_checks(job), job.rules),
         "report_gl_analysis": accounts.withColumnsRenamed(report.GL_HEADERS),
     }
     for name, df in tables.items():
@@ -134,6 +134,16 @@ def run_report(job: Job) -> dict[str, DataFrame]:
     return tables | {"report_discrepancy_register": shown}
 
 
+def _written_checks(job: Job) -> DataFrame | None:
+    """The check report of this run, if the stage ran."""
+    try:
+        return job.spark.read.csv(job.path(CHECKS), header=True, escape='"').select("dataset", "status")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def run_queries(job: Job) -> list[str]:
     """Write the result of each reconciliation query and of each rule of the catalogue whose columns
     exist; ``dq_not_run`` lists the other rules. Returns the names of the results."""

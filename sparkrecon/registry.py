@@ -192,7 +192,9 @@ def _report_queries() -> dict[str, Query]:
             lambda s, t: report.discrepancy_register(_detail(s, t))
         ),
         "report_gl_analysis": _pair(lambda s, t: report.gl_analysis(s, _detail(s, t), RULES)),
-        "report_audit_trail": _pair(lambda s, t: report.audit_trail(_summary(s, t), RULES)),
+        "report_audit_trail": _pair(
+            lambda s, t: report.audit_trail(_summary(s, t), s, t, checks.quality_report(s, t, RULES), RULES)
+        ),
     }
 
 

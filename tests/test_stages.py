@@ -54,7 +54,10 @@ def test_all_stages(spark, tmp_path, inputs, detail_fmt):
     assert "QC-S06: Amount > £1,000,000" in {c["check_name"] for c in checks}
     assert len(rows_of(f"{out}/report_discrepancy_register")) == want["total_discrepancies"]
     assert "ERP Debit (£)" in rows_of(f"{out}/report_discrepancy_register")[0]
-    assert len(rows_of(f"{out}/report_audit_trail")) == 14
+    trail = {r["stage"]: r for r in rows_of(f"{out}/report_audit_trail")}
+    assert len(trail) == 11 and trail["Data Ingestion — target ledger"]["notes"] == f"{t.count():,} rows loaded"
+    failed = sum(c["status"] == "FAIL" for c in checks if c["dataset"] == "source")
+    assert trail["Quality Checks — Source"]["notes"] == f"12 checks run, {failed} failed"
     assert {r["kind"] for r in rows_of(f"{out}/schema_diff")} == {"missing", "extra"}
     assert len(rows_of(f"{out}/ingestion_metrics_source")) == 11
     assert results["report_discrepancy_register"].count() == want["total_discrepancies"]
