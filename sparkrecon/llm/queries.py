@@ -36,9 +36,9 @@ def op4_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages are labelled through ``labels``: the page of an id shows the document of that id."""
-    outcomes = reputation.label_outcomes(table(spark, sf_dir, "labels"))
-    judged = reputation.judge(table(spark, sf_dir, "pages"), outcomes)
+    """``labels`` says nothing about pages (their texts are other ones than the documents of their ids),
+    so what is known of hosts are the pages that a rule decides."""
+    judged = reputation.judge(table(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -1,6 +1,7 @@
 """URL filters: rules first, then empirical-Bayes reputation of the host.
 
-The outcomes of labelled pages (good or bad) are shrunk through beta-binomial priors: a host's prior
+Pages that a rule decides are labelled outcomes (allowed: good, blocked: bad), and labels of other
+pages may be given. They are shrunk through beta-binomial priors: a host's prior
 is centred on the posterior mean of its registered domain, that one's on its suffix, and that one's
 on all pages. How strongly a level shrinks follows from the spread of its members' rates (the
 moments of the beta-binomial). A host is blocked if the lower bound of its posterior bad rate lies
@@ -91,20 +92,16 @@ def _strength(level: DataFrame) -> tuple[float, float]:
     return (bads + 0.5) / (total + 1), 1 / min(max(rho, 0.001), 0.9) - 1
 
 
-def host_reputation(
-    pages: DataFrame, outcomes: DataFrame, threshold: float = THRESHOLD, bound: float = BOUND
-) -> DataFrame:
-    """Per host of ``pages`` (page_id, host): n, bad, bad_rate, bad_rate_low, blocked.
+def host_reputation(pages: DataFrame, threshold: float = THRESHOLD, bound: float = BOUND) -> DataFrame:
+    """Per host of ``pages`` (host, bad): n, bad, bad_rate, bad_rate_low, blocked.
 
-    ``outcomes`` has page_id and bad (boolean), one row per labelled page; rows with a null are no
-    evidence. Hosts without outcomes are judged by the prior of their domain.
+    ``bad`` is the outcome of a labelled page and null for others. Hosts without outcomes are judged by
+    the prior of their domain; where that has no bad outcome either, the host is not blocked, whatever
+    the rates elsewhere.
     """
-    known = outcomes.filter("bad IS NOT NULL AND page_id IS NOT NULL")
     domain, suffix = domain_of(F.col("host"))
     hosts = written(
-        pages.select("page_id", "host")
-        .join(known, "page_id", "left")
-        .groupBy("host")
+        pages.groupBy("host")
         .agg(F.count("bad").alias("n"), F.count(F.when(F.col("bad"), 1)).alias("bad"))
         .withColumns({"domain": domain, "suffix": suffix}),
         "host-outcomes",
@@ -121,19 +118,19 @@ def host_reputation(
 
     suffix_rates = suffixes.select("suffix", shrunk(F.lit(mean), of_suffixes).alias("prior"))
     domain_rates = domains.join(suffix_rates, "suffix").select(
-        "domain", "suffix", shrunk(F.col("prior"), of_domains).alias("prior")
+        "domain", "suffix", shrunk(F.col("prior"), of_domains).alias("prior"), (F.col("bad") > 0).alias("domain_bad")
     )
     rate = shrunk(F.col("prior"), of_hosts)
     low = rate - F.lit(bound) * F.sqrt(rate * (1 - rate) / (F.col("n") + F.lit(of_hosts) + 1))
     return hosts.join(domain_rates, ["domain", "suffix"]).select(
         "host", "n", "bad", rate.alias("bad_rate"), low.alias("bad_rate_low"),
-        (low > threshold).alias("blocked"),
+        ((low > threshold) & F.col("domain_bad")).alias("blocked"),
     )
 
 
 def judge(
     pages: DataFrame,
-    outcomes: DataFrame,
+    outcomes: DataFrame | None = None,
     id_col: str = "page_id",
     url_col: str = "url",
     rules: Sequence[tuple[str, str]] = RULES,
@@ -143,45 +140,49 @@ def judge(
     """One row per row of ``pages``: page_id, host, path, rule, verdict, bad_rate, bad_rate_low.
 
     A null url, or one without ``://``, has an empty host and path, and is judged like a host of that
-    name. Repeated rows are judged alike; empty tables give no rows; other columns are not read.
-    Without any outcome every host gets the same prior of one half and is allowed.
+    name. Pages with a rule are outcomes; ``outcomes`` (page_id, bad), if given, adds those of pages
+    without one, where neither is null. Repeated rows count and are judged each; empty tables give no
+    rows; other columns are not read. Without any outcome every host gets the same prior of one half
+    and is allowed.
     """
     url = F.col(url_col)
     actions = {rule: action for action, rule in rules}
     parsed = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    hosts = written(host_reputation(parsed, outcomes, threshold, bound), "host-reputation")
     ruled = parsed.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     by_rule = F.lit(None).cast("string")
     for rule, action in actions.items():
         by_rule = F.when(F.col("rule") == rule, action).otherwise(by_rule)
+    labelled = ruled.select("page_id", "host", (by_rule == "block").alias("bad"))
+    if outcomes is not None:
+        # One outcome per page: bad if any row says so.
+        given = outcomes.filter("page_id IS NOT NULL").groupBy("page_id").agg(F.max("bad").alias("said"))
+        labelled = labelled.join(given, "page_id", "left").select("host", F.coalesce("bad", "said").alias("bad"))
+    hosts = written(host_reputation(labelled, threshold, bound), "host-reputation")
     by_host = F.when(F.col("blocked"), "block").otherwise("allow")
     return ruled.join(hosts, "host").select(
         "page_id", "host", "path", "rule", F.coalesce(by_rule, by_host).alias("verdict"), "bad_rate", "bad_rate_low"
     )
 
 
-def label_outcomes(labels: DataFrame) -> DataFrame:
-    """Outcomes of pages from labels: bad if any label of the id says toxic or low quality."""
-    bad = F.when((F.col("toxic") == 1) | (F.col("quality") == 0), True).when(
-        F.col("toxic").isNotNull() | F.col("quality").isNotNull(), False
-    )
-    return labels.groupBy(F.col("doc_id").alias("page_id")).agg(F.max(bad).alias("bad"))
-
-
 ORACLE = r"""
 WITH p AS (
   SELECT page_id,
          translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
   FROM pages
-), o AS (
-  SELECT doc_id AS page_id,
-         max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 WHEN toxic IS NOT NULL OR quality IS NOT NULL THEN 0 END) AS bad
-  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM p
 ), h AS (
-  SELECT host, count(bad) AS n, count(*) FILTER (WHERE bad = 1) AS bad,
+  SELECT host, count(rule) AS n,
+         count(*) FILTER (WHERE rule IN ('example.com/en/', 'net/es/', 'net/fr/')) AS bad,
          regexp_replace(host, ':[0-9]*$', '') AS name
-  FROM p LEFT JOIN o USING (page_id) GROUP BY host
+  FROM ruled GROUP BY host
 ), hosts AS (
   SELECT *, string_split(name, '.') AS parts,
          regexp_matches(name, '^[0-9]+(\.[0-9]+){3}$') AS numeric,
@@ -220,23 +221,15 @@ t AS (SELECT coalesce(max(strength), 99.0) AS strength FROM strengths WHERE leve
 suffix_rate AS (
   SELECT suffix, (bad + s.strength * s.mean) / (n + s.strength) AS prior FROM suffix_level, s
 ), domain_rate AS (
-  SELECT domain, suffix, (bad + d.strength * prior) / (n + d.strength) AS prior
+  SELECT domain, suffix, (bad + d.strength * prior) / (n + d.strength) AS prior, bad > 0 AS domain_bad
   FROM domain_level JOIN suffix_rate USING (suffix), d
 ), host_rate AS (
-  SELECT host, n + t.strength AS total, (bad + t.strength * prior) / (n + t.strength) AS rate
+  SELECT host, domain_bad, n + t.strength AS total, (bad + t.strength * prior) / (n + t.strength) AS rate
   FROM host_level JOIN domain_rate USING (domain, suffix), t
-), ruled AS (
-  SELECT *, CASE
-    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
-    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
-    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
-    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
-    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
-  FROM p
 )
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
             WHEN rule IS NOT NULL THEN 'block'
-            WHEN rate - 1.645 * sqrt(rate * (1 - rate) / (total + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+            WHEN domain_bad AND rate - 1.645 * sqrt(rate * (1 - rate) / (total + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled JOIN host_rate USING (host)
 """
