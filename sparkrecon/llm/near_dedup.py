@@ -13,7 +13,8 @@ only; components of what was linked are formed, and only buckets that still hold
 are looked at again, with other centres. So a group of thousands of near copies costs about one
 comparison per member and round. What is left are mostly texts that share a passage and are otherwise
 different: their buckets are split by a second band, which similar texts share as well, before the
-pairs across components are compared. Every candidate is verified on the whole texts.
+pairs across components are compared. Sketches of the signatures (eight bits a coordinate) sort out
+pairs that are far from similar while they are formed; the others are verified on the whole texts.
 
 Equal texts are one class from the start: they are linked whatever their number.
 """
@@ -39,6 +40,9 @@ WIDTH, LEAST = 5, 0.8
 ROWS, BANDS = 4, 32
 # Rounds with one centre per bucket of one band, and of two bands, before the exhaustive one.
 STAR_ROUNDS, FINER_ROUNDS = 2, 1
+# Bits in which the sketches of a pair at 0.8 differ: 102 on average, more than 200 with a probability
+# below 1e-6. A pair at 0.5 differs in 256 on average.
+SKETCH, MOST_DIFFERENT = 16, 200
 # Bytes of text whose darts are thrown together.
 TOGETHER = 2 << 20
 
@@ -121,6 +125,19 @@ def band_keys(best: np.ndarray, rows: int = ROWS, bands: int = BANDS) -> np.ndar
     return key.view(np.int64)
 
 
+def sketches(best: np.ndarray) -> np.ndarray:
+    """texts x SKETCH words: eight bits of a hash of every coordinate's value."""
+    return (mixed(best.view(np.uint64)) >> np.uint64(56)).astype(np.uint8).view(np.int64).reshape(len(best), SKETCH)
+
+
+def _alike(a: str, b: str) -> Column:
+    """Whether the sketches of two texts differ in few enough bits."""
+    different = F.lit(0)
+    for i in range(SKETCH):
+        different += F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))))
+    return different <= MOST_DIFFERENT
+
+
 def weighted_shingles(text: pa.Array, width: int = WIDTH) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per text its distinct runs, sorted, and how often each occurs."""
     found, doc = shingles(*word_hashes(text), width)
@@ -137,7 +154,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _signed(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """One row per document, written: doc_id, sha, row_no, keys (empty for a text without words)."""
+    """One row per document, written: doc_id, sha, row_no, keys (none for a text without words), sketch."""
     read = docs.select(F.col(id_col).alias("doc_id"), F.unhex(fingerprint(text_col)).alias("sha"), text_or_empty(text_col).alias("text"))
     kind = read.schema["doc_id"].dataType.simpleString()
 
@@ -150,9 +167,13 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFram
                 keys = band_keys(best)[~empty].ravel()
                 ends = np.concatenate([[0], np.cumsum(np.where(empty, 0, BANDS))])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys, pa.int64()))
-                yield pa.record_batch([part.column("doc_id"), part.column("sha"), lists], names=["doc_id", "sha", "keys"])
+                words = pa.array(sketches(best).ravel(), pa.int64())
+                sketch = pa.ListArray.from_arrays(pa.array(np.arange(len(best) + 1) * SKETCH, pa.int32()), words)
+                yield pa.record_batch(
+                    [part.column("doc_id"), part.column("sha"), lists, sketch], names=["doc_id", "sha", "keys", "sketch"]
+                )
 
-    signed = read.mapInArrow(sign, f"doc_id {kind}, sha binary, keys array<long>")
+    signed = read.mapInArrow(sign, f"doc_id {kind}, sha binary, keys array<long>, sketch array<long>")
     return written(signed.withColumn("row_no", F.monotonically_increasing_id()), "near-signatures")
 
 
@@ -196,17 +217,16 @@ def _ordered(a: Column, b: Column) -> list[Column]:
 def _star(buckets: DataFrame, turn: int) -> DataFrame:
     """Each member of a bucket with the bucket's centre, drawn by hash: a, b; larger class first."""
     drawn = F.xxhash64(F.col("cls"), F.col("key"), F.lit(turn))
-    centres = written(
-        buckets.groupBy("key").agg(F.min_by(F.struct("cls", "comp"), drawn).alias("centre")), "near-centres"
-    )
-    met = buckets.join(centres, "key").filter(F.col("comp") != F.col("centre.comp"))
-    return met.select(*_ordered(F.col("cls"), F.col("centre.cls"))).distinct()
+    centre = F.min_by(F.struct("cls", "comp", "sketch"), drawn).alias("centre")
+    centres = written(buckets.groupBy("key").agg(centre).select("key", "centre.*").toDF("key", "cls_b", "comp_b", "sketch_b"), "near-centres")
+    met = buckets.join(centres, "key").filter((F.col("comp") != F.col("comp_b")) & _alike("sketch", "sketch_b"))
+    return met.select(*_ordered(F.col("cls"), F.col("cls_b"))).distinct()
 
 
 def _across(buckets: DataFrame) -> DataFrame:
-    """All pairs of a bucket whose members are in different components."""
-    other = buckets.select("key", F.col("cls").alias("cls_b"), F.col("comp").alias("comp_b"))
-    met = buckets.join(other, "key").filter("comp < comp_b")
+    """The pairs of a bucket whose members are in different components and have like sketches."""
+    other = buckets.select("key", *[F.col(c).alias(f"{c}_b") for c in ("cls", "comp", "sketch")])
+    met = buckets.join(other, "key").filter((F.col("comp") < F.col("comp_b")) & _alike("sketch", "sketch_b"))
     return met.select(*_ordered(F.col("cls"), F.col("cls_b"))).distinct()
 
 
@@ -217,13 +237,12 @@ def _finer(buckets: DataFrame) -> DataFrame:
     pairs = F.flatten(
         F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y)))
     )
-    members = buckets.groupBy("cls", "comp").agg(keys.alias("keys")).select("cls", "comp", F.explode(pairs).alias("key"))
-    members = written(members, "near-members")
-    return _open(members)
+    gathered = buckets.groupBy("cls", "comp").agg(keys.alias("keys"), F.first("sketch").alias("sketch"))
+    return _open(written(gathered.select("cls", "comp", "sketch", F.explode(pairs).alias("key")), "near-members"))
 
 
 def _open(members: DataFrame) -> DataFrame:
-    """The rows (key, cls, comp) of buckets that hold several components, written."""
+    """The rows (key, cls, comp, sketch) of buckets that hold several components, written."""
     several = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
     return written(members.join(written(several.select("key"), "near-several"), "key"), "near-buckets")
 
@@ -232,9 +251,9 @@ def classes_and_roots(docs: DataFrame, id_col: str, text_col: str, least: float,
     """(one row per document: doc_id, sha, row_no; one row per distinct text: sha, root)."""
     signed = _signed(docs, id_col, text_col, width)
     classes = written(
-        signed.groupBy("sha").agg(F.min("row_no").alias("cls"), F.first("keys").alias("keys")), "near-classes"
+        signed.groupBy("sha").agg(F.min("row_no").alias("cls"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")), "near-classes"
     )
-    members = classes.select("cls", F.explode("keys").alias("key"))
+    members = classes.select("cls", "sketch", F.explode("keys").alias("key"))
     shared = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "near-shared")
     buckets = written(members.join(shared, "key").withColumn("comp", F.col("cls")), "near-buckets")
     wanted = written(
@@ -254,7 +273,7 @@ def classes_and_roots(docs: DataFrame, id_col: str, text_col: str, least: float,
         roots = written(components(tested.filter("linked").select("a", "b")), "near-roots")
         if turn < last:
             labelled = buckets.drop("comp").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-            buckets = _open(written(labelled.select("key", "cls", F.coalesce("root", "cls").alias("comp")), "near-labelled"))
+            buckets = _open(written(labelled.select("key", "cls", "sketch", F.coalesce("root", "cls").alias("comp")), "near-labelled"))
     known = classes.select("sha", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     return signed.select("doc_id", "sha", "row_no"), written(
         known.select("sha", F.coalesce("root", "cls").alias("root")), "near-known"

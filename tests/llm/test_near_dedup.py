@@ -6,7 +6,17 @@ import pyarrow as pa
 import pytest
 from llm_rows import EXTRA, MESSY, documents, messy, nothing, records  # noqa: F401
 
-from sparkrecon.llm.near_dedup import BANDS, ROWS, band_keys, distinct_documents, near_duplicates, signatures, weighted_shingles
+from sparkrecon.llm.near_dedup import (
+    BANDS,
+    MOST_DIFFERENT,
+    ROWS,
+    band_keys,
+    distinct_documents,
+    near_duplicates,
+    signatures,
+    sketches,
+    weighted_shingles,
+)
 from sparkrecon.llm.near_dedup import similarity as fast_similarity
 from sparkrecon.llm.words import shingles, word_hashes
 
@@ -133,10 +143,17 @@ def test_signatures_estimate_weighted_similarity(share):
     bags, fast = [_bag(t) for t in pairs], weighted_shingles(texts)
     truth = np.array([similarity(bags[i], bags[i + 1]) for i in range(0, len(pairs), 2)])
     assert [fast_similarity(fast[i], fast[i + 1]) for i in range(0, len(pairs), 2)] == pytest.approx(truth)
+    different = np.unpackbits((sketches(best128(texts))[0::2] ^ sketches(best128(texts))[1::2]).view(np.uint8), axis=1).sum(axis=1)
+    assert (different - 4 * 128 * (1 - truth)).mean() == pytest.approx(0, abs=12)
+    assert (different[truth >= 0.8] <= MOST_DIFFERENT).all()
     seen = (best[0::2] == best[1::2]).mean(axis=1)
     assert (seen - truth).mean() == pytest.approx(0, abs=0.02)
 
 
+def best128(texts):
+    return signatures(*shingles(*word_hashes(texts), 5), len(texts), ROWS * BANDS)
+
+
 def test_signature_does_not_depend_on_company():
     texts = ["a b c d e f g h", "", None, "a b c", "q " * 5000, "a b c d e f g h"]
     together = signatures(*shingles(*word_hashes(pa.array(texts)), 5), 6, ROWS * BANDS)
