@@ -584,7 +584,7 @@ def score_documents(
         state, sums = blocks.zip(replies), drawn
         if turn == burn_in + samples - 1:
             break
-        messages = state.mapPartitions(_sweep(parts, heavy, sums, seed + turn, keep=turn > burn_in))
+        messages = state.mapPartitions(_sweep(parts, heavy, sums, seed + turn, keep=turn >= burn_in))
         view = asked.zip(_dealt(messages, parts))
     scored = _dealt(state.mapPartitions(_score(parts, sums)), parts).mapPartitions(_finish(sums.tokens))
     kind = read.schema["doc_id"].dataType.simpleString()
