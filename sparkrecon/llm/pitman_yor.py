@@ -68,9 +68,22 @@ def _same(key: int) -> int:
     return key
 
 
-def _dealt(messages: RDD, parts: int) -> RDD:
-    """Each partition's messages, as one list."""
-    return messages.partitionBy(parts, _same).mapPartitions(lambda it: [[v for _, v in it]], True)
+def _dealt(messages: RDD, parts: int, side: int = 0) -> RDD:
+    """The messages in the partitions they are for, marked with a side. RDDs dealt alike can be united
+    partition by partition, so one worker reads both sides straight from their shuffles."""
+    return messages.mapPartitions(lambda it: ((k, (side, v)) for k, v in it)).partitionBy(parts, _same)
+
+
+def _work(dealt: RDD, run) -> RDD:
+    """``run`` over each partition's (messages of side 0, messages of side 1)."""
+
+    def both(messages: Iterable[tuple[int, tuple[int, bytes]]]) -> Iterator:
+        sides: tuple[list, list] = ([], [])
+        for _, (side, message) in messages:
+            sides[side].append(message)
+        return run([sides])
+
+    return dealt.mapPartitions(both)
 
 
 # -- reading the text -------------------------------------------------------------------------------
@@ -349,9 +362,9 @@ def _ask(parts: int, heavy: np.ndarray):
     """First pass: each partition tells the owners of its words how often they occur and, each pair
     at one table, how many customers they have in the parent restaurant."""
 
-    def ask(lists: Iterable[list[bytes]]) -> Iterator[tuple[int, bytes]]:
+    def ask(pairs: Iterable[tuple[list[bytes], list[bytes]]]) -> Iterator[tuple[int, bytes]]:
         me = TaskContext.get().partitionId()
-        for messages in lists:
+        for messages, _ in pairs:
             part = _load(messages)
             one = (part.customers > 0).astype(np.int64)
             counts, tables = part.per_word(part.customers).astype(np.int64), part.per_word(one).astype(np.int64)
@@ -371,8 +384,10 @@ def _ask(parts: int, heavy: np.ndarray):
 def _owner(asked: list[bytes], sent: list[bytes], sums: Sums | None, seed: int):
     """The owner's view: its words, their counts, customers and tables, per sender its words, and what
     was sent along. Before the first sums are known every word has one table."""
-    loaded = sorted((m for m in map(_unpack, asked) if m[0] == "words"), key=lambda m: m[1])
-    extra = [_unpack(m) for m in sent]
+    first = [_unpack(m) for m in asked]
+    loaded = sorted((m for m in first if m[0] == "words"), key=lambda m: m[1])
+    # Before the first sweep nothing was sent but what was asked.
+    extra = [_unpack(m) for m in sent] or first
     lists = [np.cumsum(m[2], dtype=np.uint64) for m in loaded]
     words, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *lists]), return_inverse=True)
     later = {m[1]: m[2] for m in extra if m[0] == "tables"}
@@ -501,8 +516,8 @@ def _score(parts: int, sums: Sums):
 
 
 def _finish(train_tokens: int):
-    def finish(lists: Iterable[list[bytes]]) -> Iterator[tuple]:
-        for messages in lists:
+    def finish(pairs: Iterable[tuple[list[bytes], list[bytes]]]) -> Iterator[tuple]:
+        for messages, _ in pairs:
             loaded = sorted((m for m in map(_unpack, messages)), key=lambda m: m[:2])
             of: dict[int, list] = {}
             for _, number, ids, held, n in (m for m in loaded if m[0] == "docs"):
@@ -574,19 +589,19 @@ def score_documents(
     parts = parts_for(size, partition_bytes)
     heavy = frequent_contexts(read.select("text"), parts) if parts > 1 else np.zeros(0, np.uint64)
     blocks = _dealt(read.rdd.mapPartitions(_route(parts, heavy)), parts)
-    asked = _dealt(blocks.mapPartitions(_ask(parts, heavy)), parts)
+    asked = _dealt(_work(blocks, _ask(parts, heavy)), parts)
     # The first numbers only need what was asked; each further round needs its own messages.
-    view, state = asked.map(lambda messages: (messages, messages)), None
-    sums = view.mapPartitions(_sums_of(None, seed)).treeReduce(Sums.plus)
+    view, state = asked, None
+    sums = _work(view, _sums_of(None, seed)).treeReduce(Sums.plus)
     for turn in range(burn_in + samples):
-        drawn = view.mapPartitions(_sums_of(sums, seed + turn)).treeReduce(Sums.plus)
-        replies = _dealt(view.mapPartitions(_reply(sums, seed + turn)), parts)
-        state, sums = blocks.zip(replies), drawn
+        drawn = _work(view, _sums_of(sums, seed + turn)).treeReduce(Sums.plus)
+        replies = _dealt(_work(view, _reply(sums, seed + turn)), parts, 1)
+        state, sums = blocks.union(replies), drawn
         if turn == burn_in + samples - 1:
             break
-        messages = state.mapPartitions(_sweep(parts, heavy, sums, seed + turn, keep=turn >= burn_in))
-        view = asked.zip(_dealt(messages, parts))
-    scored = _dealt(state.mapPartitions(_score(parts, sums)), parts).mapPartitions(_finish(sums.tokens))
+        messages = _work(state, _sweep(parts, heavy, sums, seed + turn, keep=turn >= burn_in))
+        view = asked.union(_dealt(messages, parts, 1))
+    scored = _work(_dealt(_work(state, _score(parts, sums)), parts), _finish(sums.tokens))
     kind = read.schema["doc_id"].dataType.simpleString()
     return spark.createDataFrame(
         scored,
