@@ -3,7 +3,7 @@
 Every context (the word before) is a restaurant whose customers are the words that follow it in the
 training text. All context restaurants share one parent, the restaurant without context: each of
 their tables sends one customer there. Its parent is uniform over the known words and one unknown.
-Seatings are sampled by Gibbs moves, one customer at a time leaving its table and sitting down anew,
+Each sweep draws anew at how many tables all customers of a word sit in each context (``seating``),
 and a word's probability is the mean of the predictive probabilities of several samples.
 
 How the work is laid out:
@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import parts_for, text_or_empty
+from .seating import table_counts
 from .words import mixed, word_hashes
 
 BEGIN, END = np.uint64(0x1D8AF066C5E3A10B), np.uint64(0x5F3C9B72E4D18A67)
@@ -44,7 +45,7 @@ BLOCK, PARTITION = 6 << 20, 12 << 20
 # One document in so many looks for frequent contexts; one is frequent from this part of a partition.
 SAMPLED, FREQUENT = 50, 0.25
 CONCENTRATION = 1.0
-BURN_IN, SAMPLES, MOVES = 1, 2, 8
+BURN_IN, SAMPLES = 1, 2
 
 
 def _pack(value: object) -> bytes:
@@ -216,7 +217,7 @@ def seat(customers: np.ndarray, fresh: np.ndarray, discount: float, rng: np.rand
     """Seat the customers of each dish in turn: (group, size) of all tables, group by group.
 
     ``fresh`` is the weight of a new table. The first eight sit down one by one, later ones in small
-    parties that choose together; Gibbs moves then take single customers.
+    parties that choose together. The sweeps do not use this: ``table_counts`` is exact.
     """
     groups = np.flatnonzero(customers > 0)
     group, size = groups.copy(), np.ones(len(groups), np.int64)
@@ -246,7 +247,8 @@ def seat(customers: np.ndarray, fresh: np.ndarray, discount: float, rng: np.rand
 
 
 def gibbs(group: np.ndarray, size: np.ndarray, fresh: np.ndarray, discount: float, moves: int, rng: np.random.Generator):
-    """``moves`` times, one customer of every dish with several leaves its table and sits down anew."""
+    """``moves`` times, one customer of every dish with several leaves its table and sits down anew.
+    The chain that ``table_counts`` is tested against; the sweeps do not use it."""
     total = np.bincount(group, size, len(fresh))
     several = total[group] > 1
     rest_group, rest_size = group[~several], size[~several]
@@ -334,20 +336,19 @@ def _heavy_sums(part: Part, tables: np.ndarray, heavy: np.ndarray) -> dict:
 @dataclass
 class Inbox:
     """What a partition knows of its words after a sweep: training count, customers and tables in the
-    parent restaurant, per sample; and its own tables."""
+    parent restaurant, per sample; and the tables of its own pairs."""
 
     counts: np.ndarray
     tables: np.ndarray
     parent_tables: np.ndarray
-    group: np.ndarray | None
-    size: np.ndarray | None
+    seated: np.ndarray | None
     samples: list
 
 
 def _read_inbox(part: Part, messages: list[bytes], parts: int) -> Inbox:
     order, bounds = part.owners(parts)
     counts, tables, parent_tables = (np.zeros(len(part.words), np.int64) for _ in range(3))
-    own: tuple = (None, None, [])
+    own: tuple = (None, [])
     for message in messages:
         kind, sender, *rest = _unpack(message)
         if kind == "own":
@@ -355,7 +356,7 @@ def _read_inbox(part: Part, messages: list[bytes], parts: int) -> Inbox:
         else:
             at = order[bounds[sender] : bounds[sender + 1]]
             counts[at], tables[at], parent_tables[at] = rest
-    return Inbox(counts, tables, parent_tables, own[0], own[1], own[2])
+    return Inbox(counts, tables, parent_tables, *own)
 
 
 def _ask(parts: int, heavy: np.ndarray):
@@ -376,7 +377,7 @@ def _ask(parts: int, heavy: np.ndarray):
                 pair_once=int((part.customers == 1).sum()), pair_twice=int((part.customers == 2).sum()),
                 heavy=_heavy_sums(part, one, heavy),
             )
-            yield me, _pack(("own", me, (None, None, []), sums))
+            yield me, _pack(("own", me, (None, []), sums))
 
     return ask
 
@@ -400,9 +401,7 @@ def _owner(asked: list[bytes], sent: list[bytes], sums: Sums | None, seed: int):
         discount = sums.discounts()[1]
         base = (CONCENTRATION + discount * sums.parent_tables) / (sums.vocabulary + 1)
         rng = np.random.default_rng([seed, TaskContext.get().partitionId(), 1])
-        fresh = np.full(len(words), base)
-        group, size = gibbs(*seat(tables, fresh, discount, rng), fresh, discount, MOVES, rng)
-        parent_tables = np.bincount(group, minlength=len(words))
+        parent_tables = table_counts(tables, np.full(len(words), base), discount, rng)
     per_sender = dict(zip([m[1] for m in loaded], np.split(at, np.cumsum([len(x) for x in lists])[:-1]), strict=True)) if loaded else {}
     return counts, tables, parent_tables, per_sender, [m for m in extra if m[0] == "own"]
 
@@ -438,8 +437,8 @@ def _reply(sums: Sums, seed: int):
 
 
 def _sweep(parts: int, heavy: np.ndarray, sums: Sums, seed: int, keep: bool):
-    """Gibbs moves in every context restaurant, given the parent's probabilities of the sweep before.
-    With ``keep`` the seating before the moves is remembered as a sample, with its parent's numbers."""
+    """All customers of every context restaurant sit down anew, given the parent's probabilities of the
+    sweep before. With ``keep`` the seating before that is remembered as a sample, with its parent's numbers."""
 
     def sweep(pairs: Iterable[tuple[list[bytes], list[bytes]]]) -> Iterator[tuple[int, bytes]]:
         me = TaskContext.get().partitionId()
@@ -452,12 +451,7 @@ def _sweep(parts: int, heavy: np.ndarray, sums: Sums, seed: int, keep: bool):
             samples = [*known.samples, _sample(known, before, sums)] if keep else known.samples
             _, seated = _context(part, before, sums)
             fresh = (CONCENTRATION + discount * seated[part.u]) * _parent(sums, known.tables, known.parent_tables)[part.w]
-            if known.group is None:
-                group, size = seat(part.customers, fresh, discount, rng)
-            else:
-                group, size = np.cumsum(known.group, dtype=np.int64), known.size.astype(np.int64)
-            group, size = gibbs(group, size, fresh, discount, MOVES, rng)
-            tables = np.bincount(group, minlength=len(part.u))
+            tables = table_counts(part.customers, fresh, discount, rng)
             per_word = part.per_word(tables).astype(np.int64)
             order, bounds = part.owners(parts)
             for to in np.flatnonzero(np.diff(bounds)):
@@ -466,15 +460,13 @@ def _sweep(parts: int, heavy: np.ndarray, sums: Sums, seed: int, keep: bool):
                 pair_once=int((part.customers == 1).sum()), pair_twice=int((part.customers == 2).sum()),
                 heavy=_heavy_sums(part, tables, heavy),
             )
-            yield me, _pack(("own", me, (_small(_deltas(group)), _small(size), samples), found))
+            yield me, _pack(("own", me, (_small(tables), samples), found))
 
     return sweep
 
 
 def _tables(part: Part, known: Inbox) -> np.ndarray:
-    if known.group is None:
-        return (part.customers > 0).astype(np.int64)
-    return np.bincount(np.cumsum(known.group, dtype=np.int64), minlength=len(part.u))
+    return (part.customers > 0).astype(np.int64) if known.seated is None else known.seated.astype(np.int64)
 
 
 def _sample(known: Inbox, tables: np.ndarray, sums: Sums) -> tuple:

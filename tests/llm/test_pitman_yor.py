@@ -8,8 +8,10 @@ import pytest
 from llm_rows import MESSY, messy, nothing, records  # noqa: F401
 from pyspark.sql import functions as F
 
+from sparkrecon.llm import pitman_yor
 from sparkrecon.llm.common import remainder
 from sparkrecon.llm.pitman_yor import END, Part, Sums, _predict, frequent_contexts, gibbs, perplexity, score_documents, seat
+from sparkrecon.llm.seating import table_counts
 
 COLUMNS = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
@@ -118,3 +120,52 @@ def test_seating_keeps_all_customers():
     group, size = gibbs(group, size, np.full(8, 0.7), 0.6, 5, rng)
     assert (np.bincount(group, size, 8) == customers).all()
     assert END != 0
+
+
+def _tables_by_counting(c, a, d):
+    """Mean and standard deviation of the tables of c customers, by S(n + 1, t) = (n - d t) S(n, t) + S(n, t - 1)."""
+    t, weight = np.arange(c + 1), np.zeros(c + 1)
+    weight[1] = a
+    for n in range(1, c):
+        weight = (n - d * t) * weight + a * np.concatenate([[0], weight[:-1]])
+        weight[n + 2 :] = 0
+        weight /= weight.sum()
+    mean = (t * weight).sum() / weight.sum()
+    return mean, math.sqrt(((t - mean) ** 2 * weight).sum() / weight.sum())
+
+
+@pytest.mark.parametrize("c, a, d", [(9, 0.2, 0.8), (300, 5.0, 0.5), (512, 40.0, 0.7), (513, 40.0, 0.7), (4000, 0.3, 0.9), (4000, 60.0, 0.6), (4000, 5000.0, 0.3)])
+def test_one_draw_seats_all_customers_of_a_dish(c, a, d):
+    n = 400
+    mean, deviation = _tables_by_counting(c, a, d)
+    found = table_counts(np.full(n, c), np.full(n, a), d, np.random.default_rng(5))
+    assert found.mean() == pytest.approx(mean, abs=5 * deviation / math.sqrt(n) + 1e-9)
+    assert found.std() == pytest.approx(deviation, rel=0.25, abs=0.05)
+
+
+def test_a_frequent_pair_follows_the_parent_in_one_sweep(monkeypatch):
+    """The sweep as it is run, on a pair of 5,000 customers beside rare ones: its tables are those that
+    the parent's state asks for, whatever they were before."""
+    monkeypatch.setattr(pitman_yor.TaskContext, "get", lambda: type("Task", (), {"partitionId": staticmethod(lambda: 0)}))
+    docs = 5000
+    context, word = np.full(docs + 40, 7, np.uint64), np.append(np.full(docs, 3, np.uint64), np.arange(100, 140, dtype=np.uint64))
+    pairs = pitman_yor._pairs(0, context, word, np.arange(docs + 40), np.zeros(docs + 40, bool))
+    part = pitman_yor._load([pairs])
+    none = np.zeros(0, np.uint64)
+    sums = Sums(docs + 40, 41, 40, 20, 400, 30, 5, 60)
+    for before in (1, 2000):  # tables of the frequent pair
+        own = np.where(part.customers > 1, before, 1)
+        order, _ = part.owners(1)
+        counts = part.customers[order]
+        inbox = [
+            pitman_yor._pack(("words", 0, counts, np.where(counts > 1, 120, 1), np.ones(41, int))),
+            pitman_yor._pack(("own", 0, (own, []))),
+        ]
+        tables = []
+        for seed in range(30):
+            sent = dict(m for m in ((pitman_yor._unpack(x)[0], pitman_yor._unpack(x)) for _, x in pitman_yor._sweep(1, none, sums, seed, False)([([pairs], inbox)])))
+            tables.append(sent["own"][2][0][part.customers > 1][0])
+        d = sums.discounts()[0]
+        parent = pitman_yor._parent(sums, np.array([120]), np.array([1]))[0]
+        mean, deviation = _tables_by_counting(docs, (1 + d * (before + 40)) * parent, d)
+        assert np.mean(tables) == pytest.approx(mean, abs=5 * deviation / math.sqrt(30))
