@@ -525,7 +525,8 @@ def _finish(train_tokens: int):
 
 def frequent_contexts(docs: DataFrame, parts: int) -> np.ndarray:
     """Words that are a good part of a partition, from one document in ``SAMPLED`` (all columns: text).
-    It decides where pairs go, never what is counted; a word it misses makes a partition fuller."""
+    It decides where pairs go, never what is counted; a word it misses makes a partition fuller. The
+    beginning, a context of every text, is always among them, whatever the sample holds."""
 
     def count(rows: Iterable[tuple]) -> Iterator[tuple[int, int]]:
         found: dict[int, int] = {}
@@ -539,7 +540,8 @@ def frequent_contexts(docs: DataFrame, parts: int) -> np.ndarray:
     sample = docs.filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)
     rows = dict(sample.rdd.mapPartitions(count).reduceByKey(lambda a, b: a + b).collect())
     total = rows.pop(-1, 0)
-    return np.sort(np.array([w for w, n in rows.items() if n >= total * FREQUENT / parts], np.uint64))
+    found = np.array([w for w, n in rows.items() if n >= total * FREQUENT / parts], np.uint64)
+    return np.sort(np.append(found, BEGIN))
 
 
 def _chunks(texts: Iterable[str], most: int) -> Iterator[list[str]]:

@@ -69,6 +69,20 @@ def test_frequent_contexts_are_found(spark):
     assert len(frequent_contexts(docs, 8)) >= 1
 
 
+@pytest.mark.parametrize("copies", [1, 2000])
+def test_first_words_are_dealt_over_the_partitions(spark, copies):
+    """Texts of one word: half of all tokens follow the beginning. In many copies they may miss the sample."""
+    docs = spark.range(2000).select(F.floor(F.col("id") / copies * 37).cast("string").alias("text"))
+    heavy = frequent_contexts(docs, 8)
+    assert pitman_yor.BEGIN in heavy and (np.diff(heavy.astype(float)) > 0).all()
+    rows = [(i, False, str(i)) for i in range(2000)]
+    dealt = Counter()
+    for to, message in pitman_yor._messages(0, rows, 8, heavy):
+        part = pitman_yor._load([message])
+        dealt[to] += int(part.per_context(part.customers)[part.contexts == pitman_yor.BEGIN].sum())
+    assert sum(dealt.values()) == 2000 and max(dealt.values()) < 500
+
+
 def test_probabilities_add_up_to_one():
     """Over the known words and the unknown one, in every context, seen or not."""
     rng = np.random.default_rng(0)
