@@ -26,7 +26,6 @@ SMOOTHING = 0.5
 ROUNDS = 12
 # Trigrams overlap, so their evidence counts about three times over: six times the usual half.
 PENALTY = 3.0
-MOST_LANGUAGES = 3
 UNDETERMINED = "und"
 # Documents worked on together.
 TOGETHER = 1000
@@ -126,7 +125,7 @@ def infer(counts: np.ndarray, probs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     size = np.ones(n, np.int64)
     cost = PENALTY * np.log(np.maximum(counts.sum(axis=1), 2))
     rank = np.argsort(-mix, axis=1, kind="stable")
-    for languages in range(2, min(k, MOST_LANGUAGES) + 1):
+    for languages in range(2, k + 1):
         # Only documents that took every language so far, and have some of the next one.
         at = np.flatnonzero((size == languages - 1) & (mix[np.arange(n), rank[:, languages - 1]] > 0.01))
         if not len(at):

@@ -75,3 +75,14 @@ def test_inference_against_plain_loops():
     assert _fit(counts, probs, mix)[1] > max(counts[1] @ np.log(p) for p in probs)
     language, score, size = infer(counts, probs)
     assert language.tolist()[0::2] == [0, 2] and size.tolist() == [1, 2, 3] and ((score >= 0) & (score <= 1)).all()
+
+
+def test_texts_in_many_languages_have_all_of_them():
+    rng = np.random.default_rng(6)
+    probs = rng.dirichlet(np.full(BUCKETS, 0.1), 6)
+    probs = (probs + 1e-6) / (probs + 1e-6).sum(axis=1, keepdims=True)
+    truth = [[0.25, 0.2, 0.3, 0.25, 0, 0], [0.1, 0.1, 0.2, 0.2, 0.3, 0.1], [0, 0, 0, 0, 0.5, 0.5], [0, 1, 0, 0, 0, 0]]
+    counts = np.stack([rng.multinomial(4000, np.array(t) @ probs) for t in truth]).astype(np.float32)
+    language, score, size = infer(counts, probs)
+    assert size.tolist() == [4, 6, 2, 1] and language.tolist()[0::3] == [2, 1] and language[1] == 4
+    assert score[:2] == pytest.approx([0.3, 0.3], abs=0.05)
