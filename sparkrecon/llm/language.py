@@ -27,6 +27,7 @@ ROUNDS = 12
 # Trigrams overlap, so their evidence counts about three times over: six times the usual half.
 PENALTY = 3.0
 UNDETERMINED = "und"
+LETTER = r"\p{L}"
 # Documents worked on together.
 TOGETHER = 1000
 
@@ -171,7 +172,7 @@ def predict(
                 found.append(pd.DataFrame({"language": language, "score": score.astype(float), "n_languages": size}))
         return pd.concat(found) if found else pd.DataFrame({"language": [], "score": [], "n_languages": []})
 
-    letters = F.coalesce(F.col(text_col), F.lit("")).rlike(r"\p{L}") & F.lit(known > 0)
+    letters = F.coalesce(F.col(text_col), F.lit("")).rlike(LETTER) & F.lit(known > 0)
     rows = docs.select(
         F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), letters.alias("letters"), _padded(text_col).alias("text")
     )
@@ -204,7 +205,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def readable_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` without those whose language cannot be determined, all columns as they are."""
+    """``docs`` without those whose language cannot be determined, all columns as they are: texts without
+    a letter go. Without a labelled text no language is known, and texts with a letter stay as well."""
     languages, probs = learn(docs, text_col, lang_col)
+    if not languages:
+        return docs.filter(F.coalesce(F.col(text_col), F.lit("")).rlike(LETTER))
     found = predict(docs, languages, probs, id_col, text_col, keep_row=True)
     return found.filter(F.col("lang_pred") != UNDETERMINED).select("row.*")

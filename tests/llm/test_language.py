@@ -86,3 +86,10 @@ def test_texts_in_many_languages_have_all_of_them():
     language, score, size = infer(counts, probs)
     assert size.tolist() == [4, 6, 2, 1] and language.tolist()[0::3] == [2, 1] and language[1] == 4
     assert score[:2] == pytest.approx([0.3, 0.3], abs=0.05)
+
+
+def test_unlabelled_documents_with_a_letter_stay(spark):
+    texts = ["some text", "12 + 3", None, "", "ü"]
+    docs = documents(spark, [(i, t, None, None) for i, t in enumerate(texts)])
+    kept = readable_documents(docs)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 4]
