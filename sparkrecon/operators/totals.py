@@ -43,6 +43,9 @@ _REST = ["debit_rest", "credit_rest"]
 _SUM_TYPE, _COUNT_TYPE, _AMOUNT_TYPE = "decimal(38,4)", "decimal(38,0)", "decimal(24,4)"
 # Below this size the difference of two doubles of 4 places, rounded to 4 places, is exact.
 _PLAIN = 1e11
+# Two amounts this close to 4 places differ, rounded to 4 places, by the difference of their roundings.
+# That takes in the binary dust of sums such as price + 0.05.
+_DUST = 1e-5
 
 
 def reconcile_totals(
@@ -137,7 +140,8 @@ def _ranges(df: DataFrame, side: str) -> DataFrame:
     ]
 
     def fine(a: str) -> Column:
-        return F.coalesce((F.round(F.col(a), 4) != F.col(a)) | (F.abs(F.col(a)) >= _PLAIN), F.lit(False))
+        off = F.abs(F.round(F.col(a), 4) - F.col(a))
+        return F.coalesce((off > _DUST) | (F.abs(F.col(a)) >= _PLAIN), F.lit(False))
 
     return df.groupBy(*_ID).agg(
         F.count(F.lit(1)).alias(f"{side}_n"), F.max(fine("d") | fine("c")).alias(f"{side}_fine"), *amounts
