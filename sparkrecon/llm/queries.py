@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, exact_dedup, language, mixing, near_dedup, packing, pitman_yor, reputation, token_counts, token_files
+from . import (
+    embeddings,
+    exact_dedup,
+    filter_audit,
+    language,
+    merkle,
+    mixing,
+    near_dedup,
+    packing,
+    pitman_yor,
+    reputation,
+    token_counts,
+    token_files,
+)
 from .common import remainder, table
 from .tokens import vocabulary_size
 
@@ -67,6 +80,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pitman_yor": op1_pitman_yor,
     "op2_pattern_packing": op2_pattern_packing,
@@ -78,10 +99,14 @@ QUERIES: dict[str, Query] = {
     "op8_token_files": op8_token_files,
     "op9_metric_join": op9_metric_join,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_host_reputation": reputation.ORACLE,
     "op9_metric_join": embeddings.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }

@@ -18,7 +18,7 @@ import parity  # noqa: E402
 
 def test_registered():
     found = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([k for k in found if k.startswith(f"op{n}_")]) == 1
     assert "pipeline" in found and set(QUERIES) <= set(found)
     assert len(corpus_pipeline.STAGES) == 5
