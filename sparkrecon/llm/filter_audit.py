@@ -14,6 +14,7 @@ all rows is hot on the left side only, which AQE splits, since both sides come f
 
 from __future__ import annotations
 
+import json
 from itertools import permutations
 
 from pyspark.sql import Column, DataFrame
@@ -99,16 +100,15 @@ def combinations(
 
 
 def _steps(names: list[str]) -> Column:
-    """Every step of every order: its filter's bit and the bits of the filters before it."""
+    """Every step of every order: its filter's bit and the bits of the filters before it. One literal."""
     bit = {name: 1 << i for i, name in enumerate(names)}
     steps = []
     for order in permutations(names):
         before = 0
         for step, name in enumerate(order, start=1):
-            steps.append(("".join(order), step, before, bit[name]))
+            steps.append({"filter_order": "".join(order), "step": step, "before": before, "own": bit[name]})
             before |= bit[name]
-    fields = ["filter_order", "step", "before", "own"]
-    return F.array(*[F.struct(*[F.lit(v).alias(f) for f, v in zip(fields, s)]) for s in steps])
+    return F.from_json(F.lit(json.dumps(steps)), "array<struct<filter_order string, step int, before int, own int>>")
 
 
 def audit(

@@ -53,29 +53,26 @@ def _block(nodes: DataFrame, group: str, fanout: int) -> DataFrame:
     """All levels within the blocks of ``nodes`` (group, pos, count, node): adds ``block``, ``up`` (the
     node that the block becomes) and ``path`` (left and right siblings per level)."""
     levels = _levels(fanout)
-    kept = [F.col(c) for c in nodes.columns]
-    at = nodes.withColumn("block", F.expr(f"pos div {fanout**levels}")).withColumn("up", F.col("node"))
-    at = at.repartition(group, "block")
-    steps = []
+    at = nodes.selectExpr("*", f"pos div {fanout**levels} AS block", "node AS up").repartition(group, "block")
+    steps: list[str] = []
     for k in range(levels):
-        slot = F.expr(f"(pos div {fanout**k}) % {fanout}")
+        slot = f"(pos div {fanout**k}) % {fanout}"
         # A level above the part's last node adds nothing.
-        alive = F.expr(f"count > {fanout**k}")
-        of_parent = Window.partitionBy(group, "block", F.expr(f"pos div {fanout ** (k + 1)}"))
-        slots = [F.coalesce(F.max(F.when(slot == j, F.col("up"))).over(of_parent), F.lit("")) for j in range(fanout)]
-        at = at.select(*kept, "block", "up", *steps, *[c.alias(f"slot{j}") for j, c in enumerate(slots)])
-
-        def beside(mine) -> Column:
-            return F.concat(*[F.when(mine(j, slot), F.col(f"slot{j}")).otherwise("") for j in range(fanout)])
-
-        step = F.when(
-            alive,
-            F.struct(beside(lambda j, s: F.lit(j) < s).alias("left"), beside(lambda j, s: F.lit(j) > s).alias("right")),
+        alive = f"count > {fanout**k}"
+        parent = f"(PARTITION BY {group}, block, pos div {fanout ** (k + 1)})"
+        at = at.selectExpr(
+            *nodes.columns, "block", "up", *steps,
+            *[f"coalesce(max(CASE WHEN {slot} = {j} THEN up END) OVER {parent}, '') AS slot{j}" for j in range(fanout)],
+        )
+        slots = ", ".join(f"slot{j}" for j in range(fanout))
+        left, right = (
+            ", ".join(f"CASE WHEN {j} {side} {slot} THEN slot{j} ELSE '' END" for j in range(fanout)) for side in "<>"
         )
-        parent = F.when(alive, digest(*[F.col(f"slot{j}") for j in range(fanout)])).otherwise(F.col("up"))
-        at = at.select(*kept, "block", parent.alias("up"), *steps, step.alias(f"step{k}"))
+        step = f"CASE WHEN {alive} THEN struct(concat({left}) AS left, concat({right}) AS right) END AS step{k}"
+        up = f"CASE WHEN {alive} THEN sha2(concat({slots}), 256) ELSE up END AS up"
+        at = at.selectExpr(*nodes.columns, "block", *steps, step, up)
         steps.append(f"step{k}")
-    return at.select(*kept, "block", "up", F.array_compact(F.array(*steps)).alias("path"))
+    return at.selectExpr(*nodes.columns, "block", "up", f"array_compact(array({', '.join(steps)})) AS path")
 
 
 def _tree(nodes: DataFrame, group: str, fanout: int, name: str) -> DataFrame:

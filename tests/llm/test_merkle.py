@@ -77,7 +77,7 @@ def _same(found, want):
     assert sorted(map(key, found)) == sorted(map(key, want))
 
 
-@pytest.mark.parametrize("span", [1024, 4, 2])
+@pytest.mark.parametrize("span", [1024, 4])
 def test_messy_rows(messy, monkeypatch, span):
     monkeypatch.setattr(merkle, "SPAN", span)
     found = tamper_check(messy)
@@ -87,7 +87,7 @@ def test_messy_rows(messy, monkeypatch, span):
     assert any(not r[-1] for r in want) and any(r[-1] for r in want)
 
 
-@pytest.mark.parametrize("fanout, span", [(3, 1024), (3, 3), (5, 30), (2000, 1024)])
+@pytest.mark.parametrize("fanout, span", [(3, 1024), (5, 30)])
 def test_other_fanouts(spark, monkeypatch, fanout, span):
     monkeypatch.setattr(merkle, "SPAN", span)
     rows = [(i, f"p{i % 4}" if i % 4 else None, _h(str(i)), _h(str(i + i % 2))) for i in range(400)]
