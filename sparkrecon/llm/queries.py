@@ -16,6 +16,7 @@ from . import (
     merkle,
     mixing,
     near_dedup,
+    neighbours,
     packing,
     pitman_yor,
     reputation,
@@ -84,6 +85,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_neighbour_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_check(table(spark, sf_dir, "documents"))
 
@@ -100,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op9_metric_join": op9_metric_join,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_filter_audit": op11_filter_audit,
+    "op12_neighbour_forest": op12_neighbour_forest,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
