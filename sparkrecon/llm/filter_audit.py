@@ -7,9 +7,11 @@ other filters, and one aggregation makes them bit combinations: at most 2^filter
 the number of documents. All that orders can ask follows from the combinations: a filter removes, after
 the filters ``before`` it, the documents that fail it and none of those.
 
-Scale: one scan for the filters that look at a text alone, a second one that keeps only texts whose
-hash occurs more than once. The other side of the join holds a text once, so a text with a third of
-all rows is hot on the left side only, which AQE splits, since both sides come from tables.
+Scale: one scan for the filters that look at a text alone; later scans drop the texts whose hash is
+surely met once (a Bloom filter of bounded size; beyond some 8 million rows it lets more of them through,
+which costs their shuffle and changes nothing), so that few whole texts are shuffled. The other side of
+the join holds a text once, so a text with a third of all rows is hot on the left side only, which AQE
+splits, since the other side is a table.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import written
 from .common import WORD, text_or_empty
+from .exact_dedup import may_repeat, repeat_filter
 
 # The filter that is found by the self-join. Others are conditions on the text.
 COPY = "E"
@@ -42,11 +45,11 @@ def default_filters(text: Column) -> dict[str, Column]:
 
 def _copies(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc_id, sha, part) of the documents whose text a smaller id holds too."""
-    repeated = written(
-        rows.groupBy("sha").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sha"), "audit-repeated"
-    )
-    texts = docs.join(repeated, "sha", "left_semi")
-    first = written(texts.groupBy("sha", "text").agg(F.min("doc_id").alias("first_id")), "audit-first")
+    twice, cells = repeat_filter(rows.select(F.xxhash64("sha")), rows.count())
+    probe = may_repeat(twice, cells, docs.sparkSession)
+    texts = docs.filter(probe(F.xxhash64("sha")))
+    of_text = texts.groupBy("sha", "text").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    first = written(of_text.filter("n > 1").drop("n"), "audit-first")
     a, b = texts.alias("a"), first.alias("b")
     on = (F.col("a.sha") == F.col("b.sha")) & (F.col("a.text") == F.col("b.text"))
     found = a.join(b, on & (F.col("b.first_id") < F.col("a.doc_id")), "left_semi")
