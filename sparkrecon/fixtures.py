@@ -81,7 +81,8 @@ SELECT *, ledger_transaction_id AS source_ref, debit_amount - credit_amount AS n
 HOT_SOURCE = """
 SELECT CASE WHEN k % 3 = 0 THEN 'TXN-HOT' ELSE concat('TXN', CAST(k AS STRING)) END AS transaction_id,
   CASE WHEN k % 431 = 0 THEN NULL WHEN k % 7 = 0 THEN 500.0 WHEN k % 2 = 0 THEN p ELSE 0.0 END AS debit_amount,
-  CASE WHEN k % 7 = 0 OR k % 2 = 0 THEN 0.0 ELSE p END AS credit_amount
+  CASE WHEN k % 7 = 0 OR k % 2 = 0 THEN 0.0 ELSE p END AS credit_amount,
+  CASE WHEN k % 163 = 0 THEN NULL WHEN k % 5 = 0 THEN '1000' WHEN k % 5 = 1 THEN '2100' ELSE '4100' END AS gl_account
 FROM (SELECT o_orderkey AS k, o_totalprice AS p FROM orders) b
 """
 

@@ -3,6 +3,7 @@
 from .values import (
     blank,
     calendar_date,
+    difference,
     exceeds,
     in_list,
     money_net,
@@ -17,6 +18,7 @@ from .values import (
 __all__ = [
     "blank",
     "calendar_date",
+    "difference",
     "exceeds",
     "in_list",
     "money_net",

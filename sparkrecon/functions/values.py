@@ -16,6 +16,9 @@ NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 # The part of an amount that is added up as a decimal; the rest is added as a double (see money_sum).
 EXACT_TYPE = "decimal(28,8)"
 
+# An amount as it is written: a double shows 17 digits, so few amounts have more places than these.
+WRITTEN_TYPE = "decimal(32,17)"
+
 
 def na_to_null(c: Column) -> Column:
     """A CSV cell with its missing-value spellings turned into null."""
@@ -57,6 +60,17 @@ def exceeds(a: Column, b: Column, tolerance: float) -> Column:
     return F.abs(a - b) > F.lit(float(tolerance))
 
 
+def difference(a: Column, b: Column) -> Column:
+    """``a - b`` to 4 places, half away from zero, for amounts as they are written (17 places, 15 digits).
+
+    The binary difference of 1.00005 and 0.5 lies just above or below 0.50005, as chance will have it; the
+    difference of the two decimals does not, so every pair of equal amounts is rounded alike. Amounts
+    that the decimals cannot hold are subtracted as doubles.
+    """
+    exact = F.round(a.try_cast(WRITTEN_TYPE) - b.try_cast(WRITTEN_TYPE), 4).cast("double")
+    return F.when(a == b, F.lit(0.0)).otherwise(F.coalesce(exact, F.round(a - b, 4)))
+
+
 def status_of(failed: Column, severity: str = "FAIL") -> Column:
     return F.when(failed == 0, "PASS").otherwise(severity)
 

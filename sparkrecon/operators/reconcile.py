@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import exceeds, money_sum, share_pct
+from ..functions import difference, exceeds, money_sum, share_pct
 from ..params import (
     AMOUNT_DISCREPANCY,
     DEFAULT_RULES,
@@ -54,8 +54,8 @@ def reconcile(
         {
             "key": plain_key(),
             "reconciliation_status": _status(rules.tolerance),
-            "debit_delta": F.round(F.col("src_debit") - F.col("tgt_debit"), 4),
-            "credit_delta": F.round(F.col("src_credit") - F.col("tgt_credit"), 4),
+            "debit_delta": difference(F.col("src_debit"), F.col("tgt_debit")),
+            "credit_delta": difference(F.col("src_credit"), F.col("tgt_credit")),
         }
     ).select(*DETAIL_COLUMNS)
 

@@ -173,9 +173,21 @@ def discrepancy_register(detail: DataFrame) -> DataFrame:
     )
 
 
+def discrepancies_by_account(detail: DataFrame) -> DataFrame:
+    """(gl_account, discrepancies) from detail rows that exist anyway; without them see
+    ``totals.account_discrepancies``."""
+    off = discrepancies(detail).filter(F.col("gl_account_src").isNotNull())
+    return off.groupBy(F.col("gl_account_src").alias("gl_account")).agg(F.count(F.lit(1)).alias("discrepancies"))
+
+
 def gl_analysis(source: DataFrame, detail: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """``gl_accounts`` with the discrepancies of the given detail."""
+    return gl_accounts(source, discrepancies_by_account(detail), rules)
+
+
+def gl_accounts(source: DataFrame, off: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Totals and discrepancies per account, largest debit first. Rows without an account, and
-    discrepancies of ledger-only rows, belong to none."""
+    discrepancies of ledger-only rows, belong to none. ``off`` holds (gl_account, discrepancies)."""
     account = "gl_account"
     totals = (
         filled(source, ["debit_amount", "credit_amount"])
@@ -188,15 +200,9 @@ def gl_analysis(source: DataFrame, detail: DataFrame, rules: Rules = DEFAULT_RUL
             money_net(F.col("debit_amount"), F.col("credit_amount")).alias("net"),
         )
     )
-    # The right side has one row per account; its size is left for AQE to judge.
-    off = (
-        discrepancies(detail)
-        .filter(F.col("gl_account_src").isNotNull())
-        .groupBy(F.col("gl_account_src").alias(account))
-        .agg(F.count(F.lit(1)).alias("off"))
-    )
     names = F.create_map(*[F.lit(x) for pair in rules.gl_names.items() for x in pair])
-    found = F.coalesce("off", F.lit(0))
+    found = F.coalesce("discrepancies", F.lit(0))
+    # The right side has one row per account; its size is left for AQE to judge.
     return (
         totals.join(off, account, "left")
         .select(

@@ -9,16 +9,14 @@ not cost the square of its rows:
    differing amounts, its pairs all have the same status, which follows from that row.
 2. For the remaining ("mixed") keys the pairs within tolerance are counted by a band join: amounts
    are laid on a grid of twice the tolerance, and a pair within tolerance lies in neighbouring
-   grid cells. All other pairs are discrepancies. The sum of their differences is the sum over all
-   pairs, which follows from per-key sums, less the sum over the pairs within tolerance.
-   What the band join looks at are distinct amounts of one key in neighbouring cells: a handful for
-   money in cents, many for a key with very many amounts closer together than the tolerance.
-3. Rounding each difference to 4 places and then adding, as the rows do, equals adding first only if
-   the amounts have 4 places themselves. Mixed keys with finer or huge amounts are joined row by row,
-   in an inner join that AQE can split, and added up on the way; no such row is kept.
-
-Mixed keys are kept in a table in the shared folder between the two steps, so that step 2 reads
-only rows of those keys, by a broadcast if their list is small enough and by a shuffle otherwise.
+   grid cells. Cells with very many distinct amounts are compared as boxes (``crowded``). All other
+   pairs are discrepancies.
+3. The sum of the discrepancies' differences is the sum over all pairs less the sum over the pairs
+   within tolerance. Differences are rounded one by one, and the sum over all pairs still follows from
+   sums and positions of the n + m rows, also for amounts finer than 4 places (``products``).
+
+Rows of mixed keys are kept in a table in the shared folder between the two steps, as distinct amounts
+with their number.
 """
 
 from __future__ import annotations
@@ -28,24 +26,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import exceeds, share_pct
+from ..functions import difference, exceeds, share_pct
 from ..functions.values import split_amount
 from ..params import DEFAULT_RULES, Rules
 from ..plans.skew import ID as _ID
 from ..plans.skew import KEY, TAG, tag_keys
 from ..sources.tables import written
+from .crowded import near_boxes, placed, rows_of
+from .products import AMOUNTS, COUNT_TYPE, SUM_TYPE, sums_of_differences, times
 from .reconcile import SOURCE_KEY, TARGET_KEY, for_reconciliation, summary_row
 
 _COUNTS = ["matched", "amount_discrepancies", "missing_in_target", "missing_in_source"]
 _DELTAS = ["debit_delta", "credit_delta"]
 # What a decimal cannot hold of a difference is added up as a double beside the exact sums.
 _REST = ["debit_rest", "credit_rest"]
-_SUM_TYPE, _COUNT_TYPE, _AMOUNT_TYPE = "decimal(38,4)", "decimal(38,0)", "decimal(24,4)"
-# Below this size the difference of two doubles of 4 places, rounded to 4 places, is exact.
-_PLAIN = 1e11
-# Two amounts this close to 4 places differ, rounded to 4 places, by the difference of their roundings.
-# That takes in the binary dust of sums such as price + 0.05.
-_DUST = 1e-5
+_AMOUNT_TYPE = "decimal(24,4)"
+# Amounts are finer than 4 places if they are further than this from 4 places, or so large that a double
+# cannot tell. Two amounts nearer than that differ, rounded to 4 places, by the difference of their
+# roundings; that takes in the binary dust of sums such as price + 0.05.
+_DUST, _PLAIN = 1e-5, 1e11
+# Distinct amounts of one key in a grid cell, above which it is compared as a box.
+CROWD = 64
 
 
 def reconcile_totals(
@@ -76,37 +77,54 @@ def status_kpis(source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RUL
     )
 
 
-def _sides(source: DataFrame, target: DataFrame, null_keys: str):
-    def narrow(df, key):
+def account_discrepancies(
+    source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RULES, null_keys: str = "match"
+) -> DataFrame:
+    """(gl_account, discrepancies): how many rows of the detail that are not matched come from each
+    account's transactions. Transactions without an account are not counted."""
+    of = source.filter(F.col("gl_account").isNotNull())
+    left, right = _sides(for_reconciliation(of), for_reconciliation(target), null_keys, ["gl_account"])
+    counts = _totals(left, right, rules, with_deltas=False, null_source_missing=False, by=["gl_account"])
+    off = F.col("amount_discrepancies") + F.col("missing_in_target")
+    return counts.filter(F.col("gl_account").isNotNull()).select("gl_account", off.alias("discrepancies"))
+
+
+def _sides(source: DataFrame, target: DataFrame, null_keys: str, by: list[str] | None = None):
+    def narrow(df, key, extra):
         return df.select(
             F.col(key).alias("key"),
             F.col("debit_amount").cast("double").alias("d"),
             F.col("credit_amount").cast("double").alias("c"),
+            *extra,
         )
 
     return tag_keys(
-        narrow(source, SOURCE_KEY), narrow(target, TARGET_KEY), "key", "key", null_keys
+        narrow(source, SOURCE_KEY, by or []), narrow(target, TARGET_KEY, []), "key", "key", null_keys
     )
 
 
-def _totals(left, right, rules: Rules, with_deltas: bool, null_source_missing: bool) -> DataFrame:
-    """One row: the four status counts and, if wanted, the summed differences of discrepancies."""
-    per_key = _ranges(left, "s").join(_ranges(right, "t"), _ID, "full")
-    groups = written(_by_status(per_key, rules, with_deltas, null_source_missing), "recon-groups")
-
-    mixed = groups.filter("mixed").select(*_ID)
-    s, t = _weighted(left, mixed), _weighted(right, mixed)
-    parts = [
-        groups.filter("NOT mixed AND NOT fine").select(*_COUNTS, *_DELTAS, *_REST),
+def _totals(
+    left, right, rules: Rules, with_deltas: bool, null_source_missing: bool, by: list[str] | None = None
+) -> DataFrame:
+    """The four status counts and, if wanted, the summed differences of discrepancies: one row, or one
+    per value of the columns ``by`` of the left side (null for rows of the right side alone)."""
+    by = by or []
+    per_key = _ranges(left, "s", by).join(_ranges(right, "t"), _ID, "full")
+    groups = written(_by_status(per_key, rules, with_deltas, null_source_missing, by), "recon-groups")
+
+    parts = [groups.filter("NOT mixed").select(*by, *_COUNTS, *_DELTAS, *_REST)]
+    mixed = groups.filter("mixed")
+    any_fine = mixed.agg(F.max("fine")).first()[0]
+    if any_fine is not None:
+        s, t = _weighted(left, right, mixed, by)
         # Every pair of a mixed key is a discrepancy until the band join says otherwise.
-        _row(groups.filter("mixed").agg(F.sum("pairs").alias("n")), amount_discrepancies=F.col("n")),
-        _pairs_within(s, t, rules, with_deltas),
-    ]
-    if with_deltas:
-        parts.append(_deltas_of_all_pairs(s, t))
-        fine = groups.filter("fine").select(*_ID)
-        parts.append(_row_by_row(left.join(fine, _ID, "left_semi"), right.join(fine, _ID, "left_semi"), rules))
-    return reduce(DataFrame.unionByName, parts).agg(
+        parts.append(_row(mixed.groupBy(*by).agg(F.sum("pairs").alias("n")), by, amount_discrepancies=F.col("n")))
+        parts.append(_pairs_within(s, t, rules, with_deltas, by))
+        if with_deltas:
+            sums = sums_of_differences(s, t, _ID, any_fine)
+            parts.append(_row(sums, by, debit_delta=F.col("d"), credit_delta=F.col("c"),
+                              debit_rest=F.col("d_rest"), credit_rest=F.col("c_rest")))
+    return reduce(DataFrame.unionByName, parts).groupBy(*by).agg(
         *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in _COUNTS],
         *[
             (F.coalesce(F.sum(c), F.lit(0)).cast("double") + F.coalesce(F.sum(r), F.lit(0.0))).alias(c)
@@ -115,24 +133,20 @@ def _totals(left, right, rules: Rules, with_deltas: bool, null_source_missing: b
     )
 
 
-def _row(df: DataFrame, **values: Column) -> DataFrame:
+def _row(df: DataFrame, by: list[str], **values: Column) -> DataFrame:
     """The uniform shape of a partial result; what is not given is 0."""
     zero = F.lit(0)
     return df.select(
-        *[values.get(c, zero).cast(_COUNT_TYPE).alias(c) for c in _COUNTS],
-        *[values.get(c, zero).cast(_SUM_TYPE).alias(c) for c in _DELTAS],
+        *by,
+        *[values.get(c, zero).cast(COUNT_TYPE).alias(c) for c in _COUNTS],
+        *[values.get(c, zero).cast(SUM_TYPE).alias(c) for c in _DELTAS],
         *[values.get(c, zero).cast("double").alias(c) for c in _REST],
     )
 
 
-def _times(n: Column, m: Column) -> Column:
-    """Number of pairs, wider than a bigint."""
-    return n.cast("decimal(20,0)") * m.cast("decimal(18,0)")
-
-
-def _ranges(df: DataFrame, side: str) -> DataFrame:
-    """One row per key: row count, range and number of the known amounts, and whether any of them is
-    finer than 4 places or huge."""
+def _ranges(df: DataFrame, side: str, by: list[str] | None = None) -> DataFrame:
+    """One row per key (and ``by``): row count, range and number of the known amounts, and whether any
+    of them is finer than 4 places or huge."""
     amounts = [
         f(a).alias(f"{side}_{a}_{name}")
         for a in ("d", "c")
@@ -143,12 +157,12 @@ def _ranges(df: DataFrame, side: str) -> DataFrame:
         off = F.abs(F.round(F.col(a), 4) - F.col(a))
         return F.coalesce((off > _DUST) | (F.abs(F.col(a)) >= _PLAIN), F.lit(False))
 
-    return df.groupBy(*_ID).agg(
+    return df.groupBy(*_ID, *(by or [])).agg(
         F.count(F.lit(1)).alias(f"{side}_n"), F.max(fine("d") | fine("c")).alias(f"{side}_fine"), *amounts
     )
 
 
-def _by_status(per_key, rules: Rules, with_deltas: bool, null_source_missing: bool) -> DataFrame:
+def _by_status(per_key, rules: Rules, with_deltas: bool, null_source_missing: bool, by: list[str]) -> DataFrame:
     """One row for all keys whose pairs share a status, and one for each mixed key."""
 
     def same(side: str, a: str) -> Column:
@@ -158,9 +172,9 @@ def _by_status(per_key, rules: Rules, with_deltas: bool, null_source_missing: bo
 
     both = F.col("s_n").isNotNull() & F.col("t_n").isNotNull()
     uniform = same("s", "d") & same("s", "c") & same("t", "d") & same("t", "c")
-    fine = both & ~uniform & (F.col("s_fine") | F.col("t_fine")) & F.lit(with_deltas)
-    mixed = both & ~uniform & ~fine
-    pairs = _times(F.col("s_n"), F.col("t_n"))
+    mixed = both & ~uniform
+    fine = mixed & (F.col("s_fine") | F.col("t_fine"))
+    pairs = times(F.col("s_n"), F.col("t_n"))
     alike = both & uniform
     differs = F.coalesce(
         exceeds(F.col("s_d_lo"), F.col("t_d_lo"), rules.tolerance), F.lit(False)
@@ -172,21 +186,22 @@ def _by_status(per_key, rules: Rules, with_deltas: bool, null_source_missing: bo
     rows = F.coalesce("s_n", "t_n")
 
     def delta(a: str) -> Column:
-        return F.when(alike & differs, F.round(F.col(f"s_{a}_lo") - F.col(f"t_{a}_lo"), 4))
+        return F.when(alike & differs, difference(F.col(f"s_{a}_lo"), F.col(f"t_{a}_lo")))
 
     deltas = [delta("d"), delta("c")] if with_deltas else [F.lit(0.0), F.lit(0.0)]
     labelled = per_key.select(
+        *by,
         F.coalesce(mixed, F.lit(False)).alias("mixed"),
         F.coalesce(fine, F.lit(False)).alias("fine"),
-        F.when(mixed | fine, F.col(KEY)).alias(KEY),
-        F.when(mixed | fine, F.col(TAG)).alias(TAG),
+        F.when(mixed, F.col(KEY)).alias(KEY),
+        F.when(mixed, F.col(TAG)).alias(TAG),
         F.when(mixed, pairs).alias("pairs"),
         F.when(alike & ~differs, pairs).alias("matched"),
         F.when(alike & differs, pairs).alias("amount_discrepancies"),
         F.when(no_target, rows).alias("missing_in_target"),
         F.when(no_source, rows).alias("missing_in_source"),
         *[
-            (pairs.cast("decimal(20,0)") * split_amount(d, _AMOUNT_TYPE)[0]).cast(_SUM_TYPE).alias(c)
+            (pairs.cast("decimal(20,0)") * split_amount(d, _AMOUNT_TYPE)[0]).cast(SUM_TYPE).alias(c)
             for c, d in zip(_DELTAS, deltas)
         ],
         *[
@@ -194,70 +209,132 @@ def _by_status(per_key, rules: Rules, with_deltas: bool, null_source_missing: bo
             for c, d in zip(_REST, deltas)
         ],
     )
-    return labelled.groupBy("mixed", "fine", *_ID).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).cast(_COUNT_TYPE).alias(c) for c in ("pairs", *_COUNTS)],
-        *[F.coalesce(F.sum(c), F.lit(0)).cast(_SUM_TYPE).alias(c) for c in _DELTAS],
+    return labelled.groupBy(*by, "mixed", "fine", *_ID).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).cast(COUNT_TYPE).alias(c) for c in ("pairs", *_COUNTS)],
+        *[F.coalesce(F.sum(c), F.lit(0)).cast(SUM_TYPE).alias(c) for c in _DELTAS],
         *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in _REST],
     )
 
 
-def _weighted(df: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The distinct (key, debit, credit) of mixed keys, each with its number of rows ``n``."""
-    kept = df.join(mixed, _ID, "left_semi")
-    return kept.groupBy(*_ID, "d", "c").agg(F.count(F.lit(1)).alias("n"))
+def _weighted(left: DataFrame, right: DataFrame, mixed: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The distinct (key, debit, credit) of the mixed keys of both sides, each with its number of rows
+    ``n`` and whether its key holds fine amounts. Written once, read by each of the steps."""
 
+    def counted(df: DataFrame, of: list[str], side: str) -> DataFrame:
+        kept = df.join(mixed.groupBy(*of).agg(F.max("fine").alias("fine")), of)
+        found = kept.groupBy(*of, "d", "c", "fine").agg(F.count(F.lit(1)).alias("n"))
+        return found.withColumn("side", F.lit(side))
 
-def _pairs_within(s: DataFrame, t: DataFrame, rules: Rules, with_deltas: bool) -> DataFrame:
+    both = counted(left, [*_ID, *by], "s").unionByName(counted(right, _ID, "t"), allowMissingColumns=True)
+    rows = written(both, "recon-mixed")
+    return rows.filter("side = 's'").drop("side"), rows.filter("side = 't'").drop("side", *by)
+
+
+def _pairs_within(s: DataFrame, t: DataFrame, rules: Rules, with_deltas: bool, by: list[str]) -> DataFrame:
     """Pairs of mixed keys within tolerance, moved from discrepancy to matched."""
     width = 2 * rules.tolerance if rules.tolerance > 0 else 0.01
     if not with_deltas:  # amounts may be null
-        s, t = _masked(s, mine_first=True), _masked(t, mine_first=False)
-    else:
-        s, t = s.withColumn("mask", F.lit(0)), t.withColumn("mask", F.lit(0))
-
-    def cell(c: str) -> Column:
-        bound = F.lit(9e18)
-        # Multiplied, since a quotient counts as nullable and would keep the two uses of the
-        # weighted rows from sharing one shuffle.
-        return F.floor(F.greatest(F.least(F.col(c) * (1 / width), bound), -bound))
-
-    near = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    left = s.select(
-        *_ID, "mask", cell("d").alias("cell_d"), cell("c").alias("cell_c"),
-        F.col("d").alias("s_d"), F.col("c").alias("s_c"), F.col("n").alias("s_n"),
-    )
-    right = (
-        t.select("*", F.explode(near).alias("step_d"))
-        .select("*", F.explode(near).alias("step_c"))
-        .select(
-            *_ID, "mask",
-            (cell("d") + F.col("step_d")).alias("cell_d"),
-            (cell("c") + F.col("step_c")).alias("cell_c"),
-            F.col("d").alias("t_d"), F.col("c").alias("t_c"), F.col("n").alias("t_n"),
-        )
-    )
-    far = exceeds(F.col("s_d"), F.col("t_d"), rules.tolerance) | exceeds(
-        F.col("s_c"), F.col("t_c"), rules.tolerance
+        s, t = _masked(s, mine_first=True, by=by), _masked(t, mine_first=False, by=[])
+    keys = [*_ID, "mask"] if not with_deltas else list(_ID)
+    at = [*keys, "x", "y"]
+    s, t = placed(s, width, 0), placed(t, width, 0)
+
+    def crowds(df: DataFrame, side: str) -> DataFrame:
+        found = df.groupBy(*at).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWD)
+        return found.select(*at, F.lit(side).alias("side"))
+
+    crowded = crowds(s, "s").unionByName(crowds(t, "t"))
+    if crowded.isEmpty():
+        return _met(s, t, keys, rules, with_deltas, by)
+    crowded = written(crowded, "recon-crowded")
+
+    def apart(df: DataFrame, side: str) -> tuple[DataFrame, DataFrame]:
+        full = crowded.filter(F.col("side") == side).select(*at)
+        return df.join(full, at, "left_anti"), written(df.join(full, at, "left_semi"), "recon-crowd")
+
+    (s_rest, s_full), (t_rest, t_full) = apart(s, "s"), apart(t, "t")
+    # A crowded cell meets a few rows of any other cell; two crowded cells meet as boxes.
+    parts = [
+        _met(s, t_rest, keys, rules, with_deltas, by),
+        _met(s_rest, t_full, keys, rules, with_deltas, by),
+    ]
+    cells = s_full.select(*at).distinct().withColumnsRenamed({"x": "s_x", "y": "s_y"})
+    other = _around(t_full.select(*at).distinct(), at).select(
+        *keys, F.col("x").alias("s_x"), F.col("y").alias("s_y"), F.col("x_own").alias("t_x"), F.col("y_own").alias("t_y")
     )
-    close = left.join(right, [*_ID, "mask", "cell_d", "cell_c"]).filter(~far)
-    weight = _times(F.col("s_n"), F.col("t_n"))
-    sums = close.agg(
+    pairs = cells.join(other, [*keys, "s_x", "s_y"])
+    s_full, t_full = s_full.drop("x", "y"), t_full.drop("x", "y")
+    near, small = near_boxes(s_full, t_full, keys, pairs, rules.tolerance, width)
+    near, small = written(near, "recon-near"), written(small, "recon-small")
+    parts.append(_products(s_full, t_full, near, keys, width, with_deltas, by))
+    box = [*keys, "level", "t_x", "t_y"]
+    few = rows_of(t_full, small.select(*box).distinct(), keys, width, "t")
+    some = rows_of(s_full, small, keys, width, "s")
+    parts.append(_moved(_close(some, few, box, rules), with_deltas, by))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _around(df: DataFrame, at: list[str]) -> DataFrame:
+    """``df`` once for each of the nine cells around its own, which is kept as x_own, y_own."""
+    steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    own = df.withColumns({"x_own": F.col("x"), "y_own": F.col("y")})
+    own = own.withColumn("x", F.explode(F.transform(steps, lambda i: F.col("x_own") + i)))
+    return own.withColumn("y", F.explode(F.transform(steps, lambda i: F.col("y_own") + i)))
+
+
+def _met(s: DataFrame, t: DataFrame, keys: list[str], rules: Rules, with_deltas: bool, by: list[str]) -> DataFrame:
+    """What moves by the pairs within tolerance of these rows, joined cell by cell."""
+    at = [*keys, "x", "y"]
+    return _moved(_close(s, _around(t, at), at, rules), with_deltas, by)
+
+
+def _close(s: DataFrame, t: DataFrame, on: list[str], rules: Rules) -> DataFrame:
+    """The pairs of rows of equal ``on`` that are within tolerance."""
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        extra = [c for c in df.columns if c not in (*on, "d", "c", "n") and name == "s"]
+        return df.select(*on, *extra, *[F.col(c).alias(f"{name}_{c}") for c in ("d", "c", "n")])
+
+    far = exceeds(F.col("s_d"), F.col("t_d"), rules.tolerance) | exceeds(F.col("s_c"), F.col("t_c"), rules.tolerance)
+    return side(s, "s").join(side(t, "t"), on).filter(~far)
+
+
+def _moved(close: DataFrame, with_deltas: bool, by: list[str]) -> DataFrame:
+    weight = times(F.col("s_n"), F.col("t_n"))
+    sums = close.groupBy(*by).agg(
         F.sum(weight).alias("n"),
         *[
-            F.sum(
-                weight.cast("decimal(20,0)")
-                * F.round(F.col(f"s_{a}") - F.col(f"t_{a}"), 4).cast(_AMOUNT_TYPE)
-            ).alias(f"{a}_sum")
-            for a in ("d", "c")
+            F.sum(weight.cast("decimal(20,0)") * difference(F.col(f"s_{a}"), F.col(f"t_{a}")).cast(_AMOUNT_TYPE)).alias(a)
+            for a in AMOUNTS
+            if with_deltas
         ],
     )
     moved = {"matched": F.col("n"), "amount_discrepancies": -F.col("n")}
     if with_deltas:
-        moved |= {"debit_delta": -F.col("d_sum"), "credit_delta": -F.col("c_sum")}
-    return _row(sums, **moved)
+        moved |= {"debit_delta": -F.col("d"), "credit_delta": -F.col("c")}
+    return _row(sums, by, **moved)
+
+
+def _products(
+    s: DataFrame, t: DataFrame, near: DataFrame, keys: list[str], width: float, with_deltas: bool, by: list[str]
+) -> DataFrame:
+    """What moves by pairs of boxes that are within tolerance as a whole. A box of the right side is a
+    group: it holds its rows and those of all boxes of the left side that it is near to."""
+    box = [*keys, "level", "t_x", "t_y"]
+    mine = rows_of(s, near, keys, width, "s")
+    other = rows_of(t, near.select(*box).distinct(), keys, width, "t")
+    held = mine.groupBy(*box, *by).agg(F.sum("n").alias("s_n")).join(other.groupBy(*box).agg(F.sum("n").alias("t_n")), box)
+    counted = held.groupBy(*by).agg(F.sum(times(F.col("s_n"), F.col("t_n"))).alias("n"))
+    found = _row(counted, by, matched=F.col("n"), amount_discrepancies=-F.col("n"))
+    if not with_deltas:
+        return found
+    sums = sums_of_differences(mine, other, box)
+    return found.unionByName(
+        _row(sums, by, debit_delta=-F.col("d"), credit_delta=-F.col("c"), debit_rest=-F.col("d_rest"), credit_rest=-F.col("c_rest"))
+    )
 
 
-def _masked(df: DataFrame, mine_first: bool) -> DataFrame:
+def _masked(df: DataFrame, mine_first: bool, by: list[str]) -> DataFrame:
     """Prepare amounts of which some are null, and so never differ from anything.
 
     A row is copied for each combination of nulls its partner may have. Where either of the two is
@@ -271,52 +348,12 @@ def _masked(df: DataFrame, mine_first: bool) -> DataFrame:
     return (
         copies.select(
             *_ID,
+            *by,
             (F.col(first) * 4 + F.col(second)).alias("mask"),
             F.when(either.bitwiseAND(1) > 0, F.lit(0.0)).otherwise(F.col("d")).alias("d"),
             F.when(either.bitwiseAND(2) > 0, F.lit(0.0)).otherwise(F.col("c")).alias("c"),
             "n",
         )
-        .groupBy(*_ID, "mask", "d", "c")
+        .groupBy(*_ID, *by, "mask", "d", "c")
         .agg(F.sum("n").alias("n"))
     )
-
-
-def _deltas_of_all_pairs(s: DataFrame, t: DataFrame) -> DataFrame:
-    """Summed differences over all pairs of mixed keys, whose amounts have 4 places: each amount
-    counts as often as the other side has rows of its key."""
-
-    def per_key(df: DataFrame, side: str) -> DataFrame:
-        sums = [
-            F.sum(F.col("n").cast("decimal(10,0)") * F.col(a).cast(_AMOUNT_TYPE)).cast("decimal(28,4)").alias(f"{side}_{a}")
-            for a in ("d", "c")
-        ]
-        return df.groupBy(*_ID).agg(F.sum("n").cast("decimal(10,0)").alias(f"{side}_n"), *sums)
-
-    pairs = per_key(s, "s").join(per_key(t, "t"), _ID)
-    deltas = {
-        c: F.sum(F.col("t_n") * F.col(f"s_{a}") - F.col("s_n") * F.col(f"t_{a}")).alias(c)
-        for c, a in zip(_DELTAS, ("d", "c"))
-    }
-    return _row(pairs.agg(*deltas.values()), **{c: F.coalesce(F.col(c), F.lit(0)) for c in deltas})
-
-
-def _row_by_row(left: DataFrame, right: DataFrame, rules: Rules) -> DataFrame:
-    """The figures of the pairs of these rows, each difference rounded as in the detail."""
-    pairs = left.select(*_ID, F.col("d").alias("s_d"), F.col("c").alias("s_c")).join(
-        right.select(*_ID, F.col("d").alias("t_d"), F.col("c").alias("t_c")), _ID
-    )
-    far = exceeds(F.col("s_d"), F.col("t_d"), rules.tolerance) | exceeds(
-        F.col("s_c"), F.col("t_c"), rules.tolerance
-    )
-    split = {a: split_amount(F.round(F.col(f"s_{a}") - F.col(f"t_{a}"), 4), _AMOUNT_TYPE) for a in ("d", "c")}
-    sums = pairs.agg(
-        F.count(F.when(~far, 1)).alias("matched"),
-        F.count(F.when(far, 1)).alias("off"),
-        *[F.sum(F.when(far, split[a][0])).alias(f"{a}_sum") for a in ("d", "c")],
-        *[F.sum(F.when(far, split[a][1])).alias(f"{a}_rest") for a in ("d", "c")],
-    )
-    return _row(
-        sums, matched=F.col("matched"), amount_discrepancies=F.col("off"),
-        debit_delta=F.coalesce("d_sum", F.lit(0)), credit_delta=F.coalesce("c_sum", F.lit(0)),
-        debit_rest=F.coalesce("d_rest", F.lit(0.0)), credit_rest=F.coalesce("c_rest", F.lit(0.0)),
-    )

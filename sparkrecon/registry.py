@@ -168,6 +168,10 @@ def _summary(s: DataFrame, t: DataFrame) -> DataFrame:
     return totals.reconcile_totals(s, t, RULES)
 
 
+def _gl_analysis(s: DataFrame, t: DataFrame) -> DataFrame:
+    return report.gl_accounts(s, totals.account_discrepancies(s, t, RULES), RULES)
+
+
 def _recon_queries() -> dict[str, Query]:
     return {
         "recon_detail": _pair(_detail),
@@ -191,7 +195,8 @@ def _report_queries() -> dict[str, Query]:
         "report_discrepancy_register": _pair(
             lambda s, t: report.discrepancy_register(_detail(s, t))
         ),
-        "report_gl_analysis": _pair(lambda s, t: report.gl_analysis(s, _detail(s, t), RULES)),
+        "report_gl_analysis": _pair(_gl_analysis),
+        "report_gl_analysis_hot_key": _hot_pair(_gl_analysis),
         "report_audit_trail": _pair(
             lambda s, t: report.audit_trail(_summary(s, t), s, t, checks.quality_report(s, t, RULES), RULES)
         ),

@@ -1,7 +1,8 @@
 """Totals without pairs against brute force over all pairs."""
 
+import bisect
 import random
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from conftest import records
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sparkrecon.functions import money_net, money_sum
-from sparkrecon.operators import reconcile, totals
+from sparkrecon.operators import crowded, reconcile, totals
 from sparkrecon.params import Rules
 
 SOURCE = "transaction_id STRING, debit_amount DOUBLE, credit_amount DOUBLE"
@@ -37,8 +38,11 @@ slow = settings(
 )
 
 
-def rounded(x):
-    return float(Decimal(repr(x)).quantize(Decimal("0.0001"), ROUND_HALF_UP))
+def rounded(a, b):
+    """The difference of two amounts as they are written, half away from zero to 4 places."""
+    with localcontext(prec=60):
+        a, b = (Decimal(repr(x)).quantize(Decimal(1).scaleb(-17), ROUND_HALF_UP) for x in (a, b))
+        return float((a - b).quantize(Decimal("0.0001"), ROUND_HALF_UP))
 
 
 def brute(source, target, tolerance, match_null):
@@ -53,10 +57,10 @@ def brute(source, target, tolerance, match_null):
         partners = [t for t in target if same(key, t[0])]
         count["MISSING_IN_TARGET"] += not partners
         for partner in partners:
-            gaps = [(a or 0.0) - (b or 0.0) for a, b in zip(amounts, partner[1:])]
-            if max(map(abs, gaps)) > tolerance:
+            both = [(a or 0.0, b or 0.0) for a, b in zip(amounts, partner[1:])]
+            if max(abs(a - b) for a, b in both) > tolerance:
                 count["AMOUNT_DISCREPANCY"] += 1
-                sums = [s + rounded(g) for s, g in zip(sums, gaps)]
+                sums = [s + rounded(*p) for s, p in zip(sums, both)]
             else:
                 count["MATCHED"] += 1
     count["MISSING_IN_SOURCE"] = sum(not any(same(s[0], t[0]) for s in source) for t in target)
@@ -180,7 +184,7 @@ def test_a_tolerance_of_any_size(spark):
 
 def test_more_pairs_than_a_bigint_holds(spark):
     n = F.lit(4_000_000_000)
-    (found,) = spark.range(1).select(totals._times(n, n).alias("n")).collect()
+    (found,) = spark.range(1).select(totals.times(n, n).alias("n")).collect()
     assert int(found["n"]) == 16 * 10**18
 
 
@@ -197,6 +201,119 @@ def test_fine_amounts_carry(spark):
     target = [("A", 2 + i * 0.000072, i * 0.00002) for i in range(7)]
     s, t = spark.createDataFrame(source, SOURCE), spark.createDataFrame(target, TARGET)
     (row,) = records(totals.reconcile_totals(s, t))
-    want = sum(rounded(a[1] - b[1]) for a in source for b in target)
+    want = sum(rounded(a[1], b[1]) for a in source for b in target)
     assert row["net_debit_delta_gbp"] == pytest.approx(want, abs=1e-9)
     assert row["amount_discrepancies"] == 63
+
+
+def _pair_of(spark, source, target):
+    return spark.createDataFrame(source, SOURCE).repartition(4), spark.createDataFrame(target, TARGET).repartition(4)
+
+
+@pytest.mark.parametrize("places", [5, 6, 17])
+def test_fine_amounts_of_one_key_equal_their_rows(spark, places):
+    """All pairs of a key with amounts of many places, exact halves and both signs among them."""
+    rng = random.Random(places)
+
+    def amount():
+        x = rng.uniform(-3, 3) if rng.random() < 0.8 else rng.uniform(0, 0.03)
+        return x if places == 17 else round(x, places)
+
+    source = [(rng.choice(["A", None]), amount(), amount()) for _ in range(150)]
+    target = [(rng.choice(["A", None]), amount(), amount()) for _ in range(120)]
+    if places == 5:  # halves of 0.0001, above and below 0
+        source += [("A", 0.00005 * i, -0.00005 * i) for i in range(1, 40)]
+        target += [("A", 0.0001 * i, 0.00005 * i) for i in range(1, 40)]
+    s, t = _pair_of(spark, source, target)
+    (row,) = records(totals.reconcile_totals(s, t))
+    count, sums = brute(source, target, 0.01, True)
+    assert statuses(row) == count
+    got = (row["net_debit_delta_gbp"], row["net_credit_delta_gbp"])
+    assert got == pytest.approx(sums, rel=1e-13, abs=1e-7)
+    detail = with_attributes(s), with_attributes(t)
+    (rows,) = records(reconcile.summarize(reconcile.reconcile(*detail)))
+    assert got == (rows["net_debit_delta_gbp"], rows["net_credit_delta_gbp"])
+
+
+def test_dust_on_a_hot_key(spark):
+    """50,000 rows a side of one key whose amounts carry binary dust: 2.5e9 pairs that are never formed."""
+    ids = spark.range(0, 50_000, 1, 8)
+    cents = (F.col("id") * 7919 % 1_000_003) / 100
+    s = ids.select(F.lit("HOT").alias("transaction_id"), cents.alias("debit_amount"), F.lit(0.0).alias("credit_amount"))
+    t = ids.select(
+        F.lit("HOT").alias("ledger_transaction_id"), (cents + F.when(F.col("id") % 2 == 0, 0.05).otherwise(0.005)).alias("debit_amount"),
+        F.lit(0.0).alias("credit_amount"),
+    )
+    found = totals.reconcile_totals(s, t)
+    (row,) = records(found)
+    # Cents on both sides: how often each distance occurs follows from sorted amounts.
+    mine = sorted(i * 7919 % 1_000_003 * 10 for i in range(50_000))
+    other = sorted(i * 7919 % 1_000_003 * 10 + (50 if i % 2 == 0 else 5) for i in range(50_000))
+    # Half-cents apart are within a cent; a full cent apart is decided by the doubles.
+    exact = sum(a - b for a, b in ((sum(mine), sum(other)),)) * 50_000
+    near = sure = 0
+    for x in mine:
+        near += bisect.bisect_right(other, x + 10) - bisect.bisect_left(other, x - 10)
+        sure += bisect.bisect_right(other, x + 9) - bisect.bisect_left(other, x - 9)
+    assert row["matched"] + row["amount_discrepancies"] == 2_500_000_000
+    assert sure <= row["matched"] <= near
+    assert abs(row["net_debit_delta_gbp"] - exact / 1000) <= (near - sure) * 0.011 + sure * 0.01
+
+
+def test_many_amounts_in_one_cell(spark):
+    """100,000 amounts of one key within one tolerance: products of boxes and few rows, no square."""
+    n = 100_000
+    ids = spark.range(0, n, 1, 8)
+    s = ids.select(F.lit("K").alias("transaction_id"), (10 + F.col("id") * 4e-7).alias("debit_amount"), F.lit(0.0).alias("credit_amount"))
+    t = ids.select(F.lit("K").alias("ledger_transaction_id"), (10.00000013 + F.col("id") * 4e-7).alias("debit_amount"), F.lit(0.0).alias("credit_amount"))
+    (row,) = records(totals.reconcile_totals(s, t))
+    mine = [10 + i * 4e-7 for i in range(n)]
+    other = [10.00000013 + i * 4e-7 for i in range(n)]
+    matched, low, high = 0, 0, 0
+    for x in mine:
+        while low < n and x - other[low] > 0.01:
+            low += 1
+        while high < n and other[high] - x <= 0.01:
+            high += 1
+        matched += high - low
+    assert (row["matched"], row["amount_discrepancies"]) == (matched, n * n - matched)
+    # In units of 1e-8 the difference of rows i and j is 40 (i - j) - 13, never halfway between two roundings.
+    gaps = [(n - abs(k), 40 * k - 13) for k in range(1 - n, n)]
+    far = sum(times * round(gap / 10_000) for times, gap in gaps if abs(gap) > 1_000_000)
+    assert row["net_debit_delta_gbp"] == pytest.approx(far / 10_000, rel=1e-12, abs=1e-4)
+
+
+def test_crowded_cells_in_both_amounts(spark, monkeypatch):
+    """Debits and credits that both vary within the tolerance, missing amounts and ids among them."""
+    monkeypatch.setattr(totals, "CROWD", 5)
+    monkeypatch.setattr(crowded, "FEW", 3)
+    rng = random.Random(4)
+
+    def side(n):
+        return [(rng.choice(["A", "B", None]), rng.choice([rng.uniform(-0.02, 0.02), 0.0, 0.01]), rng.uniform(5, 5.03)) for _ in range(n)]
+
+    source, target = side(160), side(140)
+    (row,) = records(totals.reconcile_totals(*_pair_of(spark, source, target)))
+    count, sums = brute(source, target, 0.01, True)
+    assert statuses(row) == count
+    assert (row["net_debit_delta_gbp"], row["net_credit_delta_gbp"]) == pytest.approx(sums, rel=1e-12, abs=1e-6)
+    holes = [(k, d if rng.random() < 0.8 else None, c) for k, d, c in source]
+    (row,) = records(totals.status_kpis(*_pair_of(spark, holes, target)))
+    assert statuses(row) == brute_sql(holes, target, 0.01)
+
+
+@slow
+@given(source=tables, target=tables)
+def test_account_discrepancies(spark, source, target):
+    """Counted per account without rows, equal to the count over the detail."""
+    source = [(*r, ["1000", "2100", None][i % 3]) for i, r in enumerate(source)]
+    s = spark.createDataFrame(source, f"{SOURCE}, gl_account STRING")
+    t = spark.createDataFrame(target, TARGET)
+    got = {r["gl_account"]: r["discrepancies"] for r in records(totals.account_discrepancies(s, t)) if r["discrepancies"]}
+    full = s.selectExpr("*", *[f"CAST(NULL AS STRING) AS {c}" for c in reconcile.ATTRIBUTES if c != "gl_account"])
+    rows = reconcile.discrepancies(reconcile.reconcile(full, with_attributes(t)))
+    want = {}
+    for r in records(rows):
+        if r["gl_account_src"] is not None:
+            want[r["gl_account_src"]] = want.get(r["gl_account_src"], 0) + 1
+    assert got == want
