@@ -20,7 +20,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="folder for the results")
     parser.add_argument("--format", default="csv", help="input format: csv, parquet, orc")
     parser.add_argument("--detail-format", default="parquet", help="format of row-level results")
-    parser.add_argument("--null-keys", default="match", choices=["match", "never"])
+    parser.add_argument("--null-keys", choices=["match", "never"], help="whether missing ids are equal; match if not given")
     parser.add_argument("--rules", help='JSON file of rules to change, such as {"tolerance": 0.05, "as_of": "2024-06-30"}')
     args = parser.parse_args(argv)
     rules = Rules.from_json(Path(args.rules).read_text()) if args.rules else DEFAULT_RULES
@@ -34,9 +34,9 @@ def main(argv: list[str] | None = None) -> None:
         found.show(100, truncate=False)
         quality_summary(found).show(truncate=False)
     elif args.stage == "reconcile":
-        stages.run_reconciliation(job, args.null_keys).show(truncate=False)
+        stages.run_reconciliation(job, args.null_keys or "match").show(truncate=False)
     elif args.stage == "report":
-        stages.run_report(job)["report_statement"].show(truncate=False)
+        stages.run_report(job, args.null_keys)["report_statement"].show(truncate=False)
     elif args.stage == "queries":
         print("\n".join(stages.run_queries(job)))
     else:

@@ -106,6 +106,21 @@ SELECT concat('TXN', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRIN
 FROM lineitem
 """
 
+# Master lists that grow with the tables and repeat codes: ids of shipped orders, with and without a null.
+MASTER_LIST = "SELECT concat('TXN', CAST(l_orderkey AS STRING)) AS code FROM lineitem WHERE l_linestatus = 'F'"
+MASTER_LIST_NULL = """
+SELECT CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE concat('TXN', CAST(l_orderkey AS STRING)) END AS code
+FROM lineitem
+"""
+
+# A ledger that is off by exactly a cent, a little more, or not at all; some amounts are missing.
+CENT_LEDGER = """
+SELECT ledger_transaction_id, transaction_date, gl_account, department, currency,
+  CASE WHEN n % 7 = 0 THEN NULL WHEN n % 3 = 0 THEN debit_amount + 0.01 WHEN n % 3 = 1 THEN debit_amount - 0.0101 ELSE debit_amount END AS debit_amount,
+  CASE WHEN n % 5 = 0 THEN credit_amount - 0.01 WHEN n % 5 = 1 THEN credit_amount + 0.0101 ELSE credit_amount END AS credit_amount
+FROM (SELECT *, CAST(substr(ledger_id, 2) AS BIGINT) AS n FROM target_ledger) b
+"""
+
 VIEWS = {
     "source_transactions": SOURCE_TRANSACTIONS,
     "target_ledger": TARGET_LEDGER,
@@ -114,16 +129,19 @@ VIEWS = {
     "hot_source": HOT_SOURCE,
     "hot_ledger": HOT_LEDGER,
     "line_source": LINE_SOURCE,
+    "master_list": MASTER_LIST,
+    "master_list_null": MASTER_LIST_NULL,
+    "cent_ledger": CENT_LEDGER,
 }
 # The view each view is defined over; the others read a given table.
-_BASE = {"dq_source": "source_transactions", "dq_target": "target_ledger"}
+_BASE = {"dq_source": "source_transactions", "dq_target": "target_ledger", "cent_ledger": "target_ledger"}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """View ``name`` over the parquet tables in ``sf_dir``; a lazy plan, nothing is registered."""
     base = _BASE.get(name)
     if base is None:
-        base = "lineitem" if name == "line_source" else "orders"
+        base = "lineitem" if "FROM lineitem" in VIEWS[name] else "orders"
         over = spark.read.parquet(f"{sf_dir}/{base}.parquet")
     else:
         over = view(spark, sf_dir, base)

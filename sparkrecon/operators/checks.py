@@ -9,8 +9,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import blank, calendar_date, in_list, number, share_pct, status_of
+from ..functions import blank, calendar_date, number, share_pct, status_of
 from ..params import DEFAULT_RULES, Rules
+from .masters import listed
 
 
 @dataclass(frozen=True)
@@ -108,14 +109,14 @@ def source_checks(df: DataFrame, rules: Rules = DEFAULT_RULES) -> dict[str, Chec
         "s04": ("QC-S04: Both debit and credit > 0", (debit > 0) & (credit > 0)),
         "s05": ("QC-S05: Negative debit or credit amount", (debit < 0) | (credit < 0)),
         "s06": (f"QC-S06: Amount > £{rules.max_amount:,.0f}", larger > rules.max_amount),
-        "s07": ("QC-S07: Invalid currency", ~in_list(F.col("currency"), rules.currencies)),
+        "s07": ("QC-S07: Invalid currency", ~listed(df, "currency", rules.currencies)),
         "s08": (
             f"QC-S08: {rules.home_currency} with exchange_rate ≠ 1.0",
             (F.col("currency") == rules.home_currency) & wrong_rate,
         ),
         "s09": (
             "QC-S09: Invalid GL account",
-            ~in_list(F.col("gl_account").cast("string"), rules.gl_accounts),
+            ~listed(df, "gl_account", rules.gl_accounts),
         ),
         "s10": ("QC-S10: Posting date before transaction date", posted < entered),
         "s11": (
@@ -139,7 +140,7 @@ def target_checks(df: DataFrame, rules: Rules = DEFAULT_RULES) -> dict[str, Chec
         "t02": ("QC-T02: Duplicate ledger_transaction_id", "ledger_transaction_id"),
         "t03": (
             "QC-T03: Invalid ledger_status",
-            ~in_list(F.col("ledger_status"), rules.ledger_statuses),
+            ~listed(df, "ledger_status", rules.ledger_statuses),
         ),
         "t04": ("QC-T04: Both debit and credit = 0", no_amount),
     }

@@ -14,10 +14,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import blank, calendar_date, exceeds, money_net, money_sum, not_in_list, share_pct, status_of
+from ..functions import blank, calendar_date, exceeds, money_net, money_sum, share_pct, status_of
 from ..params import DEFAULT_RULES, Rules
 from ..plans.skew import anti, sorted_rows, tag_keys
 from .checks import key_counts
+from .masters import unlisted
 
 SOURCE, TARGET = "source_transactions", "target_ledger"
 # The table each counting rule reads; known without a running session.
@@ -62,8 +63,9 @@ def with_dates(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     return df.withColumns({c: calendar_date(df, c, rules.date_format) for c in present})
 
 
-def count_rules(rules: Rules = DEFAULT_RULES) -> dict[str, CountRule]:
-    """The 15 counting rules by key of the catalogue."""
+def count_rules(rules: Rules = DEFAULT_RULES, columns: list[str] | None = None) -> dict[str, CountRule]:
+    """The 15 counting rules by key of the catalogue, for a table of these columns (see ``masters``)."""
+    columns = columns or []
     col = F.col
     debit, credit, posted = col("debit_amount"), col("credit_amount"), col("posting_date")
     today = F.lit(rules.today())
@@ -110,13 +112,13 @@ def count_rules(rules: Rules = DEFAULT_RULES) -> dict[str, CountRule]:
             severity="WARNING",
         ),
         "dq5a_gl": CountRule(
-            "INVALID_GL_ACCOUNT", not_in_list(col("gl_account"), rules.gl_accounts_dq)
+            "INVALID_GL_ACCOUNT", unlisted(columns, "gl_account", rules.gl_accounts_dq)
         ),
         "dq5b_cost_centre": CountRule(
-            "INVALID_COST_CENTRE", not_in_list(col("cost_centre"), rules.cost_centres)
+            "INVALID_COST_CENTRE", unlisted(columns, "cost_centre", rules.cost_centres)
         ),
         "dq5c_entity": CountRule(
-            "INVALID_ENTITY_CODE", not_in_list(col("entity"), rules.entities)
+            "INVALID_ENTITY_CODE", unlisted(columns, "entity", rules.entities)
         ),
         "dq8a_posted_without_user": CountRule(
             "POSTED_WITHOUT_USER",
@@ -127,7 +129,7 @@ def count_rules(rules: Rules = DEFAULT_RULES) -> dict[str, CountRule]:
 
 def count_rule(df: DataFrame, key: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """One rule on its own: the predicate is a filter, so it reaches the scan."""
-    rule = count_rules(rules)[key]
+    rule = count_rules(rules, df.columns)[key]
     if rule.unique is not None:
         # Rows less distinct non-null keys: each null row counts as surplus.
         counted = key_counts(df, rule.unique).agg(
@@ -144,7 +146,7 @@ def count_report(
     """All counting rules (or ``only`` some) in one table, with one scan per input plus one per
     uniqueness rule."""
     tables = {SOURCE: source, TARGET: target}
-    catalogue = {k: r for k, r in count_rules(rules).items() if only is None or k in only}
+    catalogue = {k: r for k, r in count_rules(rules, source.columns).items() if only is None or k in only}
     parts = []
     for name, df in tables.items():
         fused = {

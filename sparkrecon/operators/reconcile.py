@@ -14,7 +14,7 @@ from ..params import (
     MISSING_IN_TARGET,
     Rules,
 )
-from ..plans.skew import full_outer, plain_key, tag_keys
+from ..plans.skew import full_outer, plain_key, sorted_rows, tag_keys
 from .checks import filled
 
 SOURCE_KEY, TARGET_KEY = "transaction_id", "ledger_transaction_id"
@@ -86,6 +86,12 @@ def discrepancies(detail: DataFrame) -> DataFrame:
     return detail.filter(F.col("reconciliation_status") != MATCHED)
 
 
+def in_key_order(detail: DataFrame) -> DataFrame:
+    """By key, missing keys last; rows of one key are cut and ordered by their hash, so that none fills
+    a partition of its own."""
+    return sorted_rows(detail, F.asc_nulls_last("key"))
+
+
 def summarize(detail: DataFrame) -> DataFrame:
     """The nine figures, from detail rows that exist anyway (``reconcile_totals`` needs none)."""
     status = F.col("reconciliation_status")

@@ -5,6 +5,7 @@ Fill colours are delivered as columns; cell styling is left to whatever displays
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -221,14 +222,17 @@ def gl_accounts(source: DataFrame, off: DataFrame, rules: Rules = DEFAULT_RULES)
     )
 
 
-def _run_facts(summary: DataFrame, source: DataFrame, target: DataFrame, checks: DataFrame | None) -> DataFrame:
-    """One row of what can be counted about a run: rows per table, discrepancies, checks run and
-    failed per table (null if no check report is given)."""
-
-    def rows(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(f"{name}_rows"))
-
-    parts = [summary.select("total_discrepancies"), rows(source, "source"), rows(target, "target")]
+def _run_facts(
+    summary: DataFrame, source: DataFrame, target: DataFrame, checks: DataFrame | None, facts: Mapping[str, object] | None
+) -> DataFrame:
+    """One row of what is known of a run: rows per table, joined rows, discrepancies, checks run and
+    failed per table (null if no check report is given). Rows are counted here only if there is no
+    record of the run."""
+    joined = F.col("matched") + F.col("amount_discrepancies") + F.col("missing_in_target") + F.col("missing_in_source")
+    parts = [summary.select("total_discrepancies", joined.alias("joined_rows"))]
+    if facts is None:
+        for name, df in (("source", source), ("target", target)):
+            parts.append(df.agg(F.count(F.lit(1)).alias(f"{name}_rows")))
     if checks is not None:
         counted = [
             F.count_if((F.col("dataset") == name) & (F.col("status") != "PASS" if failed else F.lit(True))).alias(
@@ -239,7 +243,11 @@ def _run_facts(summary: DataFrame, source: DataFrame, target: DataFrame, checks:
         ]
         parts.append(checks.agg(*counted))
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return merged.agg(*[F.max(c).alias(c) for c in merged.columns])
+    found = merged.agg(*[F.max(c).alias(c) for c in merged.columns])
+    if facts is not None:
+        known = {n: facts.get(n) for n in ("source_rows", "target_rows")}
+        found = found.withColumns({n: F.lit(None if v is None else int(v)).cast("long") for n, v in known.items()})
+    return found
 
 
 def audit_trail(
@@ -248,16 +256,22 @@ def audit_trail(
     target: DataFrame,
     checks: DataFrame | None = None,
     rules: Rules = DEFAULT_RULES,
+    facts: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Stages of the run with what was counted, and the lines to be signed.
 
-    Rows are counted in the tables, columns are compared with the schemas, and the checks are those of
-    the check report. Without one the checks did not run, and the trail says so.
+    ``facts`` are the record of a run (see ``plans.runs``): the rows that its writes counted and the
+    number of tables of the report. With them no table is scanned, and a stage without a record did not
+    run. Without them rows are counted in the tables, and no report was written. Columns are compared
+    with the schemas, and the checks are those of the check report; without one they did not run.
     """
     stamp = rules.run_stamp("%Y-%m-%d %H:%M")
 
     def loaded(name: str, title: str) -> tuple:
-        return f"Data Ingestion — {title}", "COMPLETE", stamp, F.concat(_thousands(f"{name}_rows"), F.lit(" rows loaded"))
+        rows = F.col(f"{name}_rows")
+        note = F.coalesce(F.concat(F.format_number(rows, 0), F.lit(" rows loaded")), F.lit("no ingestion in this run"))
+        return (f"Data Ingestion — {title}", F.when(rows.isNull(), "NOT RUN").otherwise("COMPLETE"),
+                F.when(rows.isNull(), "").otherwise(stamp), note)
 
     def validated(df: DataFrame, schema: T.StructType, title: str) -> tuple:
         missing = [c for c in schema.names if c not in df.columns]
@@ -273,9 +287,15 @@ def audit_trail(
         note = F.concat(run.cast("string"), F.lit(" checks run, "), failed.cast("string"), F.lit(" failed"))
         return f"Quality Checks — {title}", F.when(run > 0, "COMPLETE").otherwise("NOT RUN"), stamp, note
 
+    joined = F.concat(F.format_number("joined_rows", 0), F.lit(" rows of a full outer join on transaction_id"))
     found = F.concat(F.col("total_discrepancies").cast("string"), F.lit(" discrepancies identified"))
+    tables = (facts or {}).get("report_tables")
+    if tables is None:
+        written = ("NOT RUN", "", "no report tables written by this run")
+    else:
+        written = ("COMPLETE", stamp, f"{tables} tables written, {int(facts['register_rows']):,} discrepancies listed")
     return _lines(
-        _run_facts(summary, source, target, checks),
+        _run_facts(summary, source, target, checks, facts),
         ["stage", "status", "timestamp", "notes"],
         [
             loaded("source", "source transactions"),
@@ -284,7 +304,10 @@ def audit_trail(
             validated(target, TARGET_SCHEMA, "Target"),
             checked("source", "Source"),
             checked("target", "Target"),
-            ("Reconciliation", "COMPLETE", stamp, found),
+            ("Reconciliation Join", "COMPLETE", stamp, joined),
+            ("Discrepancy Classification", "COMPLETE", stamp, found),
+            ("Governance Report Generation", *written),
+            ("", "", "", ""),
             ("SIGN-OFF SECTION", "", "", ""),
             ("Prepared by", "Automated Pipeline", stamp, "sparkrecon report"),
             ("Finance Controller Review", "[PENDING]", "", ""),

@@ -6,7 +6,7 @@ neither recomputes them nor depends on the executors that made them. Small resul
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,7 @@ from ..operators import checks, dq, ingest, recon_sql, reconcile, report
 from ..params import DEFAULT_RULES, Rules
 from ..schemas import SOURCE_SCHEMA, TARGET_SCHEMA
 from ..sources import load_table, schema_diff, write_table
+from .runs import Run, fingerprint, write_counted
 
 DETAIL, DISCREPANCIES = "reconciliation_detail", "discrepancies"
 SUMMARY, CHECKS = "reconciliation_summary", "quality_check_report"
@@ -50,9 +51,16 @@ class Job:
         write_table(df.coalesce(1), self.path(name), "csv")
         return df
 
+    def run(self) -> Run:
+        return Run(self.spark, self.out.rstrip("/"))
+
+    def fingerprint(self) -> str:
+        return fingerprint(self.spark, self.source_path, self.target_path, self.fmt, self.rules)
+
 
 def run_ingestion(job: Job, land: bool = True) -> Job:
     """Validate both inputs, and land them as typed parquet tables for the later stages."""
+    facts = job.run().begin("ingestion")
     source, target = job.source(), job.target()
     diff = schema_diff(source, SOURCE_SCHEMA, "source").unionByName(
         schema_diff(target, TARGET_SCHEMA, "target")
@@ -60,17 +68,9 @@ def run_ingestion(job: Job, land: bool = True) -> Job:
     job.save_small(diff, "schema_diff")
     landed = job
     if land and job.fmt == "csv":
-        write_table(source, job.path("landing/source"), "parquet")
-        write_table(target, job.path("landing/target"), "parquet")
-        landed = Job(
-            job.spark,
-            job.path("landing/source"),
-            job.path("landing/target"),
-            job.out,
-            "parquet",
-            job.detail_fmt,
-            job.rules,
-        )
+        facts["source_rows"] = write_counted(source, job.path("landing/source"), "parquet")
+        facts["target_rows"] = write_counted(target, job.path("landing/target"), "parquet")
+        landed = replace(job, source_path=job.path("landing/source"), target_path=job.path("landing/target"), fmt="parquet")
         source, target = landed.source(), landed.target()
     found = {
         "source": (source, ingest.validate_source(source, job.rules)),
@@ -79,6 +79,10 @@ def run_ingestion(job: Job, land: bool = True) -> Job:
     for name, (df, metrics) in found.items():
         job.save_small(metrics, f"ingestion_metrics_{name}")
         job.save_small(ingest.financial_summary(df, metrics, name), f"ingestion_summary_{name}")
+        if f"{name}_rows" not in facts:  # counted for the summary
+            written = job.spark.read.csv(job.path(f"ingestion_summary_{name}"), header=True)
+            facts[f"{name}_rows"] = int(written.first()["row_count"])
+    job.run().end("ingestion", facts)
     return landed
 
 
@@ -88,14 +92,23 @@ def run_checks(job: Job) -> DataFrame:
 
 
 def run_reconciliation(job: Job, null_keys: str = "match") -> DataFrame:
-    """Write detail, discrepancies and summary; the join runs once. Returns the summary."""
+    """Write detail, discrepancies and summary; the join runs once. Returns the summary.
+
+    Discrepancies are written in the order of their keys, missing keys last: the part files in the order
+    of their names are one sorted list. A run manifest is written last.
+    """
+    facts: dict[str, object] = job.run().begin("reconciliation")
+    made_of = job.fingerprint()
     found = reconcile.reconcile(job.source(), job.target(), job.rules, null_keys)
     # By status, a reader of discrepancies opens the files of matched rows not at all.
     by = "reconciliation_status" if job.detail_fmt != "csv" else None
-    write_table(found, job.path(DETAIL), job.detail_fmt, by)
+    facts["joined_rows"] = write_counted(found, job.path(DETAIL), job.detail_fmt, by)
     detail = _detail(job)
-    write_table(reconcile.discrepancies(detail), job.path(DISCREPANCIES), job.detail_fmt)
-    return job.save_small(reconcile.summarize(detail), SUMMARY)
+    ordered = reconcile.in_key_order(reconcile.discrepancies(detail))
+    facts["discrepancies"] = write_counted(ordered, job.path(DISCREPANCIES), job.detail_fmt)
+    summary = job.save_small(reconcile.summarize(detail), SUMMARY)
+    job.run().end("reconciliation", facts | {"fingerprint": made_of, "null_keys": null_keys, "format": job.detail_fmt})
+    return summary
 
 
 def _detail(job: Job) -> DataFrame:
@@ -109,29 +122,33 @@ def _detail(job: Job) -> DataFrame:
     return read.load(job.path(DETAIL)).select(*reconcile.DETAIL_COLUMNS)
 
 
-def run_report(job: Job) -> dict[str, DataFrame]:
-    """Write the governance tables; runs the reconciliation first if there is none yet."""
-    try:
-        detail = _detail(job)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        run_reconciliation(job)
-        detail = _detail(job)
+def run_report(job: Job, null_keys: str | None = None) -> dict[str, DataFrame]:
+    """Write the governance tables. The reconciliation runs first if there is none in the folder, or one
+    of other inputs, rules, format or (if given) another treatment of missing keys."""
+    done = job.run().facts("reconciliation")
+    wanted = {"fingerprint": job.fingerprint(), "format": job.detail_fmt} | ({"null_keys": null_keys} if null_keys else {})
+    if any(done.get(k) != v for k, v in wanted.items()):
+        run_reconciliation(job, null_keys or "match")
+        done = job.run().facts("reconciliation")
+    job.run().begin("report")
+    detail = _detail(job)
     summary = reconcile.summarize(detail)
-    register = report.discrepancy_register(detail)
+    register = report.discrepancy_register(reconcile.in_key_order(reconcile.discrepancies(detail)))
     accounts = report.gl_analysis(job.source(), detail, job.rules)
     tables = {
         "report_kpis": report.kpi_tiles(summary, job.rules),
         "report_statement": report.statement(summary),
-        "report_audit_trail": report.audit_trail(summary, job.source(), job.target(), _written_checks(job), job.rules),
         "report_gl_analysis": accounts.withColumnsRenamed(report.GL_HEADERS),
     }
     for name, df in tables.items():
         job.save_small(df, name)
     shown = register.withColumnsRenamed(report.REGISTER_HEADERS)
-    write_table(shown, job.path("report_discrepancy_register"), "csv")
-    return tables | {"report_discrepancy_register": shown}
+    listed = write_counted(shown, job.path("report_discrepancy_register"), "csv")
+    facts = job.run().facts("ingestion") | done | {"report_tables": len(tables) + 2, "register_rows": listed}
+    trail = report.audit_trail(summary, job.source(), job.target(), _written_checks(job), job.rules, facts)
+    job.save_small(trail, "report_audit_trail")
+    job.run().end("report", {"tables": len(tables) + 2, "register_rows": listed})
+    return tables | {"report_audit_trail": trail, "report_discrepancy_register": shown}
 
 
 def _written_checks(job: Job) -> DataFrame | None:
@@ -161,5 +178,3 @@ def run_all(job: Job) -> dict[str, DataFrame]:
     found = run_checks(landed)
     run_reconciliation(landed)
     return {CHECKS: found, "quality_summary": checks.quality_summary(found)} | run_report(landed)
-
-

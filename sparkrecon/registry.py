@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from .fixtures import FIXTURE_RULES as RULES
 from .fixtures import view
 from .functions import money_sum
-from .operators import checks, dq, ingest, recon_sql, reconcile, report, totals
+from .operators import checks, dq, ingest, masters, recon_sql, reconcile, report, totals
 from .schemas import SOURCE_SCHEMA, TARGET_SCHEMA
 from .sources import load_csv, schema_diff, shared_folder, typed, write_table
 
@@ -142,6 +142,24 @@ def _dq_queries() -> dict[str, Query]:
     return found
 
 
+def _master_queries() -> dict[str, Query]:
+    """Membership of transaction ids in master lists that are tables."""
+    id_col = "transaction_id"
+    shown = ["transaction_id", "posting_date", "gl_account"]
+    listed = partial(_on, ["source_transactions", "master_list"])
+    both = partial(_on, ["source_transactions", "master_list", "master_list_null"])
+    return {
+        "master_not_in": listed(lambda s, m: masters.rows_not_in(s, id_col, m).select(*shown)),
+        "master_not_in_with_null": _on(
+            ["source_transactions", "master_list_null"], lambda s, m: masters.rows_not_in(s, id_col, m).select(*shown)
+        ),
+        "master_not_listed": listed(lambda s, m: masters.rows_not_listed(s, id_col, m).select(*shown)),
+        "master_report": both(
+            lambda s, m, n: masters.master_report(s, id_col, {"master_list": m, "master_list_null": n})
+        ),
+    }
+
+
 def _one_rule(key: str, df: DataFrame) -> DataFrame:
     return dq.count_rule(df, key, RULES)
 
@@ -208,6 +226,7 @@ def queries() -> dict[str, Query]:
         **_ingest_queries(),
         **_check_queries(),
         **_dq_queries(),
+        **_master_queries(),
         **_recon_sql_queries(),
         **_recon_queries(),
         **_report_queries(),

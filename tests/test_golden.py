@@ -98,12 +98,15 @@ def test_report_tables(spark):
     statement = [r["count"] for r in records(report.statement(summary))]
     assert statement == ["1000", "987", "7", "6", "0", "£-0.1600", "£-0.0300"]
     trail = records(report.audit_trail(summary, source, target))
-    assert len(trail) == 11
+    assert len(trail) == 14
     assert trail[0]["notes"] == "1,000 rows loaded" and trail[1]["notes"] == "993 rows loaded"
     # These frames have some of the documented columns only, and no check ran.
     assert trail[2]["status"] == "INCOMPLETE" and "missing: " in trail[2]["notes"]
     assert trail[4]["status"] == trail[5]["status"] == "NOT RUN"
-    assert trail[6]["notes"] == "13 discrepancies identified"
+    assert trail[6]["notes"] == "1,000 rows of a full outer join on transaction_id"
+    assert trail[7]["notes"] == "13 discrepancies identified"
+    assert (trail[8]["stage"], trail[8]["status"]) == ("Governance Report Generation", "NOT RUN")
+    assert trail[9] == {"position": 10, "stage": "", "status": "", "timestamp": "", "notes": ""}
     register = records(report.discrepancy_register(detail))
     assert {(r["status"], r["fill"]) for r in register} == {
         ("AMOUNT_DISCREPANCY", "FCE4D6"),

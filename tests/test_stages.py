@@ -55,7 +55,11 @@ def test_all_stages(spark, tmp_path, inputs, detail_fmt):
     assert len(rows_of(f"{out}/report_discrepancy_register")) == want["total_discrepancies"]
     assert "ERP Debit (£)" in rows_of(f"{out}/report_discrepancy_register")[0]
     trail = {r["stage"]: r for r in rows_of(f"{out}/report_audit_trail")}
-    assert len(trail) == 11 and trail["Data Ingestion — target ledger"]["notes"] == f"{t.count():,} rows loaded"
+    assert len(trail) == 14 and trail["Data Ingestion — target ledger"]["notes"] == f"{t.count():,} rows loaded"
+    assert trail["Reconciliation Join"]["notes"] == f"{detail.count():,} rows of a full outer join on transaction_id"
+    assert trail["Governance Report Generation"]["notes"] == f"5 tables written, {want['total_discrepancies']:,} discrepancies listed"
+    plan = results["report_audit_trail"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "landing" not in plan
     failed = sum(c["status"] == "FAIL" for c in checks if c["dataset"] == "source")
     assert trail["Quality Checks — Source"]["notes"] == f"12 checks run, {failed} failed"
     assert {r["kind"] for r in rows_of(f"{out}/schema_diff")} == {"missing", "extra"}
@@ -166,3 +170,63 @@ def test_rules_from_the_command_line(spark, tmp_path, inputs):
     assert counts["OUT_OF_PERIOD_TRANSACTIONS"] == counts["FUTURE_POSTING_DATE"] == 0
     with pytest.raises(ValueError, match="unknown rules: tolerence"):
         Rules.from_json('{"tolerence": 1}')
+
+
+def test_discrepancies_are_written_in_key_order(spark, tmp_path, inputs):
+    job = stages.Job(spark, *inputs, str(tmp_path / "out"), "csv", "csv", FIXTURE_RULES)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stages.run_reconciliation(job)
+        stages.run_report(job)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for table, key in (("discrepancies", "key"), ("report_discrepancy_register", "Transaction ID")):
+        files = sorted(glob.glob(f"{job.out}/{table}/*.csv"))
+        assert len(files) > 1
+        keys = []
+        for path in files:
+            with open(path, encoding="utf-8") as f:
+                keys += [r[key] for r in csv.DictReader(f)]
+        known = [k for k in keys if k]
+        assert known == sorted(known) and keys == known + [""] * (len(keys) - len(known)) and len(keys) > len(known)
+
+
+def test_report_takes_no_detail_of_other_rules_or_inputs(spark, tmp_path, inputs):
+    out = str(tmp_path / "out")
+    where = ["--source", inputs[0], "--target", inputs[1], "--out", out]
+    rules = tmp_path / "rules.json"
+    rules.write_text('{"tolerance": 1e9}')
+
+    def statement():
+        return {r["item"].strip(): r["count"] for r in rows_of(f"{out}/report_statement")}
+
+    cli.main(["reconcile", *where])
+    made = stages.Job(spark, *inputs, out).run().facts("reconciliation")
+    cli.main(["report", *where])
+    assert stages.Job(spark, *inputs, out).run().facts("reconciliation") == made
+    assert statement()["Of which: Amount Discrepancy"] != "0"
+    cli.main(["report", *where, "--rules", str(rules)])
+    assert statement()["Of which: Amount Discrepancy"] == "0"
+    assert stages.Job(spark, *inputs, out).run().facts("reconciliation")["fingerprint"] != made["fingerprint"]
+    # Other inputs in the same folder.
+    half = str(tmp_path / "half")
+    stages.write_table(spark.read.csv(inputs[0], header=True).filter("transaction_id < 'TXN3'"), half, "csv")
+    cli.main(["report", "--source", half, *where[2:]])
+    (summary,) = rows_of(f"{out}/reconciliation_summary")
+    assert statement()["Total Source Transactions (ERP)"] == summary["total_source_transactions"]
+    # A reconciliation that has not ended is none.
+    stages.Job(spark, half, inputs[1], out).run().begin("reconciliation")
+    assert stages.Job(spark, half, inputs[1], out).run().facts("reconciliation") == {}
+
+
+def test_a_report_alone_says_what_did_not_run(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("s", "t")]
+    for name, path in zip(("source_transactions", "target_ledger"), paths):
+        view(spark, SMALL, name).write.parquet(path)
+    job = stages.Job(spark, *paths, str(tmp_path / "out"), "parquet", rules=FIXTURE_RULES)
+    trail = {r["stage"]: r for r in records(stages.run_report(job)["report_audit_trail"])}
+    assert trail["Data Ingestion — source transactions"]["status"] == "NOT RUN"
+    assert trail["Quality Checks — Source"]["status"] == "NOT RUN"
+    stages.run_ingestion(job)
+    trail = {r["stage"]: r for r in records(stages.run_report(job)["report_audit_trail"])}
+    assert trail["Data Ingestion — source transactions"]["notes"] == f"{job.source().count():,} rows loaded"
