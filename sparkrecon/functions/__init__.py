@@ -5,6 +5,7 @@ from .values import (
     calendar_date,
     difference,
     exceeds,
+    exceeds_exactly,
     in_list,
     money_net,
     money_sum,
@@ -20,6 +21,7 @@ __all__ = [
     "calendar_date",
     "difference",
     "exceeds",
+    "exceeds_exactly",
     "in_list",
     "money_net",
     "money_sum",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,9 @@ EXACT_TYPE = "decimal(28,8)"
 # An amount as it is written: a double shows 17 digits, so few amounts have more places than these.
 WRITTEN_TYPE = "decimal(32,17)"
 
+# The type of amounts in decimal mode.
+DECIMAL_TYPE = "decimal(18,4)"
+
 
 def na_to_null(c: Column) -> Column:
     """A CSV cell with its missing-value spellings turned into null."""
@@ -60,6 +64,11 @@ def exceeds(a: Column, b: Column, tolerance: float) -> Column:
     return F.abs(a - b) > F.lit(float(tolerance))
 
 
+def exceeds_exactly(a: Column, b: Column, tolerance: float) -> Column:
+    """As ``exceeds``, for decimals: the tolerance is the decimal that its digits say."""
+    return F.abs(a - b) > F.lit(Decimal(repr(float(tolerance))))
+
+
 def difference(a: Column, b: Column) -> Column:
     """``a - b`` to 4 places, half away from zero, for amounts as they are written (17 places, 15 digits).
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import difference, exceeds, money_sum, share_pct
+from ..functions import difference, exceeds, exceeds_exactly, money_sum, share_pct
+from ..functions.values import DECIMAL_TYPE
 from ..params import (
     AMOUNT_DISCREPANCY,
     DEFAULT_RULES,
@@ -30,9 +31,14 @@ DETAIL_NUMBERS = [
 ]
 
 
-def for_reconciliation(df: DataFrame) -> DataFrame:
-    """Reconciliation sees missing amounts as 0."""
-    return filled(df, ["debit_amount", "credit_amount"])
+def for_reconciliation(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Reconciliation sees missing amounts as 0. In decimal mode amounts are DECIMAL(18,4) from here on;
+    one that does not fit fails the query, since there is no amount that it could stand for."""
+    amounts = ["debit_amount", "credit_amount"]
+    known = filled(df, amounts)
+    if rules.amounts == "double":
+        return known
+    return known.withColumns({a: F.col(a).cast(DECIMAL_TYPE) for a in amounts})
 
 
 def reconcile(
@@ -48,20 +54,26 @@ def reconcile(
     carried by a marker and not by its amounts.
     """
     left, right = tag_keys(
-        _side(source, SOURCE_KEY, "src"), _side(target, TARGET_KEY, "tgt"), "key", "key", null_keys
+        _side(source, SOURCE_KEY, "src", rules), _side(target, TARGET_KEY, "tgt", rules), "key", "key", null_keys
     )
+    exact = rules.amounts == "decimal"
+
+    def delta(a: str) -> Column:
+        src, tgt = F.col(f"src_{a}"), F.col(f"tgt_{a}")
+        return (src - tgt).cast("decimal(19,4)") if exact else difference(src, tgt)
+
     return full_outer(left, right).withColumns(
         {
             "key": plain_key(),
-            "reconciliation_status": _status(rules.tolerance),
-            "debit_delta": difference(F.col("src_debit"), F.col("tgt_debit")),
-            "credit_delta": difference(F.col("src_credit"), F.col("tgt_credit")),
+            "reconciliation_status": _status(rules),
+            "debit_delta": delta("debit"),
+            "credit_delta": delta("credit"),
         }
     ).select(*DETAIL_COLUMNS)
 
 
-def _side(df: DataFrame, key: str, side: str) -> DataFrame:
-    return for_reconciliation(df).select(
+def _side(df: DataFrame, key: str, side: str, rules: Rules) -> DataFrame:
+    return for_reconciliation(df, rules).select(
         F.col(key).alias("key"),
         F.col("debit_amount").alias(f"{side}_debit"),
         F.col("credit_amount").alias(f"{side}_credit"),
@@ -70,9 +82,10 @@ def _side(df: DataFrame, key: str, side: str) -> DataFrame:
     )
 
 
-def _status(tolerance: float) -> Column:
-    differs = exceeds(F.col("src_debit"), F.col("tgt_debit"), tolerance) | exceeds(
-        F.col("src_credit"), F.col("tgt_credit"), tolerance
+def _status(rules: Rules) -> Column:
+    far = exceeds if rules.amounts == "double" else exceeds_exactly
+    differs = far(F.col("src_debit"), F.col("tgt_debit"), rules.tolerance) | far(
+        F.col("src_credit"), F.col("tgt_credit"), rules.tolerance
     )
     return (
         F.when(F.col("in_src").isNull(), MISSING_IN_SOURCE)
@@ -102,8 +115,8 @@ def summarize(detail: DataFrame) -> DataFrame:
             F.count_if(status == MISSING_IN_TARGET).alias("missing_in_target"),
             F.count_if(status == MISSING_IN_SOURCE).alias("missing_in_source"),
             F.count_if(differs).alias("amount_discrepancies"),
-            money_sum(F.when(differs, F.col("debit_delta"))).alias("debit_delta"),
-            money_sum(F.when(differs, F.col("credit_delta"))).alias("credit_delta"),
+            money_sum(F.when(differs, F.col("debit_delta").cast("double"))).alias("debit_delta"),
+            money_sum(F.when(differs, F.col("credit_delta").cast("double"))).alias("credit_delta"),
         )
     )
 

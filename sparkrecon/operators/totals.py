@@ -21,6 +21,8 @@ with their number.
 
 from __future__ import annotations
 
+from dataclasses import replace
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -53,8 +55,23 @@ def reconcile_totals(
     source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RULES, null_keys: str = "match"
 ) -> DataFrame:
     """The nine figures of ``summarize(reconcile(...))``, computed without the reconciled rows."""
-    left, right = _sides(for_reconciliation(source), for_reconciliation(target), null_keys)
-    return summary_row(_totals(left, right, rules, with_deltas=True, null_source_missing=False))
+    s, t, rules, unit = _units(for_reconciliation(source, rules), for_reconciliation(target, rules), rules)
+    left, right = _sides(s, t, null_keys)
+    found = _totals(left, right, rules, with_deltas=True, null_source_missing=False)
+    return summary_row(found.withColumns({c: F.col(c) / unit for c in _DELTAS} if unit != 1 else {}))
+
+
+def _units(source: DataFrame, target: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame, Rules, int]:
+    """In decimal mode amounts and tolerance as whole ten-thousandths, of which doubles add and subtract
+    exactly what there is: then the figures are those of the decimals. Also the units in one."""
+    if rules.amounts == "double":
+        return source, target, rules, 1
+    unit = 10_000
+
+    def scaled(df: DataFrame) -> DataFrame:
+        return df.withColumns({a: (F.col(a) * unit).cast("double") for a in ("debit_amount", "credit_amount")})
+
+    return scaled(source), scaled(target), replace(rules, tolerance=float(Decimal(repr(rules.tolerance)) * unit)), unit
 
 
 def status_kpis(source: DataFrame, target: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -83,7 +100,8 @@ def account_discrepancies(
     """(gl_account, discrepancies): how many rows of the detail that are not matched come from each
     account's transactions. Transactions without an account are not counted."""
     of = source.filter(F.col("gl_account").isNotNull())
-    left, right = _sides(for_reconciliation(of), for_reconciliation(target), null_keys, ["gl_account"])
+    s, t, rules, _ = _units(for_reconciliation(of, rules), for_reconciliation(target, rules), rules)
+    left, right = _sides(s, t, null_keys, ["gl_account"])
     counts = _totals(left, right, rules, with_deltas=False, null_source_missing=False, by=["gl_account"])
     off = F.col("amount_discrepancies") + F.col("missing_in_target")
     return counts.filter(F.col("gl_account").isNotNull()).select("gl_account", off.alias("discrepancies"))

@@ -75,6 +75,9 @@ class Rules:
     fiscal_start: dt.date = dt.date(2024, 1, 1)
     fiscal_end: dt.date = dt.date(2024, 12, 31)
     tolerance: float = 0.01
+    # "double" compares binary amounts, as money in floating point does: two amounts a cent apart may or may
+    # not be further apart than 0.01. "decimal" compares DECIMAL(18,4) amounts, and a cent is a cent.
+    amounts: str = "double"
     balance_limit: float = 0.01
     stale_after_days: int = 1
     green_rate_pct: float = 98.0
@@ -83,6 +86,10 @@ class Rules:
     as_of: dt.date | None = None
     run_ts: dt.datetime | None = None
 
+    def __post_init__(self):
+        if self.amounts not in ("double", "decimal"):
+            raise ValueError(f"amounts must be 'double' or 'decimal', not {self.amounts!r}")
+
     def today(self) -> dt.date:
         return self.as_of or dt.date.today()
 

@@ -23,27 +23,25 @@ from ..sources import write_table
 _CLOCK = ("as_of", "run_ts")
 
 
-def files_under(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
-    """(path, bytes, time of change) of every file under ``path``, in any store that Spark reads."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    found = []
-    matches = store.globStatus(place)
-    for match in matches or []:
-        # Listed as Spark lists an input; a file is listed as itself.
-        listing = store.listFiles(match.getPath(), True)
-        while listing.hasNext():
-            file = listing.next()
-            name = file.getPath().getName()
-            if not name.startswith(("_", ".")):
-                found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
-    return sorted(found)
+def files_digest(spark: SparkSession, path: str) -> list[str]:
+    """Number, bytes and a digest of names, sizes and times of the files under ``path``, in any store that
+    Spark reads. Spark lists them and adds them up; no content is read and no list comes to the driver."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        held = files.load(path).select("path", "length", "modificationTime")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"no file at {path}") from e
+        raise
+    each = F.xxhash64("path", "length", F.unix_micros("modificationTime")).cast("decimal(38,0)")
+    row = held.agg(F.count(F.lit(1)), F.sum("length"), F.sum(each)).first()
+    return [str(v) for v in row]
 
 
 def fingerprint(spark: SparkSession, source: str, target: str, fmt: str, rules: Rules) -> str:
     """Digest of the files of both inputs, how they are read, and the rules."""
     used = {f.name: repr(getattr(rules, f.name)) for f in dataclasses.fields(rules) if f.name not in _CLOCK}
-    held = [files_under(spark, source), files_under(spark, target), fmt, sorted(used.items())]
+    held = [files_digest(spark, source), files_digest(spark, target), fmt, sorted(used.items())]
     return hashlib.sha256(json.dumps(held).encode()).hexdigest()
 
 

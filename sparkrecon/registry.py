@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -186,6 +187,27 @@ def _summary(s: DataFrame, t: DataFrame) -> DataFrame:
     return totals.reconcile_totals(s, t, RULES)
 
 
+_DECIMAL = replace(RULES, amounts="decimal")
+
+
+def _decimal_queries() -> dict[str, Query]:
+    """Amounts as DECIMAL(18,4), against a ledger that is often off by exactly a cent."""
+    cents = partial(_on, ["source_transactions", "cent_ledger"])
+
+    def rows(s: DataFrame, t: DataFrame) -> DataFrame:
+        found = reconcile.reconcile(s, t, _DECIMAL)
+        return found.withColumns({c: F.col(c).cast("double") for c in reconcile.DETAIL_NUMBERS})
+
+    return {
+        "recon_detail_decimal": cents(rows),
+        "recon_discrepancies_decimal": cents(lambda s, t: reconcile.discrepancies(rows(s, t))),
+        "recon_summary_decimal": cents(lambda s, t: totals.reconcile_totals(s, t, _DECIMAL)),
+        "report_gl_analysis_decimal": cents(
+            lambda s, t: report.gl_accounts(s, totals.account_discrepancies(s, t, _DECIMAL), _DECIMAL)
+        ),
+    }
+
+
 def _gl_analysis(s: DataFrame, t: DataFrame) -> DataFrame:
     return report.gl_accounts(s, totals.account_discrepancies(s, t, RULES), RULES)
 
@@ -229,5 +251,6 @@ def queries() -> dict[str, Query]:
         **_master_queries(),
         **_recon_sql_queries(),
         **_recon_queries(),
+        **_decimal_queries(),
         **_report_queries(),
     }
