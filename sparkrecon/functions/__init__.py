@@ -3,6 +3,7 @@
 from .values import (
     blank,
     calendar_date,
+    decimal_number,
     difference,
     exceeds,
     exceeds_exactly,
@@ -19,6 +20,7 @@ from .values import (
 __all__ = [
     "blank",
     "calendar_date",
+    "decimal_number",
     "difference",
     "exceeds",
     "exceeds_exactly",

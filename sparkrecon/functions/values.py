@@ -39,6 +39,17 @@ def number(df: DataFrame, name: str) -> Column:
     return F.when(F.abs(c) < float("inf"), c)
 
 
+def decimal_number(df: DataFrame, name: str) -> Column:
+    """Column ``name`` as DECIMAL(18,4), text without a detour over doubles; whatever is not a finite
+    number becomes null. A number with more than 14 digits before the point fails the query."""
+    c = F.col(name)
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return F.when(c.rlike(NUMBER_PATTERN), c.cast(DECIMAL_TYPE))
+    if isinstance(df.schema[name].dataType, T.DecimalType):
+        return c.cast(DECIMAL_TYPE)
+    return number(df, name).cast(DECIMAL_TYPE)
+
+
 def calendar_date(df: DataFrame, name: str, fmt: str) -> Column:
     """Column ``name`` as date. Text in another format than ``fmt`` becomes null, never an error."""
     if isinstance(df.schema[name].dataType, T.StringType):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import difference, exceeds, exceeds_exactly, money_sum, share_pct
+from ..functions import decimal_number, difference, exceeds, exceeds_exactly, money_sum, share_pct
 from ..functions.values import DECIMAL_TYPE
 from ..params import (
     AMOUNT_DISCREPANCY,
@@ -35,10 +35,10 @@ def for_reconciliation(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame
     """Reconciliation sees missing amounts as 0. In decimal mode amounts are DECIMAL(18,4) from here on;
     one that does not fit fails the query, since there is no amount that it could stand for."""
     amounts = ["debit_amount", "credit_amount"]
-    known = filled(df, amounts)
     if rules.amounts == "double":
-        return known
-    return known.withColumns({a: F.col(a).cast(DECIMAL_TYPE) for a in amounts})
+        return filled(df, amounts)
+    zero = F.lit(0).cast(DECIMAL_TYPE)
+    return df.withColumns({a: F.coalesce(decimal_number(df, a), zero) for a in amounts})
 
 
 def reconcile(

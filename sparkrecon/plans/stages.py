@@ -36,12 +36,14 @@ class Job:
     rules: Rules = DEFAULT_RULES
 
     def source(self) -> DataFrame:
-        return load_table(
-            self.spark, self.source_path, SOURCE_SCHEMA, "source transactions", self.fmt
-        )
+        return self._load(self.source_path, SOURCE_SCHEMA, "source transactions")
 
     def target(self) -> DataFrame:
-        return load_table(self.spark, self.target_path, TARGET_SCHEMA, "target ledger", self.fmt)
+        return self._load(self.target_path, TARGET_SCHEMA, "target ledger")
+
+    def _load(self, path: str, schema: T.StructType, label: str) -> DataFrame:
+        decimals = ("debit_amount", "credit_amount") if self.rules.amounts == "decimal" else ()
+        return load_table(self.spark, path, schema, label, self.fmt, decimals)
 
     def path(self, name: str) -> str:
         return f"{self.out.rstrip('/')}/{name}"
@@ -114,8 +116,9 @@ def run_reconciliation(job: Job, null_keys: str = "match") -> DataFrame:
 def _detail(job: Job) -> DataFrame:
     read = job.spark.read.format(job.detail_fmt)
     if job.detail_fmt == "csv":
+        number = T.DoubleType() if job.rules.amounts == "double" else T.DecimalType(19, 4)
         columns = [
-            T.StructField(c, T.DoubleType() if c in reconcile.DETAIL_NUMBERS else T.StringType())
+            T.StructField(c, number if c in reconcile.DETAIL_NUMBERS else T.StringType())
             for c in reconcile.DETAIL_COLUMNS
         ]
         read = read.options(header=True, escape='"').schema(T.StructType(columns))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -12,12 +13,12 @@ from .csv_files import load_csv, typed
 
 
 def load_table(
-    spark: SparkSession, path: str, schema: T.StructType, label: str, fmt: str = "csv"
+    spark: SparkSession, path: str, schema: T.StructType, label: str, fmt: str = "csv", decimals: Sequence[str] = ()
 ) -> DataFrame:
     """Input from CSV, or from a columnar format (parquet, orc) whose scan prunes and pushes down."""
     if fmt == "csv":
-        return load_csv(spark, path, schema, label)
-    return typed(spark.read.format(fmt).load(path), schema)
+        return load_csv(spark, path, schema, label, decimals=decimals)
+    return typed(spark.read.format(fmt).load(path), schema, decimals)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", partition_by: str | None = None) -> None:

@@ -122,3 +122,15 @@ def test_dates(spark, text, day):
     df = spark.createDataFrame([(text,)], "d STRING")
     (row,) = records(df.select(calendar_date(df, "d", "yyyy-M-d").cast("string").alias("d")))
     assert row["d"] == day
+
+
+def test_a_header_with_a_dot(spark, tmp_path):
+    """Column names may hold dots and backticks; they are names, not paths."""
+    path = tmp_path / "dots.csv"
+    path.write_text("a.b,transaction_id,we`ird,debit_amount\nx,T1,NA,5\n,T2,z,bad\n")
+    df = load_csv(spark, str(path), SOURCE_SCHEMA, "dots")
+    assert df.columns == ["a.b", "transaction_id", "we`ird", "debit_amount"]
+    assert [tuple(r) for r in df.collect()] == [("x", "T1", None, 5.0), (None, "T2", "z", None)]
+    path.write_text("a.b,c\n1,2,3\n")
+    with pytest.raises(Exception, match="first field is 1"):
+        load_csv(spark, str(path), SOURCE_SCHEMA, "dots").collect()
