@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from .params import Rules
+from .schemas import SOURCE_SCHEMA, TARGET_SCHEMA
 
 # Rules of the registered queries: a fixed clock and the fiscal year that the data spans.
 FIXTURE_RULES = Rules(
@@ -106,6 +107,51 @@ SELECT concat('TXN', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRIN
 FROM lineitem
 """
 
+# Both inputs as a CSV reader sees them: text in every documented column and one more, with spellings of
+# missing values, numbers in many forms, and cells that are no numbers.
+_BAD_CELL = (
+    "CASE WHEN {n} % 29 = 0 THEN 'n/a' WHEN {n} % 31 = 0 THEN '12d' WHEN {n} % 37 = 0 THEN '1e3' WHEN {n} % 41 = 0 THEN '.5' "
+    "WHEN {n} % 43 = 0 THEN '1,000' WHEN {n} % 47 = 0 THEN 'inf' WHEN {n} % 53 = 0 THEN '-2.5E-1' WHEN {n} % 59 = 0 THEN '' "
+    "WHEN {n} % 61 = 0 THEN '+7.' ELSE {cell} END"
+)
+_BAD_TEXT = "CASE WHEN {n} % 67 = 0 THEN 'NULL' WHEN {n} % 71 = 0 THEN '#N/A' WHEN {n} % 73 = 0 THEN 'say \"hi\", twice' ELSE {cell} END"
+
+
+def _raw(base: str, number: str, columns: dict[str, str], numbers: tuple[str, ...], spoilt: tuple[str, ...]) -> str:
+    cells = []
+    for i, (name, cell) in enumerate(columns.items()):
+        text = f"CAST({cell} AS STRING)"
+        if name in numbers or name in spoilt:
+            text = (_BAD_CELL if name in numbers else _BAD_TEXT).format(n=f"(n + {i})", cell=text)
+        cells.append(f"{text} AS {name}")
+    return f"SELECT {', '.join(cells)}\nFROM (SELECT *, {number} AS n FROM {base}) b"
+
+
+_NUMBERS = ("debit_amount", "credit_amount", "exchange_rate")
+_SAME = ("transaction_date", "posting_date", "gl_account", "department", "debit_amount", "credit_amount", "currency")
+RAW_SOURCE = _raw(
+    "source_transactions",
+    "CAST(substr(reference_number, 4) AS BIGINT)",
+    {c: c for c in (*SOURCE_SCHEMA.names, "entity")},
+    _NUMBERS,
+    ("department", "description", "vendor_id", "status", "approved_by"),
+)
+RAW_LEDGER = _raw(
+    "target_ledger",
+    "CAST(substr(ledger_id, 2) AS BIGINT)",
+    {
+        "ledger_transaction_id": "ledger_transaction_id",
+        **{c: c for c in _SAME},
+        "ledger_status": "ledger_status",
+        "exchange_rate": "1.25",
+        **{c: f"concat('{c[0].upper()}', CAST(n % 17 AS STRING))" for c in TARGET_SCHEMA.names
+           if c not in ("ledger_transaction_id", "ledger_status", "exchange_rate", *_SAME)},
+        "ledger_id": "ledger_id",
+    },
+    _NUMBERS,
+    ("department", "description", "entered_by", "ledger_status"),
+)
+
 # Master lists that grow with the tables and repeat codes: ids of shipped orders, with and without a null.
 MASTER_LIST = "SELECT concat('TXN', CAST(l_orderkey AS STRING)) AS code FROM lineitem WHERE l_linestatus = 'F'"
 MASTER_LIST_NULL = """
@@ -129,12 +175,15 @@ VIEWS = {
     "hot_source": HOT_SOURCE,
     "hot_ledger": HOT_LEDGER,
     "line_source": LINE_SOURCE,
+    "raw_source": RAW_SOURCE,
+    "raw_ledger": RAW_LEDGER,
     "master_list": MASTER_LIST,
     "master_list_null": MASTER_LIST_NULL,
     "cent_ledger": CENT_LEDGER,
 }
 # The view each view is defined over; the others read a given table.
-_BASE = {"dq_source": "source_transactions", "dq_target": "target_ledger", "cent_ledger": "target_ledger"}
+_BASE = {"dq_source": "source_transactions", "dq_target": "target_ledger", "cent_ledger": "target_ledger",
+         "raw_source": "source_transactions", "raw_ledger": "target_ledger"}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

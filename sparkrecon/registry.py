@@ -69,6 +69,17 @@ def _from_csv(name: str, schema: T.StructType, key: str) -> Query:
     return run
 
 
+def _rows_from_csv(name: str, schema: T.StructType) -> Query:
+    """The typed rows of a CSV input, every column of them."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}.csv"
+        write_table(view(spark, sf_dir, name), path)
+        return load_csv(spark, path, schema, name)
+
+    return run
+
+
 def _schema_diff(source: DataFrame, target: DataFrame) -> DataFrame:
     both = schema_diff(source, SOURCE_SCHEMA, "source").union(
         schema_diff(target, TARGET_SCHEMA, "target")
@@ -96,6 +107,10 @@ def _ingest_queries() -> dict[str, Query]:
         "ingest_target": _from_text(target, TARGET_SCHEMA, "ledger_transaction_id"),
         "ingest_csv_source": _from_csv(source, SOURCE_SCHEMA, "transaction_id"),
         "ingest_csv_target": _from_csv(target, TARGET_SCHEMA, "ledger_transaction_id"),
+        "ingest_rows_source": _on(["raw_source"], lambda df: typed(df, SOURCE_SCHEMA)),
+        "ingest_rows_target": _on(["raw_ledger"], lambda df: typed(df, TARGET_SCHEMA)),
+        "ingest_csv_rows_source": _rows_from_csv("raw_source", SOURCE_SCHEMA),
+        "ingest_csv_rows_target": _rows_from_csv("raw_ledger", TARGET_SCHEMA),
         "ingest_schema_diff": _pair(_schema_diff),
         "ingest_validate_source": _source(lambda s: ingest.validate_source(s, RULES)),
         "ingest_validate_target": _target(lambda t: ingest.validate_target(t, RULES)),
