@@ -296,7 +296,8 @@ def nearest(
     )
 
     def dealt(df: DataFrame, own: str, other: str, number: str, names: tuple[str, str]) -> DataFrame:
-        each = df.join(grid, ["d", "leaf"]).withColumn(names[0], F.pmod(F.xxhash64(number), own))
+        # Both sides need the same types: a number is dealt to other partitions as an int than as a long.
+        each = df.join(grid, ["d", "leaf"]).withColumn(names[0], F.pmod(F.xxhash64(number), own).cast("int"))
         return each.withColumn(names[1], F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("blocks", "q_blocks")
 
     cell = ["d", "leaf", "block", "q_block"]

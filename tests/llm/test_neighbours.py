@@ -62,7 +62,15 @@ def test_no_vectors(spark):
     assert nearest(_table(spark, [(1, [1.0, 2])]), F.col("vec_id") % 20 == 0).count() == 0
 
 
-def test_hot_vector_in_many_blocks(spark, monkeypatch):
+@pytest.fixture
+def many_partitions(spark):
+    """Small tables stay in their partitions, as large ones do."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_hot_vector_in_many_blocks(spark, monkeypatch, many_partitions):
     monkeypatch.setattr(neighbours, "BLOCK", 16)
     rng = np.random.default_rng(3)
     rows = [(i, [1.0, 0.5, -1.0, 2.0]) for i in range(200)]
@@ -74,7 +82,7 @@ def test_hot_vector_in_many_blocks(spark, monkeypatch):
         assert np.allclose([s for s, _ in v], [s for s, _ in want[i]], rtol=1e-14)
 
 
-def test_recall_on_many_leaves(spark):
+def test_recall_on_many_leaves(spark, many_partitions):
     """Clusters, lengths that differ, and noise: the wanted share is found without looking at all."""
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(30, 16)) * 3
