@@ -318,6 +318,9 @@ def nearest(
     # A class is met once per tree that leads to it. The k + 1 best classes hold the k + 1 best ids.
     met = met.groupBy("q", "cls").agg(F.max("score").alias("score"))
     ids = members.join(classes.select("key", "cls"), "key").select("cls", "vec_id", "copy")
+    # Ids are looked up only for classes that can be among them, all of equal score included.
+    by_score = Window.partitionBy("q").orderBy(F.desc("score"))
+    met = met.withColumn("at", F.rank().over(by_score)).filter(F.col("at") <= k + 1)
     by_class = Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_last("first_id"), "cls")
     met = met.join(classes.select("cls", "first_id"), "cls")
     met = met.withColumn("at", F.row_number().over(by_class)).filter(F.col("at") <= k + 1)
