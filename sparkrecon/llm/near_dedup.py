@@ -12,9 +12,10 @@ Bands of coordinates are joined on their values. In a bucket every text is compa
 only; components of what was linked are formed, and only buckets that still hold several components
 are looked at again, with other centres. So a group of thousands of near copies costs about one
 comparison per member and round. What is left are mostly texts that share a passage and are otherwise
-different: their buckets are split by a second band, which similar texts share as well, before the
-pairs across components are compared. Sketches of the signatures (eight bits a coordinate) sort out
-pairs that are far from similar while they are formed; the others are verified on the whole texts.
+different: of them the pairs across components are formed, each under the smallest key that its texts
+share only. Pairs whose weights cannot give the similarity are left out, which loses nothing; sketches
+of the signatures (eight bits a coordinate) sort out pairs that are far from similar. The others are
+verified on the whole texts.
 
 Equal texts are one class from the start: they are linked whatever their number.
 """
@@ -38,8 +39,8 @@ from .words import mixed, occurrences, shingles, word_hashes
 WIDTH, LEAST = 5, 0.8
 # A pair at 0.8 shares fewer than two bands with probability 1e-6, none with 5e-8.
 ROWS, BANDS = 4, 32
-# Rounds with one centre per bucket of one band, and of two bands, before the exhaustive one.
-STAR_ROUNDS, FINER_ROUNDS = 2, 1
+# Rounds with one centre per bucket before the exhaustive one.
+STAR_ROUNDS = 3
 # Bits in which the sketches of a pair at 0.8 differ: 102 on average, more than 200 with a probability
 # below 1e-6. A pair at 0.5 differs in 256 on average.
 SKETCH, MOST_DIFFERENT = 16, 200
@@ -138,6 +139,11 @@ def _alike(a: str, b: str) -> Column:
     return different <= MOST_DIFFERENT
 
 
+def _near_weights(least: float) -> Column:
+    """Whether the numbers of runs of two texts allow the similarity: it is at most their quotient."""
+    return F.least("weight", "weight_b") / F.greatest("weight", "weight_b") >= least
+
+
 def weighted_shingles(text: pa.Array, width: int = WIDTH) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per text its distinct runs, sorted, and how often each occurs."""
     found, doc = shingles(*word_hashes(text), width)
@@ -154,7 +160,8 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _signed(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """One row per document, written: doc_id, sha, row_no, keys (none for a text without words), sketch."""
+    """One row per document, written: doc_id, sha, row_no, keys (none for a text without words), sketch,
+    weight (its number of runs)."""
     read = docs.select(F.col(id_col).alias("doc_id"), F.unhex(fingerprint(text_col)).alias("sha"), text_or_empty(text_col).alias("text"))
     kind = read.schema["doc_id"].dataType.simpleString()
 
@@ -169,11 +176,13 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFram
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys, pa.int64()))
                 words = pa.array(sketches(best).ravel(), pa.int64())
                 sketch = pa.ListArray.from_arrays(pa.array(np.arange(len(best) + 1) * SKETCH, pa.int32()), words)
+                weight = pa.array(np.bincount(doc, minlength=part.num_rows), pa.int64())
                 yield pa.record_batch(
-                    [part.column("doc_id"), part.column("sha"), lists, sketch], names=["doc_id", "sha", "keys", "sketch"]
+                    [part.column("doc_id"), part.column("sha"), lists, sketch, weight],
+                    names=["doc_id", "sha", "keys", "sketch", "weight"],
                 )
 
-    signed = read.mapInArrow(sign, f"doc_id {kind}, sha binary, keys array<long>, sketch array<long>")
+    signed = read.mapInArrow(sign, f"doc_id {kind}, sha binary, keys array<long>, sketch array<long>, weight long")
     return written(signed.withColumn("row_no", F.monotonically_increasing_id()), "near-signatures")
 
 
@@ -214,35 +223,32 @@ def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
 
 
-def _star(buckets: DataFrame, turn: int) -> DataFrame:
+def _star(buckets: DataFrame, profiles: DataFrame, turn: int, least: float) -> DataFrame:
     """Each member of a bucket with the bucket's centre, drawn by hash: a, b; larger class first."""
     drawn = F.xxhash64(F.col("cls"), F.col("key"), F.lit(turn))
-    centre = F.min_by(F.struct("cls", "comp", "sketch"), drawn).alias("centre")
-    centres = written(buckets.groupBy("key").agg(centre).select("key", "centre.*").toDF("key", "cls_b", "comp_b", "sketch_b"), "near-centres")
-    met = buckets.join(centres, "key").filter((F.col("comp") != F.col("comp_b")) & _alike("sketch", "sketch_b"))
-    return met.select(*_ordered(F.col("cls"), F.col("cls_b"))).distinct()
-
-
-def _across(buckets: DataFrame) -> DataFrame:
-    """The pairs of a bucket whose members are in different components and have like sketches."""
-    other = buckets.select("key", *[F.col(c).alias(f"{c}_b") for c in ("cls", "comp", "sketch")])
-    met = buckets.join(other, "key").filter((F.col("comp") < F.col("comp_b")) & _alike("sketch", "sketch_b"))
-    return met.select(*_ordered(F.col("cls"), F.col("cls_b"))).distinct()
-
-
-def _finer(buckets: DataFrame) -> DataFrame:
-    """Buckets of pairs of bands, from the buckets (key, cls, comp) of single ones: texts meet again
-    where they share two. No text has more than the pairs of its bands."""
-    keys = F.sort_array(F.collect_set("key"))
-    pairs = F.flatten(
-        F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y)))
+    centre = F.min_by(F.struct("cls", "comp", "weight"), drawn).alias("centre")
+    centres = written(buckets.groupBy("key").agg(centre).select("key", "centre.*").toDF("key", "cls_b", "comp_b", "weight_b"), "near-centres")
+    met = buckets.join(centres, "key").filter((F.col("comp") != F.col("comp_b")) & _near_weights(least))
+    pairs = met.select(*_ordered(F.col("cls"), F.col("cls_b"))).distinct()
+    first = pairs.join(profiles.select(F.col("cls").alias("a"), "sketch"), "a")
+    both = first.join(profiles.select(F.col("cls").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+    return both.filter(_alike("sketch", "sketch_b")).select("a", "b")
+
+
+def _across(buckets: DataFrame, profiles: DataFrame, least: float) -> DataFrame:
+    """The pairs of a bucket whose members are in different components and have like weights and
+    sketches, each pair in one bucket only: that of the smallest key which both have."""
+    members = written(buckets.join(profiles, "cls"), "near-profiled")
+    other = members.select("key", *[F.col(c).alias(f"{c}_b") for c in ("cls", "comp", "weight", "sketch", "keys")])
+    here = F.array_min(F.array_intersect("keys", "keys_b")) == F.col("key")
+    met = members.join(other, "key").filter(
+        (F.col("comp") < F.col("comp_b")) & _near_weights(least) & _alike("sketch", "sketch_b") & here
     )
-    gathered = buckets.groupBy("cls", "comp").agg(keys.alias("keys"), F.first("sketch").alias("sketch"))
-    return _open(written(gathered.select("cls", "comp", "sketch", F.explode(pairs).alias("key")), "near-members"))
+    return met.select(*_ordered(F.col("cls"), F.col("cls_b")))
 
 
 def _open(members: DataFrame) -> DataFrame:
-    """The rows (key, cls, comp, sketch) of buckets that hold several components, written."""
+    """The rows (key, cls, comp, weight) of buckets that hold several components, written."""
     several = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
     return written(members.join(written(several.select("key"), "near-several"), "key"), "near-buckets")
 
@@ -250,30 +256,29 @@ def _open(members: DataFrame) -> DataFrame:
 def classes_and_roots(docs: DataFrame, id_col: str, text_col: str, least: float, width: int) -> tuple[DataFrame, DataFrame]:
     """(one row per document: doc_id, sha, row_no; one row per distinct text: sha, root)."""
     signed = _signed(docs, id_col, text_col, width)
-    classes = written(
-        signed.groupBy("sha").agg(F.min("row_no").alias("cls"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")), "near-classes"
-    )
-    members = classes.select("cls", "sketch", F.explode("keys").alias("key"))
+    first = [F.first(c).alias(c) for c in ("keys", "sketch", "weight")]
+    classes = written(signed.groupBy("sha").agg(F.min("row_no").alias("cls"), *first), "near-classes")
+    members = classes.select("cls", "weight", F.explode("keys").alias("key"))
     shared = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "near-shared")
     buckets = written(members.join(shared, "key").withColumn("comp", F.col("cls")), "near-buckets")
     wanted = written(
-        classes.select("cls", "sha").join(buckets.select("cls").distinct(), "cls"), "near-wanted"
+        classes.join(buckets.select("cls").distinct(), "cls").select("cls", "sha", "sketch", "keys"), "near-wanted"
     )
-    texts = _texts(docs, wanted, text_col)
+    texts = _texts(docs, wanted.select("cls", "sha"), text_col)
     tested = roots = None
-    last = STAR_ROUNDS + FINER_ROUNDS
-    for turn in range(last + 1):
-        if turn == STAR_ROUNDS:
-            buckets = _finer(buckets)
-        pairs = _star(buckets, turn) if turn < last else _across(buckets)
+    for turn in range(STAR_ROUNDS + 1):
+        if turn < STAR_ROUNDS:
+            pairs = _star(buckets, wanted.select("cls", "sketch"), turn, least)
+        else:
+            pairs = _across(buckets, wanted.select("cls", "sketch", "keys"), least)
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         found = _verified(written(pairs, "near-pairs"), texts, least, width)
         tested = found if tested is None else tested.unionByName(found)
         roots = written(components(tested.filter("linked").select("a", "b")), "near-roots")
-        if turn < last:
+        if turn < STAR_ROUNDS:
             labelled = buckets.drop("comp").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-            buckets = _open(written(labelled.select("key", "cls", "sketch", F.coalesce("root", "cls").alias("comp")), "near-labelled"))
+            buckets = _open(written(labelled.select("key", "cls", "weight", F.coalesce("root", "cls").alias("comp")), "near-labelled"))
     known = classes.select("sha", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     return signed.select("doc_id", "sha", "row_no"), written(
         known.select("sha", F.coalesce("root", "cls").alias("root")), "near-known"
