@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +29,8 @@ ROUNDS = 12
 PENALTY = 3.0
 UNDETERMINED = "und"
 LETTER = r"\p{L}"
-# Documents worked on together.
-TOGETHER = 1000
+# Documents worked on together, and bytes of their texts where whole rows are passed on.
+TOGETHER, TEXT_TOGETHER = 1000, 2 << 20
 
 # Letters stay, every other ASCII byte separates words, bytes of other characters stay as they are.
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -148,10 +149,8 @@ def predict(
     probs: np.ndarray,
     id_col: str = "doc_id",
     text_col: str = "text",
-    keep_row: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, lang_pred, score, n_languages; with ``keep_row`` also
-    ``row``, all columns of the input as a struct.
+    """One row per row of ``docs``: doc_id, lang_pred, score, n_languages.
 
     Only the text is an input of the prediction. A text that is null or has no letter, and every text
     if no language was learned, is ``und`` with score 0. ``score`` is the share of the text that is
@@ -173,21 +172,17 @@ def predict(
         return pd.concat(found) if found else pd.DataFrame({"language": [], "score": [], "n_languages": []})
 
     letters = F.coalesce(F.col(text_col), F.lit("")).rlike(LETTER) & F.lit(known > 0)
-    rows = docs.select(
-        F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), letters.alias("letters"), _padded(text_col).alias("text")
-    )
+    rows = docs.select(F.col(id_col).alias("doc_id"), letters.alias("letters"), _padded(text_col).alias("text"))
     if not known:
         return rows.select(
-            "doc_id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0).alias("n_languages"),
-            *(["row"] if keep_row else []),
-        )
+            "doc_id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0).alias("n_languages")
+        )
     names = F.array(*[F.lit(name) for name in languages])
     return rows.withColumn("found", inferred("text")).select(
         "doc_id",
         F.when(F.col("letters"), F.get(names, F.col("found.language"))).otherwise(UNDETERMINED).alias("lang_pred"),
         F.when(F.col("letters"), F.col("found.score")).otherwise(0.0).alias("score"),
         F.when(F.col("letters"), F.col("found.n_languages")).otherwise(0).alias("n_languages"),
-        *(["row"] if keep_row else []),
     )
 
 
@@ -204,11 +199,36 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "n_languages")
 
 
+def unlike_all(counts: np.ndarray, probs: np.ndarray) -> np.ndarray:
+    """Per row of ``counts`` whether no mixture of the languages explains it: the likeliest mixture is less
+    likely than trigrams drawn evenly from all buckets, by more than the penalty of one more language."""
+    n, k = len(counts), len(probs)
+    probs = probs.astype(np.float32)
+    mix = _expect(counts, probs, np.full((n, k), 1 / k, np.float32), ROUNDS)
+    total = counts.sum(axis=1)
+    even = -total * np.log(BUCKETS)
+    return even - _fit(counts, probs, mix) > PENALTY * np.log(np.maximum(total, 2))
+
+
 def readable_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` without those whose language cannot be determined, all columns as they are: texts without
-    a letter go. Without a labelled text no language is known, and texts with a letter stay as well."""
+    a letter go, and texts that no mixture of the learned languages explains (``unlike_all``), such as
+    encoded data or another language. Without a labelled text no language is known, and all texts with a
+    letter stay. The model learns from all labelled rows. Rows are filtered where they are, in one pass."""
     languages, probs = learn(docs, text_col, lang_col)
+    lettered = docs.filter(F.coalesce(F.col(text_col), F.lit("")).rlike(LETTER))
     if not languages:
-        return docs.filter(F.coalesce(F.col(text_col), F.lit("")).rlike(LETTER))
-    found = predict(docs, languages, probs, id_col, text_col, keep_row=True)
-    return found.filter(F.col("lang_pred") != UNDETERMINED).select("row.*")
+        return lettered
+    model = docs.sparkSession.sparkContext.broadcast(probs)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text_col, TEXT_TOGETHER):
+                stay = []
+                for at in range(0, part.num_rows, TOGETHER):
+                    lowered = pc.utf8_lower(part.column(text_col).slice(at, TOGETHER))
+                    counts = trigram_counts(pc.binary_join_element_wise(" ", lowered, " ", ""))
+                    stay.append(~unlike_all(counts, model.value))
+                yield part.filter(pa.array(np.concatenate(stay)))
+
+    return lettered.mapInArrow(keep, docs.schema)
