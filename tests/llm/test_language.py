@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from llm_rows import MESSY, documents, messy, nothing, records  # noqa: F401
@@ -93,3 +95,16 @@ def test_unlabelled_documents_with_a_letter_stay(spark):
     docs = documents(spark, [(i, t, None, None) for i, t in enumerate(texts)])
     kept = readable_documents(docs)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 4]
+
+
+def test_the_stage_drops_what_no_mixture_explains(spark):
+    rng = random.Random(7)
+    words = "the house of that river and some other small town with water under its old bridge".split()
+    rows = [(i, " ".join(rng.choices(words, k=80)), "en", "a") for i in range(60)]
+    foreign = "".join(chr(rng.randrange(0x3B1, 0x3C9)) if rng.random() > 0.2 else " " for _ in range(2000))
+    rows += [(100, foreign, None, "a"), (101, "the house", None, "a"), (102, "1 2 3 !", "en", "a"), (103, None, "en", "a")]
+    rows += [(104, foreign + " " + " ".join(rng.choices(words, k=4000)), None, None)]
+    kept = {r["doc_id"]: r for r in readable_documents(documents(spark, rows)).collect()}
+    # A short text stays, as does one that is mostly in a known language.
+    assert set(kept) == {*range(60), 101, 104}
+    assert all(kept[i]["text"] == t and kept[i]["source"] == s for i, t, _, s in rows if i in kept)
