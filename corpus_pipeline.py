@@ -19,7 +19,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_readable(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be determined stay: those with a letter in their text."""
+    """Documents whose language can be determined stay: those with a letter that some mixture of the
+    learned languages explains."""
     return language.readable_documents(docs)
 
 
