@@ -9,6 +9,10 @@ A full outer join is put together from an inner join and the unmatched rows of e
   partition of the rows.
 
 Both parts shuffle the same rows by the same key, so Spark runs that shuffle once and reuses it.
+
+AQE judges partitions by bytes, but a few thousand rows of one key on both sides are millions of pairs.
+Keys with more pairs than a task should form are therefore counted beforehand and joined in blocks of
+rows (``block_pairs``): the pairs are the same, but no task has more than a few blocks of them.
 """
 
 from __future__ import annotations
@@ -17,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import written
+
 KEY, TAG = "_key", "_tag"
 ID = [KEY, TAG]
 
@@ -24,6 +30,12 @@ ID = [KEY, TAG]
 # between shuffle and join, and AQE only splits a join that reads its shuffles directly.
 _COPIES = 8
 
+# Rows of one key in a block. A key with more pairs than two blocks have is joined block by block.
+_BLOCK = 2048
+_BLOCKS = ["_left_block", "_right_block"]
+# Tasks that join blocks: one per pair of blocks, up to this many.
+_BLOCK_TASKS = 20_000
+
 
 def _common_type(left: T.DataType, right: T.DataType) -> str:
     """The type in which two key columns are compared. Text and numbers have none in common."""
@@ -66,7 +78,21 @@ def plain_key() -> Column:
 
 
 def full_outer(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Full outer join of two tagged frames. Their other columns must have different names."""
+    """Full outer join of two tagged frames. Their other columns must have different names.
+
+    Counts the rows per key first, in a job of its own that reads the keys only.
+    """
+    crowded = written(crowded_keys(left, right), "crowded-keys")
+    products = [F.col(f"{b}s").cast("double") for b in _BLOCKS]
+    blocks = crowded.agg(F.sum(products[0] * products[1])).head()[0]
+    if blocks is None:
+        return _outer(left, right)
+    rest = [side.join(crowded, ID, "left_anti") for side in (left, right)]
+    found = block_pairs(left, right, crowded, int(min(blocks, _BLOCK_TASKS)))
+    return _outer(*rest).unionByName(found, allowMissingColumns=True)
+
+
+def _outer(left: DataFrame, right: DataFrame) -> DataFrame:
     pairs = left.join(right, ID)
     left_only, right_only = anti(left, right), anti(right, left)
     return pairs.unionByName(left_only, allowMissingColumns=True).unionByName(
@@ -74,6 +100,36 @@ def full_outer(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def crowded_keys(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Keys of tagged frames with more pairs than two blocks of rows have, and into how many blocks
+    their rows are to be cut on either side."""
+    one, none = F.lit(1), F.lit(0)
+    keys = left.select(*ID, one.alias("_l"), none.alias("_r")).union(right.select(*ID, none, one))
+    counted = keys.groupBy(*ID).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    blocks = [F.ceil(F.col(n) / _BLOCK).alias(f"{b}s") for n, b in zip(("_l", "_r"), _BLOCKS)]
+    return counted.filter(F.col("_l").cast("double") * F.col("_r") > float(_BLOCK**2)).select(*ID, *blocks)
+
+
+def block_pairs(left: DataFrame, right: DataFrame, crowded: DataFrame, tasks: int) -> DataFrame:
+    """Inner join of tagged frames on the ``crowded`` keys. Every row is copied for each block of the
+    other side, and each pair of blocks is joined by itself."""
+    sides = zip((left, right), _BLOCKS, reversed(_BLOCKS))
+    cut = [_in_blocks(side, crowded, own, other).repartition(tasks, *ID, *_BLOCKS) for side, own, other in sides]
+    # Estimates do not see the copies, so a side would be broadcast that is too large for it.
+    return cut[0].join(cut[1].hint("merge"), [*ID, *_BLOCKS]).drop(*_BLOCKS)
+
+
+def _in_blocks(side: DataFrame, crowded: DataFrame, own: str, other: str) -> DataFrame:
+    """The block of a row is a hash of its place in a written table: as even for copies of one row as
+    for others, and the same when a lost task is run again."""
+    rows = written(side.join(crowded, ID), "crowded-rows").withColumn("_place", F.monotonically_increasing_id())
+    return rows.select(
+        *side.columns,
+        F.pmod(F.xxhash64("_place"), F.col(f"{own}s")).alias(own),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}s") - 1)).alias(other),
+    )
+
+
 def anti(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of tagged ``left`` whose key does not occur in tagged ``right``."""
     copy = (F.spark_partition_id() % _COPIES).alias("_copy")

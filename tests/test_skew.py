@@ -143,3 +143,33 @@ def test_null_keys_argument_is_checked(spark):
     df = spark.createDataFrame([("A", 1)], "k STRING, v INT")
     with pytest.raises(ValueError, match="sometimes"):
         skew.tag_keys(df, df, "k", "k", "sometimes")
+
+
+@pytest.mark.parametrize("mode", ["match", "never"])
+def test_pairs_of_crowded_keys_are_cut_into_blocks(spark, monkeypatch, mode):
+    """Rows of few bytes, copies among them: AQE sees nothing to split, yet no task has most of the pairs."""
+    monkeypatch.setattr(skew, "_BLOCK", 16)
+    left = spark.range(0, 400, 1, 3).select(
+        F.when(F.col("id") < 200, None).when(F.col("id") < 300, "A").otherwise(F.concat(F.lit("L"), "id")).alias("k"),
+        F.when(F.col("id") < 150, 0).otherwise(F.col("id")).alias("l"),
+    )
+    right = spark.range(0, 400, 1, 3).select(
+        F.when(F.col("id") < 150, None).when(F.col("id") < 152, "A").when(F.col("id") < 155, "")
+        .otherwise(F.concat(F.lit("L"), "id")).alias("k"),
+        F.when(F.col("id") < 100, 0).otherwise(F.col("id")).alias("r"),
+    )
+    a, b = skew.tag_keys(left, right, "k", "k", mode)
+    found = skew.full_outer(a, b).select(*skew.ID, "l", "r")
+    rows = records(found.withColumn("task", F.spark_partition_id()))
+    want = a.join(b, skew.ID, "full").select(*skew.ID, "l", "r")
+    assert Counter((*(r[c] for c in found.columns),) for r in rows) == Counter(map(tuple, want.collect()))
+    sizes = Counter(r["task"] for r in rows)
+    assert mode == "never" or max(sizes.values()) < 200 * 150 / 8
+
+
+def test_no_key_is_crowded_if_its_pairs_fit_two_blocks(spark, monkeypatch):
+    monkeypatch.setattr(skew, "_BLOCK", 10)
+    left = spark.createDataFrame([("A",)] * 100 + [("B",)] * 101 + [("C",)] * 900, "k STRING")
+    right = spark.createDataFrame([("A",), ("B",), ("D",)], "k STRING")
+    found = skew.crowded_keys(*skew.tag_keys(left, right, "k", "k", "match"))
+    assert [tuple(r) for r in found.collect()] == [("B", 0, 11, 1)]
