@@ -29,8 +29,11 @@ ROUNDS = 12
 PENALTY = 3.0
 UNDETERMINED = "und"
 LETTER = r"\p{L}"
-# Documents worked on together, and bytes of their texts where whole rows are passed on.
-TOGETHER, TEXT_TOGETHER = 1000, 2 << 20
+# Documents predicted together.
+TOGETHER = 1000
+# Documents and bytes of text worked on together where a model is learned or whole rows are passed on:
+# arrays of documents x BUCKETS stay at 2 MB, beside rows that wait in the same worker.
+FEW, FEW_BYTES = 128, 1 << 19
 
 # Letters stay, every other ASCII byte separates words, bytes of other characters stay as they are.
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -68,9 +71,9 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tu
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
-            for part in slices(batch, "text"):
-                for at in range(0, part.num_rows, TOGETHER):
-                    some = part.slice(at, TOGETHER)
+            for part in slices(batch, "text", FEW_BYTES):
+                for at in range(0, part.num_rows, FEW):
+                    some = part.slice(at, FEW)
                     counts = trigram_counts(some.column("text"))
                     names = np.array(some.column("lang").to_pylist(), object)
                     for name in set(names.tolist()):
@@ -210,6 +213,15 @@ def unlike_all(counts: np.ndarray, probs: np.ndarray) -> np.ndarray:
     return even - _fit(counts, probs, mix) > PENALTY * np.log(np.maximum(total, 2))
 
 
+def explained(texts: pa.Array, probs: np.ndarray) -> np.ndarray:
+    """Per text whether some mixture of the languages explains it."""
+    stay = [np.zeros(0, bool)]
+    for at in range(0, len(texts), FEW):
+        lowered = pc.utf8_lower(texts.slice(at, FEW))
+        stay.append(~unlike_all(trigram_counts(pc.binary_join_element_wise(" ", lowered, " ", "")), probs))
+    return np.concatenate(stay)
+
+
 def readable_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` without those whose language cannot be determined, all columns as they are: texts without
     a letter go, and texts that no mixture of the learned languages explains (``unlike_all``), such as
@@ -223,12 +235,7 @@ def readable_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text_col, TEXT_TOGETHER):
-                stay = []
-                for at in range(0, part.num_rows, TOGETHER):
-                    lowered = pc.utf8_lower(part.column(text_col).slice(at, TOGETHER))
-                    counts = trigram_counts(pc.binary_join_element_wise(" ", lowered, " ", ""))
-                    stay.append(~unlike_all(counts, model.value))
-                yield part.filter(pa.array(np.concatenate(stay)))
+            for part in slices(batch, text_col, FEW_BYTES):
+                yield part.filter(pa.array(explained(part.column(text_col), model.value)))
 
     return lettered.mapInArrow(keep, docs.schema)

@@ -1,12 +1,14 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_rows import MESSY, documents, messy, nothing, records  # noqa: F401
 from pyspark.sql import functions as F
 
 from sparkrecon.llm.common import remainder
-from sparkrecon.llm.language import BUCKETS, _expect, _fit, held_out, identify, infer, learn, predict, readable_documents
+from sparkrecon.llm.language import BUCKETS, _expect, _fit, explained, held_out, identify, infer, learn, predict, readable_documents
 
 
 def test_remainder_is_crc32_of_the_id(spark):
@@ -108,3 +110,17 @@ def test_the_stage_drops_what_no_mixture_explains(spark):
     # A short text stays, as does one that is mostly in a known language.
     assert set(kept) == {*range(60), 101, 104}
     assert all(kept[i]["text"] == t and kept[i]["source"] == s for i, t, _, s in rows if i in kept)
+
+
+def test_whole_rows_are_filtered_in_little_memory():
+    """Beside waiting rows, 1000 short texts at a time took arrays of 16 and 32 MB in every worker."""
+    texts = pa.array([f"some short text number {i}" if i % 3 else "\u4e2d\u6587" * 40 for i in range(1500)])
+    drawn = np.random.default_rng(1).random((6, BUCKETS))
+    probs = drawn / drawn.sum(axis=1, keepdims=True)
+    tracemalloc.start()
+    found = explained(texts, probs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 << 20
+    alone = np.concatenate([explained(texts.slice(i, 1), probs) for i in range(len(texts))])
+    assert found.tolist() == alone.tolist() and len(explained(texts.slice(0, 0), probs)) == 0
