@@ -46,6 +46,8 @@ BLOCK, PARTITION = 6 << 20, 12 << 20
 SAMPLED, FREQUENT = 50, 0.25
 CONCENTRATION = 1.0
 BURN_IN, SAMPLES = 1, 2
+# The side of messages that only the driver reads.
+SUMS = 2
 
 
 def _pack(value: object) -> bytes:
@@ -71,18 +73,25 @@ def _same(key: int) -> int:
 
 def _dealt(messages: RDD, parts: int, side: int = 0) -> RDD:
     """The messages in the partitions they are for, marked with a side. RDDs dealt alike can be united
-    partition by partition, so one worker reads both sides straight from their shuffles."""
-    return messages.mapPartitions(lambda it: ((k, (side, v)) for k, v in it)).partitionBy(parts, _same)
+    partition by partition, so one worker reads both sides straight from their shuffles. Sums among them
+    are a side of their own, for the driver."""
+    marked = messages.mapPartitions(lambda it: ((k, (SUMS if isinstance(v, Sums) else side, v)) for k, v in it))
+    return marked.partitionBy(parts, _same)
+
+
+def _told(dealt: RDD) -> Sums:
+    """The sums among the messages, added up."""
+    return dealt.mapPartitions(lambda it: (v for _, (side, v) in it if side == SUMS)).treeReduce(Sums.plus)
 
 
 def _work(dealt: RDD, run) -> RDD:
     """``run`` over each partition's (messages of side 0, messages of side 1)."""
 
     def both(messages: Iterable[tuple[int, tuple[int, bytes]]]) -> Iterator:
-        sides: tuple[list, list] = ([], [])
+        sides: tuple[list, list, list] = ([], [], [])
         for _, (side, message) in messages:
             sides[side].append(message)
-        return run([sides])
+        return run([sides[:SUMS]])
 
     return dealt.mapPartitions(both)
 
@@ -127,9 +136,10 @@ def _messages(block: int, rows: list[tuple], parts: int, heavy: np.ndarray) -> I
         often = np.isin(context, heavy)
         to[often] = mixed(context[often] ^ mixed(word[often])) % np.uint64(parts)
     yield block % parts, _pack(("docs", block, ids, held, np.bincount(doc, minlength=len(ids))))
-    to = to.astype(np.uint32)
+    # Numbers of two bytes are put in order without comparisons.
+    to = to.astype(np.min_scalar_type(parts))
     order = np.argsort(to, kind="stable").astype(np.int32)
-    bounds = np.searchsorted(to[order], np.arange(parts + 1, dtype=np.uint32))
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(to, minlength=parts))])
     for pid in np.flatnonzero(np.diff(bounds)):
         at = order[bounds[pid] : bounds[pid + 1]]
         yield int(pid), _pairs(block, context[at], word[at], doc[at], held)
@@ -139,11 +149,15 @@ def _pairs(block: int, context: np.ndarray, word: np.ndarray, doc: np.ndarray, h
     contexts, u = np.unique(context, return_inverse=True)
     words, w = np.unique(word, return_inverse=True)
     pair = u.astype(np.int64) * len(words) + w
-    order = np.argsort(pair, kind="stable")  # texts stay in order within a pair
-    pair, first = np.unique(pair[order], return_index=True)
-    times = np.diff(np.append(first, len(order)))
+    if len(contexts) * len(words) * len(held) < 1 << 62:
+        pair, doc = np.divmod(np.sort(pair * len(held) + doc), len(held))  # pair and text as one number
+    else:
+        order = np.argsort(pair, kind="stable")  # texts stay in order within a pair
+        pair, doc = pair[order], doc[order]
+    first = np.flatnonzero(np.diff(pair, prepend=-1))
+    pair, times = pair[first], np.diff(np.append(first, len(doc)))
     return _pack(
-        ("pairs", block, _deltas(contexts), _deltas(words), _small(_deltas(pair)), _small(times), _small(doc[order]), np.packbits(~held))
+        ("pairs", block, _deltas(contexts), _deltas(words), _small(_deltas(pair)), _small(times), _small(doc), np.packbits(~held))
     )
 
 
@@ -169,8 +183,8 @@ class Part:
     def owners(self, parts: int) -> tuple[np.ndarray, np.ndarray]:
         """The words in the order of their owners, and where each owner's begin."""
         to = mixed(self.words + np.uint64(1)) % np.uint64(parts)
-        order = np.argsort(to, kind="stable")
-        return order, np.searchsorted(to[order], np.arange(parts + 1, dtype=np.uint64))
+        to = to.astype(np.min_scalar_type(parts))
+        return np.argsort(to, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(to, minlength=parts))])
 
 
 def _load(messages: list[bytes], scoring: bool = False) -> Part:
@@ -406,25 +420,27 @@ def _owner(asked: list[bytes], sent: list[bytes], sums: Sums | None, seed: int):
     return counts, tables, parent_tables, per_sender, [m for m in extra if m[0] == "own"]
 
 
-def _sums_of(sums: Sums | None, seed: int):
-    def add(pairs: Iterable[tuple[list[bytes], list[bytes]]]) -> Iterator[Sums]:
-        for asked, sent in pairs:
-            counts, tables, parent_tables, _, own = _owner(asked, sent, sums, seed)
-            found = Sums(
-                tokens=int(counts.sum()), vocabulary=int((counts > 0).sum()), tables=int(tables.sum()),
-                once=int((tables == 1).sum()), twice=int((tables == 2).sum()), parent_tables=int(parent_tables.sum()),
-            )
-            for message in own:
-                found = found.plus(message[3])
-            yield found
+def _owned(counts: np.ndarray, tables: np.ndarray, parent_tables: np.ndarray, own: list) -> Sums:
+    found = Sums(
+        tokens=int(counts.sum()), vocabulary=int((counts > 0).sum()), tables=int(tables.sum()),
+        once=int((tables == 1).sum()), twice=int((tables == 2).sum()), parent_tables=int(parent_tables.sum()),
+    )
+    for message in own:
+        found = found.plus(message[3])
+    return found
+
 
-    return add
+def _first_sums(pairs: Iterable[tuple[list[bytes], list[bytes]]]) -> Iterator[Sums]:
+    for asked, sent in pairs:
+        counts, tables, parent_tables, _, own = _owner(asked, sent, None, 0)
+        yield _owned(counts, tables, parent_tables, own)
 
 
 def _reply(sums: Sums, seed: int):
-    """The owner's answers to the partitions that asked for its words; their own state goes back too."""
+    """The owner's answers to the partitions that asked for its words; their own state goes back too, and
+    with it the sums, so that the parent's tables are drawn once a turn."""
 
-    def reply(pairs: Iterable[tuple[list[bytes], list[bytes]]]) -> Iterator[tuple[int, bytes]]:
+    def reply(pairs: Iterable[tuple[list[bytes], list[bytes]]]) -> Iterator[tuple[int, bytes | Sums]]:
         me = TaskContext.get().partitionId()
         for asked, sent in pairs:
             counts, tables, parent_tables, per_sender, own = _owner(asked, sent, sums, seed)
@@ -432,6 +448,7 @@ def _reply(sums: Sums, seed: int):
                 yield sender, _pack(("words", me, _small(counts[at]), _small(tables[at]), _small(parent_tables[at])))
             for message in own:
                 yield me, _pack(("own", me, message[2]))
+            yield me, _owned(counts, tables, parent_tables, own)
 
     return reply
 
@@ -586,11 +603,10 @@ def score_documents(
     asked = _dealt(_work(blocks, _ask(parts, heavy)), parts)
     # The first numbers only need what was asked; each further round needs its own messages.
     view, state = asked, None
-    sums = _work(view, _sums_of(None, seed)).treeReduce(Sums.plus)
+    sums = _work(view, _first_sums).treeReduce(Sums.plus)
     for turn in range(burn_in + samples):
-        drawn = _work(view, _sums_of(sums, seed + turn)).treeReduce(Sums.plus)
         replies = _dealt(_work(view, _reply(sums, seed + turn)), parts, 1)
-        state, sums = blocks.union(replies), drawn
+        state, sums = blocks.union(replies), _told(replies)
         if turn == burn_in + samples - 1:
             break
         messages = _work(state, _sweep(parts, heavy, sums, seed + turn, keep=turn >= burn_in))

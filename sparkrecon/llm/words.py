@@ -31,12 +31,13 @@ def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
     words = pc.ascii_trim_whitespace(coded.dictionary)
     if lower:
         words = pc.ascii_lower(words)
-    known = words.to_pylist()
-    if not known:
+    if not len(words):
         return np.zeros(0, np.uint64), np.zeros(len(starts), np.int64)
-    each = pd.util.hash_array(np.array(known, object), categorize=False)
-    blank = np.fromiter((not w for w in known), bool, len(known))
+    each = pd.util.hash_array(words.to_numpy(zero_copy_only=False), categorize=False)
+    blank = pc.binary_length(words).to_numpy() == 0
     at = coded.indices.to_numpy()
+    if not blank.any():
+        return each[at], starts
     real = ~blank[at]
     return each[at[real]], np.concatenate([[0], np.cumsum(real)])[starts]
 

@@ -183,3 +183,16 @@ def test_a_frequent_pair_follows_the_parent_in_one_sweep(monkeypatch):
         parent = pitman_yor._parent(sums, np.array([120]), np.array([1]))[0]
         mean, deviation = _tables_by_counting(docs, (1 + d * (before + 40)) * parent, d)
         assert np.mean(tables) == pytest.approx(mean, abs=5 * deviation / math.sqrt(30))
+
+
+def test_sums_travel_with_the_replies(spark):
+    """One pass per turn draws the parent's tables: what it answers and its sums are of one draw."""
+    rows = [(0, [0]), (1, [1])]
+    messages = spark.sparkContext.parallelize(rows, 2).flatMap(
+        lambda r: [(r[0], b"to me"), (1 - r[0], b"to the other"), (r[0], pitman_yor.Sums(tokens=5 + r[0], heavy={7: (1, 1)}))]
+    )
+    dealt = pitman_yor._dealt(messages, 2, 1)
+    found = pitman_yor._told(dealt)
+    assert found.tokens == 11 and found.heavy == {7: (2, 2)}
+    seen = pitman_yor._work(dealt, lambda sides: iter([(len(a), sorted(b)) for a, b in sides])).collect()
+    assert seen == [(0, [b"to me", b"to the other"])] * 2
