@@ -13,9 +13,10 @@ neighbours needs. Vectors without structure need a large part of the table, clus
 
 Scale: trees are fitted on the driver from at most ``SAMPLE_NUMBERS`` numbers of each number of dimensions;
 what it learns of the table is one count per leaf, at most the sample's rows / ``LEAST`` of them per tree.
-Equal vectors are one class, so copies cannot fill a leaf. A leaf meets its queries in blocks, every block
-of vectors with every block of queries, each of them copied as often as the other side has blocks, so no
-task sees more than two blocks. With more vectors than the sample's rows / ``LEAST`` * ``LEAF`` (8 million at
+Equal vectors are one class, so copies cannot fill a leaf. Queries are held in blocks of about ``ASKING``,
+those of near leaves together; a task holds one block and the vectors of the leaves that it visits (a
+``GROUPS``-th of them) go by, leaf after leaf. What it returns is the best of each query over all these
+leaves, ``GROUPS`` times ``k`` + 1 rows of a query however many leaves it visits. With more vectors than the sample's rows / ``LEAST`` * ``LEAF`` (8 million at
 64 dimensions) leaves grow, not their number.
 """
 
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import written
+from .words import mixed
 
 NEAREST = 20
 TREES = 4
@@ -40,6 +42,8 @@ SAMPLE_NUMBERS, SAMPLE, LEAF, LEAST = 1 << 22, 65_536, 1_024, 8
 # neighbours that it has to find.
 TRIED, RECALL = 256, 0.95
 BLOCK = 2_048
+# Queries of a task, about, and tasks that share the leaves of such a block.
+ASKING, GROUPS = 4_096, 8
 # Products of blocks are off by less than this share of the lengths; what is nearer than that is kept.
 NEAR = 1e-9
 # Sampled vectors that a plane is fitted to, rounds of that, and the least share on either side.
@@ -240,6 +244,73 @@ def _by_width(part: pd.DataFrame) -> Iterator[tuple[int, pd.DataFrame, np.ndarra
         yield int(d), group, np.array(group["v"].tolist(), np.float64)
 
 
+class Asking:
+    """The queries of a task, the leaves they visit, and the best vectors met so far."""
+
+    def __init__(self, part: pd.DataFrame, k: int):
+        self.q, self.x = part["id"].to_numpy(), np.stack(part["v"].to_numpy()).astype(np.float64)
+        leaves = part["leaves"].to_numpy()
+        row, leaf = np.repeat(np.arange(len(part)), [len(x) for x in leaves]), np.concatenate(leaves)
+        order = np.argsort(leaf, kind="stable")
+        self.row, self.leaf = row[order], leaf[order]
+        self.score = np.full((len(part), k), -np.inf)
+        self.cls, self.first = np.full((len(part), k), -1, np.int64), np.full((len(part), k), np.inf)
+
+    def meet(self, leaf: int, x: np.ndarray, cls: np.ndarray, first: np.ndarray) -> None:
+        rows = self.row[slice(*np.searchsorted(self.leaf, [leaf, leaf + 1]))]
+        k = self.score.shape[1]
+        for at in range(0, len(rows), BLOCK):
+            some = rows[at : at + BLOCK]
+            i, j, score = best(self.x[some], x, first, k)
+            i = some[i]
+            chosen = score >= self.score[i, -1]
+            if not chosen.any():
+                continue
+            i, j, score = i[chosen], j[chosen], score[chosen]
+            touched = np.unique(i)
+            # What is known and what is new, best first; a class is met once per tree that leads to it.
+            i, score = np.concatenate([np.repeat(touched, k), i]), np.concatenate([self.score[touched].ravel(), score])
+            c, f = np.concatenate([self.cls[touched].ravel(), cls[j]]), np.concatenate([self.first[touched].ravel(), first[j]])
+            order = np.lexsort((c, f, -score, i))
+            i, score, c, f = i[order], score[order], c[order], f[order]
+            once = np.append(True, (i[1:] != i[:-1]) | (c[1:] != c[:-1]) | (c[1:] < 0))
+            i, score, c, f = i[once], score[once], c[once], f[once]
+            rank = np.arange(len(i)) - np.searchsorted(i, i)
+            i, rank, score, c, f = (a[rank < k] for a in (i, rank, score, c, f))
+            self.score[i, rank], self.cls[i, rank], self.first[i, rank] = score, c, f
+
+    def found(self) -> pd.DataFrame:
+        i, at = np.nonzero(self.cls >= 0)
+        return pd.DataFrame({"q": self.q[i], "cls": self.cls[i, at], "score": self.score[i, at]})
+
+
+def _ranked(k: int):
+    """Rows of cells one after the other, of each its queries (leaf -1), then its vectors leaf by leaf, to
+    the ``k`` best of every query of a cell: q, cls, score."""
+
+    def ranked(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cell, asking, waiting = None, None, []
+        for part in parts:
+            for (*here, leaf), run in part.groupby(["d", "q_block", "grp", "leaf"], sort=True):
+                if here != cell:
+                    if asking is not None:
+                        yield asking.found()
+                    cell, asking, waiting = here, None, []
+                if leaf < 0:
+                    waiting.append(run)
+                    continue
+                if asking is None:
+                    asking, waiting = Asking(pd.concat(waiting), k), []
+                for at in range(0, len(run), BLOCK):
+                    some = run.iloc[at : at + BLOCK]
+                    first = some["first_id"].astype("Float64").fillna(np.inf).to_numpy(np.float64)
+                    asking.meet(leaf, np.stack(some["v"].to_numpy()).astype(np.float64), some["id"].to_numpy(), first)
+        if asking is not None:
+            yield asking.found()
+
+    return ranked
+
+
 def nearest(
     vectors: DataFrame,
     is_query: Column,
@@ -279,42 +350,45 @@ def nearest(
         counts[d][at] = n
     enough = {d: max(k + 1, _reach(indexed, d, f, counts[d], k, recall)) for d, f in forests.items()}
 
+    # Queries in the order of their leaves in the first tree, so that those of a block visit much the same.
+    homes = indexed.filter("asks").groupBy("d", F.get("leaf", F.lit(0)).alias("leaf")).agg(F.count(F.lit(1)).alias("n"))
+    here = {d: np.zeros(f[0].leaves, np.int64) for d, f in forests.items()}
+    for d, at, n in homes.collect():
+        here[d][at] = n
+    before = {d: np.cumsum(n) - n for d, n in here.items()}
+
     def visit(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for d, group, x in _by_width(part):
                 forest, scale, longest = forests[d]
-                yield group.assign(leaf=forest.search(_directions(x, scale, longest), counts[d], enough[d]))
+                home = group["leaf"].str[0].to_numpy(np.int64)
+                drawn = mixed(group["q"].to_numpy().astype(np.uint64)) % here[d][home].astype(np.uint64)
+                block = (before[d][home] + drawn.astype(np.int64)) // ASKING
+                yield group.assign(leaf=forest.search(_directions(x, scale, longest), counts[d], enough[d]), q_block=block)
 
-    asking = indexed.filter("asks").select("d", F.col("cls").alias("q"), "v")
-    schema = T.StructType([*asking.schema.fields, leaf_field])
+    asking = indexed.filter("asks").select("d", F.col("cls").alias("q"), "v", "leaf")
+    schema = T.StructType([*asking.schema.fields, T.StructField("q_block", T.LongType())])
     visits = written(asking.mapInPandas(visit, schema), "neighbour-visits")
-    visits = visits.select("d", "q", F.col("v").alias("qv"), F.explode("leaf").alias("leaf"))
-    asked = visits.groupBy("d", "leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("q_blocks"))
-    grid = written(
-        sizes.join(asked, ["d", "leaf"]).select("d", "leaf", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), "q_blocks"),
-        "neighbour-grid",
-    )
 
-    def dealt(df: DataFrame, own: str, other: str, number: str, names: tuple[str, str]) -> DataFrame:
-        # Both sides need the same types: a number is dealt to other partitions as an int than as a long.
-        each = df.join(grid, ["d", "leaf"]).withColumn(names[0], F.pmod(F.xxhash64(number), own).cast("int"))
-        return each.withColumn(names[1], F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("blocks", "q_blocks")
-
-    cell = ["d", "leaf", "block", "q_block"]
-    held = indexed.select("d", "cls", "first_id", "v", F.explode("leaf").alias("leaf"))
-    left = dealt(held, "blocks", "q_blocks", "cls", ("block", "q_block"))
-    right = dealt(visits, "q_blocks", "blocks", "q", ("q_block", "block"))
-
-    def rank(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        if not len(x) or not len(q):
-            return pd.DataFrame({"q": [], "cls": [], "score": []}).astype({"q": "int64", "cls": "int64", "score": "float64"})
-        first = x["first_id"].astype("Float64").fillna(np.inf).to_numpy(np.float64)
-        i, j, score = best(
-            np.array(q["qv"].tolist(), np.float64), np.array(x["v"].tolist(), np.float64), first, k + 1
-        )
-        return pd.DataFrame({"q": q["q"].to_numpy()[i], "cls": x["cls"].to_numpy()[j], "score": score})
-
-    met = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(rank, "q long, cls long, score double")
+    def reached(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for (d, block), group in part.groupby(["d", "q_block"]):
+                yield pd.DataFrame({"leaf": np.unique(np.concatenate(group["leaf"].to_numpy()))}).assign(d=d, q_block=block)
+
+    grid = visits.select("d", "q_block", "leaf").mapInPandas(reached, "leaf long, d int, q_block long").distinct()
+    grid = written(grid, "neighbour-grid")
+    held = indexed.select("d", "cls", "first_id", "v", F.explode("leaf").alias("leaf")).join(grid, ["d", "leaf"])
+    cell = ["d", "q_block", "grp"]
+    passing = held.select(
+        "d", "q_block", (F.col("leaf") % GROUPS).alias("grp"), "leaf", F.col("cls").alias("id"), "first_id", "v",
+        F.lit(None).cast("array<long>").alias("leaves"),
+    )
+    waiting = visits.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(GROUPS - 1)).cast("array<long>"))).select(
+        *cell, F.lit(-1).cast("long").alias("leaf"), F.col("q").alias("id"), F.lit(None).cast("long").alias("first_id"), "v",
+        F.filter("leaf", lambda x: x % GROUPS == F.col("grp")).alias("leaves"),
+    )
+    dealt = passing.unionByName(waiting).repartition(*cell).sortWithinPartitions(*cell, "leaf")
+    met = dealt.mapInPandas(_ranked(k + 1), "q long, cls long, score double")
     # A class is met once per tree that leads to it. The k + 1 best classes hold the k + 1 best ids.
     met = met.groupBy("q", "cls").agg(F.max("score").alias("score"))
     ids = members.join(classes.select("key", "cls"), "key").select("cls", "vec_id", "copy")

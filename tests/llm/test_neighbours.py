@@ -2,13 +2,14 @@ import math
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import SMALL
 from llm_rows import records
 from pyspark.sql import functions as F
 
 from sparkrecon.llm import neighbours
-from sparkrecon.llm.neighbours import Forest, best, nearest
+from sparkrecon.llm.neighbours import Forest, _ranked, best, nearest
 from sparkrecon.llm.queries import op12_neighbour_forest
 
 SCHEMA = "vec_id LONG, embedding ARRAY<FLOAT>, label INT, q STRING, cls STRING, v STRING, leaf STRING, score STRING, rank INT"
@@ -127,3 +128,23 @@ def test_best_breaks_ties_by_first():
     q, x = np.array([[1.0, 0]]), np.array([[1.0, 5], [1, 7], [2, 0], [1, 1]])
     i, j, score = best(q, x, np.array([9.0, 3, 5, np.inf]), 3)
     assert j.tolist() == [2, 1, 0] and score.tolist() == [2, 1, 1] and i.tolist() == [0, 0, 0]
+
+
+def test_a_query_returns_its_best_over_all_leaves_of_a_task():
+    """Not its best of every leaf: rows do not grow with the leaves that it visits."""
+    rng = np.random.default_rng(3)
+    x, q, k, leaves = rng.normal(size=(600, 5)), rng.normal(size=(7, 5)), 4, 30
+    x[300:320] = x[:20]  # classes tied in score
+    leaf = rng.integers(leaves, size=(600, 2)) + [0, leaves]  # of two trees
+    rows = []
+    for block in (0, 1):
+        rows += [(3, block, 0, -1, 9000 + i, None, v, np.arange(2 * leaves)) for i, v in enumerate(q)]
+        met = [(3, block, 0, leaf[i, t], i, None if i == 5 else 2 * i, x[i], None) for i in range(600) for t in (0, 1)]
+        rows += sorted(met, key=lambda r: r[3])
+    part = pd.DataFrame(rows, columns=["d", "q_block", "grp", "leaf", "id", "first_id", "v", "leaves"])
+    for size in (10_000, 97, 3):
+        found = pd.concat(_ranked(k)(part.iloc[at : at + size] for at in range(0, len(part), size)))
+        assert len(found) == 2 * len(q) * k
+        for i, of in found.iloc[: len(q) * k].groupby("q"):
+            score = (q[i - 9000] * x).sum(axis=1)
+            assert of["cls"].tolist() == sorted(range(600), key=lambda j: (-score[j], j if j != 5 else 1e9))[:k]
