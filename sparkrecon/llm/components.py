@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 from ..sources.tables import written
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has either larger neighbours only or one smaller neighbour only."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("smaller"), F.lit(0).alias("larger")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("smaller"), F.lit(1).alias("larger"))
+    )
+    both = ends.groupBy("node").agg(F.sum("smaller").alias("smaller"), F.max("larger").alias("larger"))
+    return both.filter("smaller + larger > 1").isEmpty()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -22,8 +27,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     pair = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), F.col(a), F.col(b))
     pair = pair.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v")))
     now = written(pair.select("u", "v").distinct(), "component-edges")
-    state = _state(now)
-    while state[0]:
+    while not _stars(now):
         # Large star: every larger neighbour of a node goes to the smallest node around it.
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "component-lowest")
@@ -33,8 +37,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         lowest = written(large.groupBy("u").agg(F.min("v").alias("m")), "component-lowest")
         smaller = large.join(lowest, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = written(smaller.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct(), "component-edges")
-        last, state = state, _state(now)
-        if state == last:
-            break
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -13,9 +13,10 @@ only; components of what was linked are formed, and only buckets that still hold
 are looked at again, with other centres. So a group of thousands of near copies costs about one
 comparison per member and round. What is left are mostly texts that share a passage and are otherwise
 different: of them the pairs across components are formed, each under the smallest key that its texts
-share only. Pairs whose weights cannot give the similarity are left out, which loses nothing; sketches
-of the signatures (eight bits a coordinate) sort out pairs that are far from similar. The others are
-verified on the whole texts.
+share only. Pairs whose weights cannot give the similarity are left out, and so are those whose parities
+differ in more bits than the runs of texts so alike can (a run that only one of two texts has flips one
+bit), which loses nothing; sketches of the signatures (eight bits a coordinate) sort out long texts that
+are far from similar. The others, hardly more than the links, are verified on the whole texts.
 
 Equal texts are one class from the start: they are linked whatever their number.
 """
@@ -44,9 +45,16 @@ STAR_ROUNDS = 3
 # Bits in which the sketches of a pair at 0.8 differ: 102 on average, more than 200 with a probability
 # below 1e-6. A pair at 0.5 differs in 256 on average.
 SKETCH, MOST_DIFFERENT = 16, 200
+# Words of 64 bits of a text's parities.
+PARITY = 16
 # Bytes of text whose darts are thrown together.
 TOGETHER = 2 << 20
 
+# What is known of a text without reading it again. A column for each word, as a join whose condition
+# takes 32 words out of lists is too long for the compiler and ten times slower.
+WORDS = {"parity": PARITY, "sketch": SKETCH}
+PROFILE = ("weight", *[f"{name}{i}" for name, words in WORDS.items() for i in range(words)])
+
 # Ranks are cut into pieces: [0, 1/16), [1/16, 1/8) .. [1/2, 1), [1, 2), [2, 3) and so on.
 _STARTS = np.array([0, 1 / 16, 1 / 8, 1 / 4, 1 / 2])
 _SIZES = np.array([1 / 16, 1 / 16, 1 / 8, 1 / 4, 1 / 2])
@@ -96,13 +104,19 @@ def _throw(cells: np.ndarray, doc: np.ndarray, first: np.ndarray, upto: np.ndarr
         np.minimum.at(best.reshape(-1), doc[cell[at]] * k + coordinate, start + size * _uniform(value))
 
 
+def cells_of(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """One hash per cell of weight one. ``hashes`` are elements with repeats, ``doc`` their texts: an
+    element of weight w occurs w times, and its region is w cells."""
+    return mixed(hashes + occurrences(hashes, doc).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 def signatures(hashes: np.ndarray, doc: np.ndarray, texts: int, k: int) -> np.ndarray:
-    """texts x k ranks of the earliest darts; a text without an element has infinite ranks.
+    """texts x k ranks of the earliest darts; a text without an element has infinite ranks."""
+    return earliest(cells_of(hashes, doc), doc, texts, k)
 
-    ``hashes`` are elements with repeats, ``doc`` their texts: an element of weight w occurs w times,
-    and its region is w cells of weight one.
-    """
-    cells = mixed(hashes + occurrences(hashes, doc).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+def earliest(cells: np.ndarray, doc: np.ndarray, texts: int, k: int) -> np.ndarray:
+    """The signatures of texts with these cells."""
     weight = np.bincount(doc, minlength=texts)
     best = np.full((texts, k), np.inf)
     rank = (k * np.log(k) + 2 * k) / np.maximum(weight, 1)
@@ -131,12 +145,28 @@ def sketches(best: np.ndarray) -> np.ndarray:
     return (mixed(best.view(np.uint64)) >> np.uint64(56)).astype(np.uint8).view(np.int64).reshape(len(best), SKETCH)
 
 
-def _alike(a: str, b: str) -> Column:
-    """Whether the sketches of two texts differ in few enough bits."""
+def parities(cells: np.ndarray, doc: np.ndarray, texts: int) -> np.ndarray:
+    """texts x PARITY words: for each bit whether an odd number of the text's cells fall on it. Those of
+    two texts differ in at most as many bits as there are cells that only one of the texts has."""
+    bits = np.zeros(texts * PARITY * 64, np.uint8)
+    at = doc.astype(np.int64) * (PARITY * 64) + (mixed(cells) % np.uint64(PARITY * 64)).astype(np.int64)
+    np.bitwise_xor.at(bits, at, np.uint8(1))
+    return np.packbits(bits).view(np.int64).reshape(texts, PARITY)
+
+
+def _different(name: str) -> Column:
+    """In how many bits the words of two texts differ."""
     different = F.lit(0)
-    for i in range(SKETCH):
-        different += F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))))
-    return different <= MOST_DIFFERENT
+    for i in range(WORDS[name]):
+        different += F.bit_count(F.col(f"{name}{i}").bitwiseXOR(F.col(f"{name}{i}_b")))
+    return different
+
+
+def _alike(least: float) -> Column:
+    """Whether the parities and sketches of two texts differ in few enough bits. Of texts with v and w
+    runs, of which both have s, only one has d = v + w - 2 s; s / (s + d) is the similarity."""
+    most = (F.col("weight") + F.col("weight_b")) * F.lit((1 - least) / (1 + least)) + F.lit(0.001)
+    return (_different("parity") <= most) & (_different("sketch") <= MOST_DIFFERENT)
 
 
 def _near_weights(least: float) -> Column:
@@ -159,9 +189,14 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return both / whole if whole else 0.0
 
 
+def _lists(words: np.ndarray) -> pa.ListArray:
+    ends = pa.array(np.arange(len(words) + 1) * words.shape[1], pa.int32())
+    return pa.ListArray.from_arrays(ends, pa.array(words.ravel(), pa.int64()))
+
+
 def _signed(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """One row per document, written: doc_id, sha, row_no, keys (none for a text without words), sketch,
-    weight (its number of runs)."""
+    parity, weight (its number of runs)."""
     read = docs.select(F.col(id_col).alias("doc_id"), F.unhex(fingerprint(text_col)).alias("sha"), text_or_empty(text_col).alias("text"))
     kind = read.schema["doc_id"].dataType.simpleString()
 
@@ -169,20 +204,20 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFram
         for batch in batches:
             for part in slices(batch, "text", TOGETHER):
                 found, doc = shingles(*word_hashes(part.column("text")), width)
-                best = signatures(found, doc, part.num_rows, ROWS * BANDS)
+                cells = cells_of(found, doc)
+                best = earliest(cells, doc, part.num_rows, ROWS * BANDS)
                 empty = np.isinf(best[:, 0])
                 keys = band_keys(best)[~empty].ravel()
                 ends = np.concatenate([[0], np.cumsum(np.where(empty, 0, BANDS))])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys, pa.int64()))
-                words = pa.array(sketches(best).ravel(), pa.int64())
-                sketch = pa.ListArray.from_arrays(pa.array(np.arange(len(best) + 1) * SKETCH, pa.int32()), words)
+                sketch, parity = (_lists(x) for x in (sketches(best), parities(cells, doc, part.num_rows)))
                 weight = pa.array(np.bincount(doc, minlength=part.num_rows), pa.int64())
                 yield pa.record_batch(
-                    [part.column("doc_id"), part.column("sha"), lists, sketch, weight],
-                    names=["doc_id", "sha", "keys", "sketch", "weight"],
+                    [part.column("doc_id"), part.column("sha"), lists, sketch, parity, weight],
+                    names=["doc_id", "sha", "keys", "sketch", "parity", "weight"],
                 )
 
-    signed = read.mapInArrow(sign, f"doc_id {kind}, sha binary, keys array<long>, sketch array<long>, weight long")
+    signed = read.mapInArrow(sign, f"doc_id {kind}, sha binary, keys array<long>, sketch array<long>, parity array<long>, weight long")
     return written(signed.withColumn("row_no", F.monotonically_increasing_id()), "near-signatures")
 
 
@@ -230,19 +265,19 @@ def _star(buckets: DataFrame, profiles: DataFrame, turn: int, least: float) -> D
     centres = written(buckets.groupBy("key").agg(centre).select("key", "centre.*").toDF("key", "cls_b", "comp_b", "weight_b"), "near-centres")
     met = buckets.join(centres, "key").filter((F.col("comp") != F.col("comp_b")) & _near_weights(least))
     pairs = met.select(*_ordered(F.col("cls"), F.col("cls_b"))).distinct()
-    first = pairs.join(profiles.select(F.col("cls").alias("a"), "sketch"), "a")
-    both = first.join(profiles.select(F.col("cls").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-    return both.filter(_alike("sketch", "sketch_b")).select("a", "b")
+    first = pairs.join(profiles.withColumnRenamed("cls", "a"), "a")
+    other = profiles.select(F.col("cls").alias("b"), *[F.col(c).alias(f"{c}_b") for c in PROFILE])
+    return first.join(other, "b").filter(_alike(least)).select("a", "b")
 
 
 def _across(buckets: DataFrame, profiles: DataFrame, least: float) -> DataFrame:
-    """The pairs of a bucket whose members are in different components and have like weights and
-    sketches, each pair in one bucket only: that of the smallest key which both have."""
-    members = written(buckets.join(profiles, "cls"), "near-profiled")
-    other = members.select("key", *[F.col(c).alias(f"{c}_b") for c in ("cls", "comp", "weight", "sketch", "keys")])
+    """The pairs of a bucket whose members are in different components and have like weights, parities
+    and sketches, each pair in one bucket only: that of the smallest key which both have."""
+    members = written(buckets.join(profiles.drop("weight"), "cls"), "near-profiled")
+    other = members.select("key", *[F.col(c).alias(f"{c}_b") for c in ("cls", "comp", *PROFILE, "keys")])
     here = F.array_min(F.array_intersect("keys", "keys_b")) == F.col("key")
     met = members.join(other, "key").filter(
-        (F.col("comp") < F.col("comp_b")) & _near_weights(least) & _alike("sketch", "sketch_b") & here
+        (F.col("comp") < F.col("comp_b")) & _near_weights(least) & _alike(least) & here
     )
     return met.select(*_ordered(F.col("cls"), F.col("cls_b")))
 
@@ -256,21 +291,22 @@ def _open(members: DataFrame) -> DataFrame:
 def classes_and_roots(docs: DataFrame, id_col: str, text_col: str, least: float, width: int) -> tuple[DataFrame, DataFrame]:
     """(one row per document: doc_id, sha, row_no; one row per distinct text: sha, root)."""
     signed = _signed(docs, id_col, text_col, width)
-    first = [F.first(c).alias(c) for c in ("keys", "sketch", "weight")]
+    first = [F.first(c).alias(c) for c in ("keys", "weight", *WORDS)]
     classes = written(signed.groupBy("sha").agg(F.min("row_no").alias("cls"), *first), "near-classes")
     members = classes.select("cls", "weight", F.explode("keys").alias("key"))
     shared = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "near-shared")
     buckets = written(members.join(shared, "key").withColumn("comp", F.col("cls")), "near-buckets")
+    words = [F.get(name, F.lit(i)).alias(f"{name}{i}") for name in WORDS for i in range(WORDS[name])]
     wanted = written(
-        classes.join(buckets.select("cls").distinct(), "cls").select("cls", "sha", "sketch", "keys"), "near-wanted"
+        classes.join(buckets.select("cls").distinct(), "cls").select("cls", "sha", "weight", *words, "keys"), "near-wanted"
     )
     texts = _texts(docs, wanted.select("cls", "sha"), text_col)
     tested = roots = None
     for turn in range(STAR_ROUNDS + 1):
         if turn < STAR_ROUNDS:
-            pairs = _star(buckets, wanted.select("cls", "sketch"), turn, least)
+            pairs = _star(buckets, wanted.select("cls", *PROFILE), turn, least)
         else:
-            pairs = _across(buckets, wanted.select("cls", "sketch", "keys"), least)
+            pairs = _across(buckets, wanted.select("cls", *PROFILE, "keys"), least)
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         found = _verified(written(pairs, "near-pairs"), texts, least, width)

@@ -6,13 +6,16 @@ import pyarrow as pa
 import pytest
 from llm_rows import EXTRA, MESSY, documents, messy, nothing, records  # noqa: F401
 
+from sparkrecon.llm import near_dedup
 from sparkrecon.llm.near_dedup import (
     BANDS,
     MOST_DIFFERENT,
     ROWS,
     band_keys,
+    cells_of,
     distinct_documents,
     near_duplicates,
+    parities,
     signatures,
     sketches,
     weighted_shingles,
@@ -162,3 +165,35 @@ def test_signature_does_not_depend_on_company():
         assert (alone[0] == together[i]).all()
     assert np.isinf(together[1]).all() and (together[0] == together[5]).all()
     assert (band_keys(together)[0] == band_keys(together)[5]).all()
+
+
+def test_parities_differ_in_no_more_bits_than_runs():
+    rng = random.Random(5)
+    words = [f"p{rng.randrange(60)}" for _ in range(400)]
+    texts = pa.array([_edited(rng, words, n) for n in (0, 1, 4, 15, 40, 150)] + [" ".join(words[:50] * 3), "one", ""])
+    found, doc = shingles(*word_hashes(texts), 5)
+    bits = np.unpackbits(parities(cells_of(found, doc), doc, len(texts)).view(np.uint8), axis=1)
+    bags = [_bag(t) for t in texts.to_pylist()]
+    for a in range(len(bags)):
+        for b in range(len(bags)):
+            only = sum(((bags[a] - bags[b]) + (bags[b] - bags[a])).values())
+            assert only / 3 <= (bits[a] != bits[b]).sum() <= only
+
+
+def test_pairs_of_a_crowded_bucket_that_are_too_far_apart_are_not_verified(spark, monkeypatch):
+    """Edited copies of one text, most of them at 0.6 to 0.75 of one another, as near as sketches tell."""
+    rng = random.Random(3)
+    words = [f"e{i}" for i in range(150)]
+    rows = [(i, _edited(rng, words, 5), None, None) for i in range(150)]
+    tried = []
+
+    def counted(pairs, *rest):
+        tried.append(pairs.count())
+        return verified(pairs, *rest)
+
+    verified = near_dedup._verified
+    monkeypatch.setattr(near_dedup, "_verified", counted)
+    got, _ = _found(documents(spark, rows))
+    links = sum(similarity(_bag(rows[i][1]), _bag(rows[j][1])) >= 0.8 for i in range(150) for j in range(i))
+    assert got == _brute(rows) and len(got) > 1
+    assert sum(tried) <= 2 * links + 150
