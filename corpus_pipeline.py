@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from sparkrecon.llm import exact_dedup, language, mixing, near_dedup, packing
 from sparkrecon.sources.tables import written
 
+# Bytes of text that the packing stage encodes at a time, beside what the workers keep of earlier stages.
+TOGETHER = 2 << 20
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -41,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as token sequences of at most 4096 ids: where each piece lies."""
-    return packing.pack(packing.cut_documents(docs, public_tokenizers.path("word_bpe_49k.json")))
+    return packing.pack(packing.cut_documents(docs, public_tokenizers.path("word_bpe_49k.json"), together=TOGETHER))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import written
 from .common import parts_for, text_or_empty
-from .tokens import remembered_encoder, slices
+from .tokens import SLICE, remembered_encoder, slices
 
 LIMIT, BINS, DEPTH = 4096, 512, 3
 # Share of a sequence below which a piece is kept for filling gaps.
@@ -37,15 +37,16 @@ GROUP, SHARD = 50_000, 40_000
 
 def cut_documents(
     docs: DataFrame, path: str, limit: int = LIMIT, end_id: int = 1, trim: bool = True,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", together: int = SLICE,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32. Ids, then ``end_id``; longer ones are
-    cut after every ``limit`` ids. A null text is an empty one, that is, just the end."""
+    cut after every ``limit`` ids. A null text is an empty one, that is, just the end.
+    ``together`` bytes of text are worked on at a time."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = remembered_encoder(path, trim)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", together):
                 ids, sizes = encoder.encode(part.column("text"))
                 ids = np.insert(ids, np.cumsum(sizes), end_id).astype("<u4")
                 sizes = sizes + 1
