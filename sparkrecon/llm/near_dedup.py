@@ -47,8 +47,9 @@ STAR_ROUNDS = 3
 SKETCH, MOST_DIFFERENT = 16, 200
 # Words of 64 bits of a text's parities.
 PARITY = 16
-# Bytes of text whose darts are thrown together.
-TOGETHER = 2 << 20
+# Bytes of text that are signed or verified together, and pieces of cells at which darts are thrown at a
+# time: a short text has a thousand of them for each of its cells, so bytes alone do not bound them.
+TOGETHER, THROWN = 256 << 10, 1 << 17
 
 # What is known of a text without reading it again. A column for each word, as a join whose condition
 # takes 32 words out of lists is too long for the compiler and ten times slower.
@@ -85,6 +86,13 @@ def _uniform(hashes: np.ndarray) -> np.ndarray:
 
 def _throw(cells: np.ndarray, doc: np.ndarray, first: np.ndarray, upto: np.ndarray, best: np.ndarray) -> None:
     """Throw the darts of pieces ``first`` to ``upto`` (per text) at all cells; lower ``best`` in place."""
+    part = np.cumsum((upto - first)[doc]) // THROWN
+    starts = np.flatnonzero(np.diff(part, prepend=-1))
+    for a, b in zip(starts, [*starts[1:], len(cells)], strict=True):
+        _throw_at(cells[a:b], doc[a:b], first, upto, best)
+
+
+def _throw_at(cells: np.ndarray, doc: np.ndarray, first: np.ndarray, upto: np.ndarray, best: np.ndarray) -> None:
     k = best.shape[1]
     times = (upto - first)[doc]
     cell = np.repeat(np.arange(len(cells)), times)

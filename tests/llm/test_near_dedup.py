@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -167,6 +168,25 @@ def test_signature_does_not_depend_on_company():
     assert (band_keys(together)[0] == band_keys(together)[5]).all()
 
 
+def test_darts_at_short_texts_take_little_memory():
+    """A text of one word has a thousand pieces for its cell, a text of many words a few for each."""
+    texts = pa.array([f"w{i}" for i in range(4000)])
+    found, doc = shingles(*word_hashes(texts), 5)
+    tracemalloc.start()
+    best = signatures(found, doc, len(texts), ROWS * BANDS)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.isfinite(best).all() and peak < 64 << 20
+
+
+@pytest.mark.parametrize("thrown", [1, 700])
+def test_throwing_darts_a_few_at_a_time_changes_nothing(monkeypatch, thrown):
+    texts = pa.array(["a b c d e f g h", "", None, "a b c", "one", " ".join(f"x{i % 90}" for i in range(900))])
+    together = signatures(*shingles(*word_hashes(texts), 5), 6, ROWS * BANDS)
+    monkeypatch.setattr(near_dedup, "THROWN", thrown)
+    assert (signatures(*shingles(*word_hashes(texts), 5), 6, ROWS * BANDS) == together).all()
+
+
 def test_parities_differ_in_no_more_bits_than_runs():
     rng = random.Random(5)
     words = [f"p{rng.randrange(60)}" for _ in range(400)]
