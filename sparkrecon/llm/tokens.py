@@ -9,9 +9,11 @@ across a cut) go to the library whole.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +29,11 @@ _WIDE_SPACE = (
 )
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
-# Bytes of text looked at together, and pieces remembered per Python worker.
+# Bytes of text looked at together, pieces remembered per Python worker, and words given to the library as
+# one string.
 SLICE = 8 << 20
 REMEMBERED = 400_000
+JOINED = 256
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE) -> Iterator[pa.RecordBatch]:
@@ -69,11 +73,14 @@ class PieceEncoder:
     """Ids, or numbers of ids, of whole texts, by ``encode_many`` over distinct pieces.
 
     ``encode_many`` maps a list of strings to a list of id lists. ``trim`` drops the white space of
-    pieces, for tokenizers that ignore it.
+    pieces, for tokenizers that ignore it. ``encode_pieces``, if given, is used for the pieces; it
+    returns their ids in one array and the number of each. ``fold`` maps an array of pieces to one
+    of fewer different pieces with the same ids.
     """
 
-    def __init__(self, encode_many, trim: bool = False):
-        self._encode, self._trim = encode_many, trim
+    def __init__(self, encode_many, trim: bool = False, encode_pieces=None, fold=None):
+        self._encode, self._trim, self._fold = encode_many, trim, fold or (lambda words: words)
+        self._encode_pieces = encode_pieces or (lambda many: _in_turn(encode_many(many)))
         self._clear()
 
     def _clear(self) -> None:
@@ -102,11 +109,10 @@ class PieceEncoder:
         elif len(self._known) > REMEMBERED:
             self._forget()
         known = self._known
-        new = list(dict.fromkeys(w for w in words if w not in known))
+        new = list(dict.fromkeys(filterfalse(known.__contains__, words)))
         if new:
-            ids = self._encode(new)
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            self._flat = np.concatenate([self._flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))])
+            ids, sizes = self._encode_pieces(new)
+            self._flat = np.concatenate([self._flat, ids])
             self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(sizes)])
             self._hits = np.concatenate([self._hits, np.zeros(len(new), np.int32)])
             self._size += sum(map(len, new))
@@ -123,7 +129,7 @@ class PieceEncoder:
             return self._mixed(texts, whole)
         coded, starts = pieces(texts)
         words = pc.ascii_trim_whitespace(coded.dictionary) if self._trim else coded.dictionary
-        numbers = self._remember(words.to_pylist())[coded.indices.to_numpy()]
+        numbers = self._remember(self._fold(words).to_pylist())[coded.indices.to_numpy()]
         sizes = np.diff(self._ends)[numbers]
         upto = np.concatenate([[0], np.cumsum(sizes)])
         return self._flat[_ranges(self._ends[numbers], sizes)], np.diff(upto[starts])
@@ -149,12 +155,23 @@ def _ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(first - upto[:-1], sizes) + np.arange(upto[-1])
 
 
+def _in_turn(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in one array, and how many each list has."""
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+
+
 _loaded: dict = {}
 
 
 def library_encoder(path: str):
     """``encode_many`` of the tokenizers library for a .json file, as the library does by default but
     without tokens added around a text, truncation or padding. Loaded once per Python worker."""
+    return _library(path)[1]
+
+
+def _library(path: str):
+    """(the tokenizer of a file, its ``encode_many``)."""
     if path not in _loaded:
         from tokenizers import Tokenizer
 
@@ -164,10 +181,91 @@ def library_encoder(path: str):
         added = tokenizer.get_added_tokens_decoder().values()
         if any(t.lstrip or t.rstrip or t.single_word for t in added) and not _trims(tokenizer):
             raise ValueError(f"{path}: added tokens that look at their neighbours cannot be cut at spaces")
-        _loaded[path] = lambda many: [e.ids for e in tokenizer.encode_batch_fast(many, add_special_tokens=False)]
+        _loaded[path] = tokenizer, lambda many: [e.ids for e in tokenizer.encode_batch_fast(many, add_special_tokens=False)]
     return _loaded[path]
 
 
+def _separator(tokenizer) -> str | None:
+    """A special token at which the library cuts a string before it does anything else, and which no
+    special token can overlap, so that strings joined with it are encoded as each is alone."""
+    added = tokenizer.get_added_tokens_decoder().values()
+    if any(t.lstrip or t.rstrip or t.single_word or t.normalized or not t.special for t in added):
+        return None
+    names = [t.content for t in added]
+    for name in names:
+        inside = any(name in other or other in name for other in names if other != name)
+        meets = any(a[-n:] == b[:n] for other in names for a, b in ((name, other), (other, name)) for n in range(1, min(len(a), len(b))))
+        if not inside and not meets:
+            return name
+    return None
+
+
+def _lowered(tokenizer) -> str | None:
+    """An expression for the words of which the tokenizer's normalizer makes nothing but lower case: printable
+    ASCII that cannot hold a special token. None if it does anything else to them."""
+    spec = json.loads(tokenizer.to_str())["normalizer"] or {}
+    steps = spec.get("normalizers", [spec])
+    spaces = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    if {"type": "Lowercase"} not in steps or any(s not in ({"type": "NFC"}, {"type": "Lowercase"}, spaces) for s in steps):
+        return None
+    first = {t.content[0] for t in tokenizer.get_added_tokens_decoder().values()}
+    if any(c.isalnum() or not c.isascii() for c in first):
+        return None
+    return "^[" + "".join(f"\\x{n:02x}" for n in range(0x21, 0x7F) if chr(n) not in first) + "]*$"
+
+
+def folding(path: str):
+    """A function that puts words in lower case where the tokenizer of the file tells no cases apart."""
+    plain = _lowered(_library(path)[0])
+    if plain is None:
+        return lambda words: words
+    return lambda words: pc.if_else(pc.match_substring_regex(words, plain), pc.ascii_lower(words), words)
+
+
+def joined_encoder(path: str):
+    """As ``library_encoder``, for many short strings: ``JOINED`` of them go to the library as one string with
+    a special token between them, which costs it less than one string at a time. Returns all ids in one
+    array and the number of each string. Strings that hold that token themselves are encoded singly, and
+    words that the normalizer only puts in lower case come to the library so and pass it by."""
+    tokenizer, encode_many = _library(path)
+    separator = _separator(tokenizer)
+    if separator is None:
+        return lambda many: _in_turn(encode_many(many))
+    mark = tokenizer.token_to_id(separator)
+
+    def joined(by, many: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = [many[at : at + JOINED] for at in range(0, len(many), JOINED)]
+        found = by.encode_batch_fast([separator.join(part) for part in parts], add_special_tokens=False)
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for part, one in zip(parts, found, strict=True):
+            flat = np.array(one.ids, np.uint32)
+            marks = np.flatnonzero(flat == mark)
+            if len(marks) == len(part) - 1:
+                flat, each = np.delete(flat, marks), np.diff(marks, prepend=-1, append=len(flat)) - 1
+            else:
+                flat, each = _in_turn(encode_many(part))
+            ids.append(flat)
+            sizes.append(each)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    expression = _lowered(tokenizer)
+    if expression is None:
+        return lambda many: joined(tokenizer, many)
+    plain = re.compile(expression[1:-1])
+    bare = type(tokenizer).from_str(tokenizer.to_str())
+    bare.normalizer = None
+
+    def encode(many: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        is_plain = np.fromiter((plain.fullmatch(w) is not None for w in many), bool, len(many))
+        at, rest = np.flatnonzero(is_plain), np.flatnonzero(~is_plain)
+        ids, sizes = zip(joined(bare, [many[i].lower() for i in at]), joined(tokenizer, [many[i] for i in rest]), strict=True)
+        ids, sizes = np.concatenate(ids), np.concatenate(sizes)
+        place = np.argsort(np.concatenate([at, rest]))
+        return ids[_ranges((np.cumsum(sizes) - sizes)[place], sizes[place])], sizes[place]
+
+    return encode
+
+
 def _trims(tokenizer) -> bool:
     return not tokenizer.encode(" \n", add_special_tokens=False).ids
 
@@ -176,7 +274,7 @@ def remembered_encoder(path: str, trim: bool = False) -> PieceEncoder:
     """The encoder of a file, kept by the Python worker so that later tasks find its pieces known."""
     key = (path, trim)
     if key not in _loaded:
-        _loaded[key] = PieceEncoder(library_encoder(path), trim)
+        _loaded[key] = PieceEncoder(library_encoder(path), trim, *((joined_encoder(path), folding(path)) if trim else ()))
     return _loaded[key]
 
 

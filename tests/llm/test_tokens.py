@@ -16,7 +16,7 @@ from sparkrecon.llm.packing import best_fit, cut_documents, fit, nnls, pack, pat
 from sparkrecon.llm.token_counts import ShortcutCounter, token_counts, whole_tokens
 from sparkrecon.llm.token_files import BLOCK, FileReader, FileWriter, read_token_files, token_folder, unpack, width_of, write_token_files
 from sparkrecon.llm.token_files import pack as pack_bits
-from sparkrecon.llm.tokens import PieceEncoder, library_encoder, remembered_encoder
+from sparkrecon.llm.tokens import JOINED, PieceEncoder, joined_encoder, library_encoder, remembered_encoder
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 _library = {p: Tokenizer.from_file(p) for p in (BYTE, WORD)}
@@ -66,6 +66,46 @@ def test_forgetting_changes_nothing(monkeypatch):
     assert len(encoder._known) < 120
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.text(_chars, max_size=9), st.sampled_from(["", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "Word", "IT'S", "H\u0331", "Σ"])), max_size=8))
+def test_joined_words_have_the_ids_of_each_alone(words):
+    for path in (BYTE, WORD):
+        ids, sizes = joined_encoder(path)(words * 90)
+        want = [whole(path, w) for w in words * 90]
+        assert sizes.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+
+
+def test_new_words_go_to_the_library_many_at_a_time(monkeypatch):
+    """A string for each word costs the library more than the words themselves."""
+    given_strings = []
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self._of = tokenizer
+
+        def __getattr__(self, name):
+            return getattr(self._of, name)
+
+        @staticmethod
+        def from_str(text):
+            return Counted(Tokenizer.from_str(text))
+
+        def __setattr__(self, name, value):
+            object.__setattr__(self if name == "_of" else self._of, name, value)
+
+        def encode_batch_fast(self, many, **options):
+            given_strings.append(len(many))
+            return self._of.encode_batch_fast(many, **options)
+
+    monkeypatch.setattr("tokenizers.Tokenizer.from_file", lambda path: Counted(_library[path]))
+    monkeypatch.setattr(tokens, "_loaded", {})
+    words = [f"word{i}x" for i in range(3000)]
+    ids, sizes = remembered_encoder(WORD, True).encode(pa.array([" ".join(words)]))
+    assert ids.tolist() == whole(WORD, " ".join(words)) and sizes.tolist() == [len(ids)]
+    assert 0 < sum(given_strings) <= len(words) // JOINED + 1
+
+
 def test_token_counts(messy, nothing):
     got = token_counts(messy, BYTE, public_tokenizers.PATTERN)
     want = [(i, len((t or "").encode()), len(whole(BYTE, t)), len(whole(BYTE, t)) > 1024) for i, t, *_ in MESSY]
