@@ -70,12 +70,15 @@ def test_forgetting_changes_nothing(monkeypatch):
 @given(st.lists(st.one_of(st.text(_chars, max_size=9), st.sampled_from(["", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "Word", "IT'S", "H\u0331", "Σ"])), max_size=8))
 def test_joined_words_have_the_ids_of_each_alone(words):
     for path in (BYTE, WORD):
-        ids, sizes = joined_encoder(path)(words * 90)
+        ids, sizes = _joined[path](words * 90)
         want = [whole(path, w) for w in words * 90]
         assert sizes.tolist() == [len(w) for w in want]
         assert ids.tolist() == [i for w in want for i in w]
 
 
+_joined = {p: joined_encoder(p) for p in (BYTE, WORD)}
+
+
 def test_new_words_go_to_the_library_many_at_a_time(monkeypatch):
     """A string for each word costs the library more than the words themselves."""
     given_strings = []
